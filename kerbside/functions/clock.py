@@ -1,18 +1,16 @@
-"""Wall-clock time expressions, independent of the session time zone.
+"""Wall-clock time expressions as SQL text, independent of the session time zone.
 
 Trip times carry no zone. ``date_trunc`` would send them through the session zone and move hours at
-a daylight-saving change, and is several times slower than the integer arithmetic used here.
+a daylight-saving change, and is several times slower than the integer arithmetic used here. Text
+rather than Column objects keeps building a query cheap: one call to the JVM for an expression
+instead of one for each of its parts.
 """
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from datetime import date, datetime
 
 Moment = str | date | datetime
-EPOCH = datetime(1970, 1, 1)
 
 
 def as_datetime(moment: Moment) -> datetime:
@@ -26,62 +24,54 @@ def as_datetime(moment: Moment) -> datetime:
     return moment
 
 
-def ntz(moment: Moment) -> Column:
+def ntz(moment: Moment) -> str:
     """A ``timestamp_ntz`` literal, typed so that comparisons with it reach the parquet reader."""
-    return F.lit(as_datetime(moment).isoformat(sep=" ", timespec="microseconds")).cast(
-        "timestamp_ntz"
-    )
-
-
-def epoch_seconds(ts: Column) -> Column:
-    """Whole seconds since 1970-01-01 00:00 on the wall clock, rounded down."""
-    # unix_timestamp truncates toward zero, so times before 1970 are first moved down.
-    below = ts - F.expr("INTERVAL '0.999999' SECOND")
-    return F.when(ts >= ntz(EPOCH), F.unix_timestamp(ts)).otherwise(F.unix_timestamp(below))
+    return f"TIMESTAMP_NTZ '{as_datetime(moment).isoformat(sep=' ', timespec='microseconds')}'"
 
 
-def epoch_micros(ts: Column) -> Column:
-    """Microseconds since 1970-01-01 00:00 on the wall clock."""
-    return F.timestamp_diff("MICROSECOND", ntz(EPOCH), ts)
+EPOCH = ntz("1970-01-01")
 
 
-def hour_number(ts: Column) -> Column:
+def hour_number(ts: str) -> str:
     """Hours since 1970-01-01 00:00, rounded down: a cheap grouping key."""
-    seconds = epoch_seconds(ts)
-    return F.call_function("div", seconds - F.pmod(seconds, F.lit(3600)), F.lit(3600))
+    # unix_timestamp truncates toward zero, so times before 1970 are first moved down.
+    down = f"CASE WHEN {ts} >= {EPOCH} THEN {ts} ELSE {ts} - INTERVAL '0.999999' SECOND END"
+    return f"floor(unix_timestamp({down}) / 3600)"
 
 
-def hour_start(number: Column) -> Column:
+def hour_start(number: str) -> str:
     """The ``timestamp_ntz`` at which hour ``number`` begins; inverse of :func:`hour_number`."""
-    return ntz(EPOCH) + F.make_dt_interval(hours=number.cast("int"))
+    return f"{EPOCH} + {number} * INTERVAL '1' HOUR"
 
 
-def minutes_between(start: Column, end: Column) -> Column:
+def epoch_micros(ts: str) -> str:
+    """Microseconds since 1970-01-01 00:00 on the wall clock."""
+    return f"timestampdiff(MICROSECOND, {EPOCH}, {ts})"
+
+
+def minutes_between(start: str, end: str) -> str:
     """Elapsed minutes with their fraction; NULL when either end is."""
-    seconds = (end - start).cast("interval day to second").cast("decimal(18,6)").cast("double")
-    return seconds / 60
+    return f"CAST(CAST({end} - {start} AS DECIMAL(18, 6)) AS DOUBLE) / 60"
 
 
-def calendar_parts(hour: Column) -> dict[str, Column]:
-    """The four calendar columns; weeks start on Sunday, day 0."""
-    return {
-        "hour_of_day": F.hour(hour),
-        "day_of_week": F.dayofweek(hour) - 1,
-        "day_of_month": F.dayofmonth(hour),
-        "month": F.month(hour),
-    }
+# Weeks start on Sunday, day 0.
+_CALENDAR = {
+    "hour_of_day": "hour({0})",
+    "day_of_week": "dayofweek({0}) - 1",
+    "day_of_month": "dayofmonth({0})",
+    "month": "month({0})",
+}
+CALENDAR = list(_CALENDAR)
 
 
-def month_label(ts: Column) -> Column:
-    """``YYYY-MM`` with a zero-padded month."""
-    year = F.lpad(F.year(ts).cast("string"), 4, "0")
-    return F.concat(year, F.lit("-"), F.lpad(F.month(ts).cast("string"), 2, "0"))
+def calendar_part(unit: str, hour: str = "pickup_hour") -> str:
+    """One of the four calendar columns of an hour, named after the unit."""
+    return f"{_CALENDAR[unit].format(hour)} AS {unit}"
 
 
-def next_month(label: str) -> datetime:
-    """First instant after the month ``YYYY-MM``."""
-    start = datetime.fromisoformat(f"{label}-01")
-    return (start + timedelta(days=32)).replace(day=1)
+def month_label(ts: str) -> str:
+    """``YYYY-MM`` with a zero-padded month."""
+    return f"concat(lpad(year({ts}), 4, '0'), '-', lpad(month({ts}), 2, '0'))"
 
 
 def clock_in_year(moment: Moment, year: int = 2024) -> datetime:

@@ -54,11 +54,6 @@ def file_month_of(path: Column) -> Column:
     return F.concat(_part(path, 2), F.lit("-"), _part(path, 3))
 
 
-def file_name(table: Column, month: Column) -> Column:
-    """``{table}_{YYYY-MM}.parquet``."""
-    return F.concat(table, F.lit("_"), month, F.lit(".parquet"))
-
-
 def expense_label(column: Column) -> Column:
     """A contribution's label: every ``total_`` in the name goes, wherever it stands."""
     return F.replace(column, F.lit("total_"), F.lit(""))

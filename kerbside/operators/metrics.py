@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import clock
@@ -61,31 +61,29 @@ def counter_rate(
     its clock ticks; ``assume_unique`` saves that step when it is known that there are none.
     """
     if not assume_unique:
-        samples = samples.groupBy(*SERIES, "ts").agg(F.max("value").alias("value"))
+        samples = samples.groupBy(*SERIES, "ts").agg(F.expr("max(value) AS value"))
     width, reach = bucket_seconds * MICROS, window_seconds * MICROS - 1
 
-    def bucket(micros: F.Column) -> F.Column:
-        return F.call_function("div", micros - F.pmod(micros, F.lit(width)), F.lit(width))
+    def bucket(micros: str) -> str:
+        return f"({micros} - pmod({micros}, {width})) DIV {width}"
 
-    at = F.col("ts_us")
-    spread = (
-        samples.withColumn("ts_us", clock.epoch_micros(F.col("ts")))
-        .withColumn("home", bucket(at))
-        .withColumn("bucket", F.explode(F.sequence(F.col("home"), bucket(at + reach))))
-    )
-    series = Window.partitionBy(*SERIES, "bucket").orderBy("ts_us")
-    window = series.rangeBetween(-reach, 0)
-    before = F.lag("value").over(series)
-    step = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
-    # The first sample of the window contributes its time, but not the step that led to it.
-    increase = F.sum("step").over(window) - F.coalesce(F.first("step").over(window), F.lit(0.0))
-    elapsed = (at - F.first("ts_us").over(window)) / MICROS
+    series = f"PARTITION BY {', '.join(SERIES)}, bucket ORDER BY at"
+    window = f"({series} RANGE BETWEEN {reach} PRECEDING AND CURRENT ROW)"
+    before = f"lag(value) OVER ({series})"
     return (
-        spread.withColumn("step", step)
-        .withColumns({"increase": increase, "elapsed": elapsed})
-        .filter(F.col("bucket") == F.col("home"))
-        .select(
-            "ts", *SERIES, F.when(F.col("elapsed") > 0, F.col("increase") / F.col("elapsed")).alias("rate")
+        samples.selectExpr("ts", *SERIES, "value", f"{clock.epoch_micros('ts')} AS at")
+        .selectExpr("*", f"{bucket('at')} AS home")
+        .selectExpr("*", f"explode(sequence(home, {bucket(f'(at + {reach})')})) AS bucket")
+        .selectExpr("*", f"value - CASE WHEN value < {before} THEN 0 ELSE {before} END AS step")
+        # The first sample of the window counts with its time, not with the step that led to it.
+        .selectExpr(
+            "*",
+            f"sum(step) OVER {window} - coalesce(first(step) OVER {window}, 0) AS increase",
+            f"at - first(at) OVER {window} AS elapsed",
+        )
+        .filter("bucket = home")
+        .selectExpr(
+            "ts", *SERIES, f"CASE WHEN elapsed > 0 THEN increase / (elapsed / {MICROS}) END AS rate"
         )
     )
 
@@ -130,7 +128,7 @@ def panel(samples: DataFrame, title: str, names: list[str] | None = None) -> Dat
         raise ValueError(f"panel {title!r} has no container selector")
     chosen = label_filter(samples, chart.metric, chart.id_regex, names)
     if chart.rate:
-        points = counter_rate(chosen).withColumn("value", F.col("rate") * chart.scale)
+        points, value = counter_rate(chosen), f"rate * {chart.scale}D AS value"
     else:
-        points = chosen
-    return points.select("ts", *SERIES, F.col(chart.legend).alias("legend"), "value")
+        points, value = chosen, "value"
+    return points.selectExpr("ts", *SERIES, f"{chart.legend} AS legend", value)

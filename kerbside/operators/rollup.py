@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,37 +18,44 @@ from kerbside.functions import clock
 from kerbside.spec import HOURLY_COLUMNS, SPECS, ServiceSpec
 
 
-def averaged(trips: DataFrame, spec: ServiceSpec) -> dict[str, Column]:
+def averaged(trips: DataFrame, spec: ServiceSpec) -> dict[str, str]:
     """What each average of the rollup is taken over, per trip. NULLs drop out of the average."""
-    over: dict[str, Column] = {}
+    over = {}
     if spec.wait:
-        over["avg_request_to_on_scene_time_min"] = clock.minutes_between(
-            *(F.col(c) for c in spec.wait)
-        )
+        over["avg_request_to_on_scene_time_min"] = clock.minutes_between(*spec.wait)
     if spec.seconds is None:
-        over["avg_trip_time_min"] = clock.minutes_between(
-            F.col("pickup_datetime"), F.col("dropoff_datetime")
-        )
+        over["avg_trip_time_min"] = clock.minutes_between("pickup_datetime", "dropoff_datetime")
     elif isinstance(trips.schema[spec.seconds].dataType, T.IntegralType):
         # Stored whole seconds count as whole minutes, cut toward zero, before averaging.
-        over["avg_trip_time_min"] = F.call_function("div", F.col(spec.seconds), F.lit(60))
+        over["avg_trip_time_min"] = f"{spec.seconds} DIV 60"
     else:
-        over["avg_trip_time_min"] = F.col(spec.seconds) / 60
+        over["avg_trip_time_min"] = f"{spec.seconds} / 60"
     if spec.distance:
-        over["avg_trip_miles"] = F.col(spec.distance)
+        over["avg_trip_miles"] = spec.distance
     return over
 
 
+HOUR = clock.hour_number("pickup_datetime") + " AS hour_number"
+
+
+def _aggregate(trips: DataFrame, keys: list[str], outputs: dict[str, str]) -> DataFrame:
+    """Group by SQL expressions and compute SQL aggregates under their output names."""
+    return trips.groupBy(*map(F.expr, keys)).agg(
+        *(F.expr(f"{value} AS {name}") for name, value in outputs.items())
+    )
+
+
 def _finish(grouped: DataFrame, spec: ServiceSpec) -> DataFrame:
-    """Add the total, as a sum of sums: NULL as soon as one of them is NULL."""
-    if spec.money:
-        total = reduce(add, (F.col(c) for c in spec.totalled))
-        grouped = grouped.withColumn("total_amount_payed", total)
-    counts = {"pickup_hour", "num_trips"}
-    return grouped.select(
-        F.lit(spec.name).alias("service"),
+    """Name the hour and add the total, as a sum of sums: NULL as soon as one of them is NULL."""
+    exact = {
+        "pickup_hour": clock.hour_start("hour_number") + " AS pickup_hour",
+        "num_trips": "num_trips",
+    }
+    values = {"total_amount_payed": " + ".join(spec.totalled)}
+    return grouped.selectExpr(
+        f"'{spec.name}' AS service",
         *(
-            F.col(c) if c in counts else F.col(c).cast("double").alias(c)
+            exact.get(c) or f"CAST({values.get(c, c)} AS DOUBLE) AS {c}"
             for c in spec.rollup_columns
         ),
     )
@@ -63,14 +69,13 @@ def pickups_between(
     For bounds on whole hours this equals the filter on ``pickup_hour``, which parquet statistics
     cannot use because it is computed. Other bounds are an error.
     """
-    pickup = F.col("pickup_datetime")
-    for bound, keep in ((start, pickup.__ge__), (end, pickup.__lt__)):
+    for bound, compare in ((start, ">="), (end, "<")):
         if bound is None:
             continue
         moment = clock.as_datetime(bound)
         if (moment.minute, moment.second, moment.microsecond) != (0, 0, 0):
             raise ValueError(f"bound {bound} is not on a whole hour")
-        trips = trips.filter(keep(clock.ntz(moment)))
+        trips = trips.filter(f"pickup_datetime {compare} {clock.ntz(moment)}")
     return trips
 
 
@@ -86,16 +91,10 @@ def hourly_rollup(
     NULL.
     """
     trips = pickups_between(trips, start, end)
-    grouped = (
-        trips.groupBy(clock.hour_number(F.col("pickup_datetime")).alias("hour_number"))
-        .agg(
-            F.count(F.lit(1)).alias("num_trips"),
-            *(F.avg(value).alias(out) for out, value in averaged(trips, spec).items()),
-            *(F.sum(source).alias(out) for out, source in spec.money.items()),
-        )
-        .withColumn("pickup_hour", clock.hour_start(F.col("hour_number")))
-    )
-    return _finish(grouped, spec)
+    outputs = {"num_trips": "count(1)"}
+    outputs |= {out: f"avg({value})" for out, value in averaged(trips, spec).items()}
+    outputs |= {out: f"sum({source})" for out, source in spec.money.items()}
+    return _finish(_aggregate(trips, [HOUR], outputs), spec)
 
 
 def union_services(frames: list[DataFrame]) -> DataFrame:
@@ -131,38 +130,24 @@ def hourly_parts(trips: DataFrame, spec: ServiceSpec, *slice_columns: str) -> Da
     are recomputed, although its stray pick-ups touch hours of other months. An average is kept as
     a sum and a count. ``max_pickup`` carries the watermark, so asking for it reads no trips.
     """
-    averages = averaged(trips, spec)
-    return (
-        trips.groupBy(
-            *slice_columns, clock.hour_number(F.col("pickup_datetime")).alias("hour_number")
-        )
-        .agg(
-            F.count(F.lit(1)).alias("num_trips"),
-            F.max("pickup_datetime").alias("max_pickup"),
-            *(F.sum(v.cast("double")).alias(_sum_of(out)) for out, v in averages.items()),
-            *(F.count(v).alias(_count_of(out)) for out, v in averages.items()),
-            *(F.sum(source).cast("double").alias(out) for out, source in spec.money.items()),
-        )
-        .withColumn("service", F.lit(spec.name))
-    )
+    outputs = {"num_trips": "count(1)", "max_pickup": "max(pickup_datetime)"}
+    for out, value in averaged(trips, spec).items():
+        outputs[_sum_of(out)] = f"sum(CAST({value} AS DOUBLE))"
+        outputs[_count_of(out)] = f"count({value})"
+    outputs |= {out: f"CAST(sum({source}) AS DOUBLE)" for out, source in spec.money.items()}
+    parts = _aggregate(trips, [*slice_columns, HOUR], outputs)
+    return parts.withColumn("service", F.lit(spec.name))
 
 
 def merge_parts(parts: DataFrame, spec: ServiceSpec) -> DataFrame:
     """The service's rollup from its parts; equals :func:`hourly_rollup` over all its trips."""
-    grouped = (
-        parts.filter(F.col("service") == spec.name)
-        .groupBy("hour_number")
-        .agg(
-            F.sum("num_trips").alias("num_trips"),
-            *(
-                (F.sum(_sum_of(c)) / F.nullif(F.sum(_count_of(c)), F.lit(0))).alias(c)
-                for c in spec.averages
-            ),
-            *(F.sum(c).alias(c) for c in spec.money),
-        )
-        .withColumn("pickup_hour", clock.hour_start(F.col("hour_number")))
-    )
-    return _finish(grouped, spec)
+    outputs = {"num_trips": "sum(num_trips)"}
+    for average in spec.averages:
+        total, count = _sum_of(average), _count_of(average)
+        outputs[average] = f"sum({total}) / nullif(sum({count}), 0)"
+    outputs |= {out: f"sum({out})" for out in spec.money}
+    own = parts.filter(F.col("service") == spec.name)
+    return _finish(_aggregate(own, ["hour_number"], outputs), spec)
 
 
 def parts_schema() -> T.StructType:

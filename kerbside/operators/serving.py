@@ -1,34 +1,33 @@
 """Answers from the hourly rollups: cards, trends, contributions, histograms.
 
-Input is a rollup with a ``service`` column: one service, or all of them. A stored rollup has at
-most 8,784 rows per service and year, however many trips it stands for, so the exact percentile and
-the per-service groups below are bounded by the calendar. All services are answered in one pass.
+Input is a rollup with a ``service`` column: one service, or all of them. It has one row per service
+and hour, however many trips that stands for: at most 8,784 per service and year. The calendar so
+bounds the exact percentiles and the windows per service below. All services are answered in one
+pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import clock, names
 from kerbside.spec import PAYING_SERVICES, SERVICES, SPECS, services_with
 
-CALENDAR = ["hour_of_day", "day_of_week", "day_of_month", "month"]
 TRIM_QUANTILE = 0.99  # fixed value: share of hours a histogram keeps
 AGGREGATES = {
-    "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
-    "avg": F.avg,
-    "min": F.min,
-    "max": F.max,
-    "count": F.count,
-    "median": F.median,
+    "sum": "coalesce(sum({0}), 0)",
+    "avg": "avg({0})",
+    "min": "min({0})",
+    "max": "max({0})",
+    "count": "count({0})",
+    "median": "median({0})",
 }
 
 
 def calendar_view(hourly: DataFrame) -> DataFrame:
     """The rollup with its four calendar columns in front. Order it at the output, if at all."""
-    parts = clock.calendar_parts(F.col("pickup_hour"))
-    return hourly.select(*(part.alias(name) for name, part in parts.items()), "*")
+    return hourly.selectExpr(*map(clock.calendar_part, clock.CALENDAR), "*")
 
 
 def in_range(
@@ -41,34 +40,35 @@ def in_range(
 
     ``end_inclusive_midnight`` also keeps the one hour that begins exactly at ``end``.
     """
-    hour, last = F.col("pickup_hour"), clock.ntz(end)
-    before_end = hour <= last if end_inclusive_midnight else hour < last
-    return hourly.filter((hour >= clock.ntz(start)) & before_end)
+    upto = "<=" if end_inclusive_midnight else "<"
+    return hourly.filter(
+        f"pickup_hour >= {clock.ntz(start)} AND pickup_hour {upto} {clock.ntz(end)}"
+    )
 
 
 def available(hourly: DataFrame, metric: str) -> DataFrame:
     """Hours of the services that have ``metric``; none at all when no column carries it."""
     if metric not in hourly.columns:
-        hourly = hourly.withColumn(metric, F.lit(None).cast("double")).filter(F.lit(False))
-    return hourly.filter(F.col("service").isin(services_with(metric)))
+        hourly = hourly.withColumn(metric, F.lit(None).cast("double")).filter("false")
+    having = services_with(metric)
+    return hourly if having == SERVICES else hourly.filter(F.col("service").isin(having))
 
 
 def metric_availability(hourly: DataFrame) -> DataFrame:
     """(service, metric, hours): metrics each service has, with the number of hours they cover."""
     metrics = [*names.SUMMED_METRICS.values(), *names.AVERAGED_METRICS.values()]
-    hours = hourly.groupBy("service").agg(F.count(F.lit(1)).alias("hours"))
-    has = [
-        F.when(F.col("service").isin(services_with(metric)), F.lit(metric)) for metric in metrics
-    ]
-    return hours.select(
-        "service", F.explode(F.array_compact(F.array(*has))).alias("metric"), "hours"
+    has = ", ".join(
+        f"CASE WHEN service IN ({str(services_with(metric))[1:-1]}) THEN '{metric}' END"
+        for metric in metrics
     )
+    hours = hourly.groupBy("service").agg(F.count(F.lit(1)).alias("hours"))
+    return hours.selectExpr("service", f"explode(array_compact(array({has}))) AS metric", "hours")
 
 
 def _per_service(hourly: DataFrame, column: str, services: list[str]) -> DataFrame:
     """Sum of ``column`` for each of ``services``, 0 for one without hours: one global aggregate."""
     sums = [
-        F.coalesce(F.sum(F.when(F.col("service") == s, F.col(column))), F.lit(0)).alias(s)
+        F.expr(f"coalesce(sum({column}) FILTER (WHERE service = '{s}'), 0) AS {s}")
         for s in services
     ]
     return hourly.agg(*sums).unpivot([], services, "service", column)
@@ -82,7 +82,7 @@ def card_num_trips(hourly: DataFrame, start: clock.Moment, end: clock.Moment) ->
 def card_total_payed(hourly: DataFrame, start: clock.Moment, end: clock.Moment) -> DataFrame:
     """Amount paid in the range, to cents, for each service that has amounts."""
     cards = _per_service(in_range(hourly, start, end), "total_amount_payed", PAYING_SERVICES)
-    return cards.withColumn("total_amount_payed", F.bround("total_amount_payed", 2))
+    return cards.selectExpr("service", "bround(total_amount_payed, 2) AS total_amount_payed")
 
 
 def trend(
@@ -104,8 +104,8 @@ def trend(
         raise ValueError(f"unknown aggregate {agg!r}; choose from {list(AGGREGATES)}")
     view = available(in_range(hourly, start, end), column)
     return (
-        view.groupBy("service", clock.calendar_parts(F.col("pickup_hour"))[unit].alias(unit))
-        .agg(AGGREGATES[agg](F.col(column)).alias(column))
+        view.groupBy("service", F.expr(clock.calendar_part(unit)))
+        .agg(F.expr(AGGREGATES[agg].format(column)).alias(column))
         .orderBy("service", unit)
     )
 
@@ -118,16 +118,16 @@ def contributions(
     if not columns:
         raise ValueError(f"service {service!r} has no amounts")
     chosen = in_range(hourly.filter(F.col("service") == service), start, end)
-    sums = chosen.agg(*(F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in columns))
+    sums = chosen.agg(*(F.expr(f"coalesce(sum({c}), 0D) AS {c}") for c in columns))
     return sums.unpivot([], columns, "expense", "amount").withColumn(
         "expense", names.expense_label(F.col("expense"))
     )
 
 
-def _quantile(value: Column, approximate: bool) -> Column:
+def _quantile(column: str, approximate: bool) -> str:
     if approximate:
-        return F.percentile_approx(value, F.lit(TRIM_QUANTILE), F.lit(10_000))
-    return F.percentile(value, F.lit(TRIM_QUANTILE))
+        return f"percentile_approx({column}, {TRIM_QUANTILE}, 10000)"
+    return f"percentile({column}, {TRIM_QUANTILE})"
 
 
 def upper_quantile(
@@ -143,7 +143,7 @@ def upper_quantile(
     """
     column = names.resolve(metric, names.AVERAGED_METRICS)
     view = available(in_range(hourly, start, end), column)
-    return view.groupBy("service").agg(_quantile(F.col(column), approximate).alias("p99"))
+    return view.groupBy("service").agg(F.expr(f"{_quantile(column, approximate)} AS p99"))
 
 
 def trim_upper(
@@ -153,15 +153,17 @@ def trim_upper(
     end: clock.Moment,
     approximate: bool = False,
 ) -> DataFrame:
-    """Hours whose average is at most the quantile: (service, pickup_hour, <metric>)."""
+    """Hours whose average is at most the quantile: (service, pickup_hour, <metric>).
+
+    The quantile is taken over a window, so the rollup is evaluated once and nothing is joined.
+    """
     column = names.resolve(metric, names.AVERAGED_METRICS)
-    limits = upper_quantile(hourly, column, start, end, approximate)
-    # One row per service: the specs bound the broadcast side.
+    limit = f"{_quantile(column, approximate)} OVER (PARTITION BY service) AS p99"
     return (
         available(in_range(hourly, start, end), column)
-        .join(F.broadcast(limits), "service")
-        .filter(F.col(column) <= F.col("p99"))
-        .select("service", "pickup_hour", column)
+        .selectExpr("service", "pickup_hour", column, limit)
+        .filter(f"{column} <= p99")
+        .drop("p99")
     )
 
 
@@ -176,25 +178,40 @@ def histogram(
     """Equal-width histogram of the trimmed hourly averages, per service.
 
     (service, bin, bin_low, bin_high, num_hours), empty bins included; the last bin is closed. When
-    all values are equal there is one bin.
+    all values are equal there is one bin. Everything after the first shuffle by service stays in
+    that partitioning.
     """
     column = names.resolve(metric, names.AVERAGED_METRICS)
     kept = trim_upper(hourly, column, start, end, approximate)
-    bounds = kept.groupBy("service").agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    bounds = bounds.withColumn("width", (F.col("hi") - F.col("lo")) / nbins)
-    last = F.when(F.col("width") > 0, F.lit(nbins - 1)).otherwise(F.lit(0))
-    slot = F.floor((F.col(column) - F.col("lo")) / F.nullif(F.col("width"), F.lit(0.0)))
-    # Bounds and counts have one row per service and at most nbins rows per service.
+    last = f"CASE WHEN width > 0 THEN {nbins - 1} ELSE 0 END"
     counts = (
-        kept.join(F.broadcast(bounds), "service")
-        .groupBy("service", F.least(F.coalesce(slot, F.lit(0)), last).cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("num_hours"))
+        kept.selectExpr(
+            "service",
+            f"{column} AS x",
+            f"min({column}) OVER (PARTITION BY service) AS lo",
+            f"max({column}) OVER (PARTITION BY service) AS hi",
+        )
+        .selectExpr("service", "x", "lo", f"(hi - lo) / {nbins} AS width")
+        .selectExpr(
+            "service",
+            "lo",
+            "width",
+            f"CASE WHEN width > 0 THEN least(floor((x - lo) / width), {nbins - 1}) ELSE 0 END"
+            " AS bin",
+        )
+        .groupBy("service", "lo", "width", "bin")
+        .agg(F.expr("count(1) AS num_hours"))
     )
-    frame = bounds.select("service", "lo", "width", F.explode(F.sequence(F.lit(0), last)).alias("bin"))
-    return frame.join(F.broadcast(counts), ["service", "bin"], "left").select(
-        "service",
-        "bin",
-        (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_low"),
-        (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_high"),
-        F.coalesce("num_hours", F.lit(0)).alias("num_hours"),
+    # A service has at most nbins counts: gather them to list its empty bins too.
+    return (
+        counts.groupBy("service", "lo", "width")
+        .agg(F.expr("map_from_entries(collect_list(struct(bin, num_hours))) AS by_bin"))
+        .selectExpr("service", "lo", "width", "by_bin", f"explode(sequence(0, {last})) AS bin")
+        .selectExpr(
+            "service",
+            "bin",
+            "lo + bin * width AS bin_low",
+            "lo + (bin + 1) * width AS bin_high",
+            "coalesce(by_bin[bin], 0L) AS num_hours",
+        )
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions import clock, names
+from kerbside.functions import clock
 
 
 def table_start_times(discovered: DataFrame, watermarks: DataFrame) -> DataFrame:
@@ -36,38 +36,38 @@ def slice_plan(
     if mode not in ("append", "replace"):
         raise ValueError(f"mode is append or replace, not {mode!r}")
     moment = clock.clock_in_year(as_of, year) if year else clock.as_datetime(as_of)
-    end = clock.ntz(moment)
-    opening = clock.ntz(moment.replace(month=1, day=1, hour=0, minute=0, second=0, microsecond=0))
-    start = F.least(F.coalesce(F.col("watermark"), opening), end)
-    this_month = F.to_date(F.lit(moment.date().replace(day=1).isoformat()))
-    months = F.explode(
-        F.sequence(F.trunc(start.cast("date"), "MM"), this_month, F.expr("INTERVAL 1 MONTH"))
-    )
-    bounded = F.col("first_day") == this_month
-    lower = start if mode == "append" else F.lit(None).cast("timestamp_ntz")
-    planned = start_times.withColumn("first_day", months).withColumns(
-        {
-            "table_name": F.concat("service", F.lit("_tripdata")),
-            "file_month": clock.month_label(F.col("first_day")),
-        }
-    )
-    return planned.select(
-        "service",
-        "file_month",
-        names.file_name(F.col("table_name"), F.col("file_month")).alias("file_name"),
-        "table_name",
-        F.when(bounded, lower).alias("start_time"),
-        F.when(bounded, end).alias("end_time"),
+    end, opening = clock.ntz(moment), clock.ntz(f"{moment.year:04d}-01-01")
+    this_month = f"DATE '{moment:%Y-%m}-01'"
+    bounded = f"CASE WHEN first_day = {this_month} THEN"
+    return (
+        start_times.selectExpr(
+            "service", f"least(coalesce(watermark, {opening}), {end}) AS since"
+        )
+        .selectExpr(
+            "service",
+            "since",
+            "concat(service, '_tripdata') AS table_name",
+            f"explode(sequence(trunc(since, 'MM'), {this_month}, INTERVAL '1' MONTH)) AS first_day",
+        )
+        .withColumn("file_month", F.expr(clock.month_label("first_day")))
+        .selectExpr(
+            "service",
+            "file_month",
+            "concat(table_name, '_', file_month, '.parquet') AS file_name",
+            "table_name",
+            f"{bounded} {'since' if mode == 'append' else 'CAST(NULL AS TIMESTAMP_NTZ)'} END"
+            " AS start_time",
+            f"{bounded} {end} END AS end_time",
+        )
     )
 
 
 def between(trips: DataFrame, start: clock.Moment | None, end: clock.Moment | None) -> DataFrame:
     """Trips picked up strictly between the bounds; a bound that is None does not apply."""
-    pickup = F.col("pickup_datetime")
     if start is not None:
-        trips = trips.filter(pickup > clock.ntz(start))
+        trips = trips.filter(f"pickup_datetime > {clock.ntz(start)}")
     if end is not None:
-        trips = trips.filter(pickup < clock.ntz(end))
+        trips = trips.filter(f"pickup_datetime < {clock.ntz(end)}")
     return trips
 
 
@@ -80,9 +80,9 @@ def slice_filter(trips: DataFrame, slices: DataFrame) -> DataFrame:
     """
     keys = [k for k in ("service", "file_month") if k in slices.columns and k in trips.columns]
     limits = slices.select(*keys, "start_time", "end_time")
-    pickup = F.col("pickup_datetime")
-    inside = (F.col("start_time").isNull() | (pickup > F.col("start_time"))) & (
-        F.col("end_time").isNull() | (pickup < F.col("end_time"))
+    inside = (
+        "(start_time IS NULL OR pickup_datetime > start_time)"
+        " AND (end_time IS NULL OR pickup_datetime < end_time)"
     )
     return trips.join(F.broadcast(limits), keys).filter(inside).select(*trips.columns)
 
@@ -91,9 +91,9 @@ def slice_count(trips: DataFrame, slices: DataFrame) -> DataFrame:
     """Trips per slice, 0 for an empty one: (slice keys, num_rows, skipped)."""
     keys = [k for k in ("service", "file_month") if k in slices.columns and k in trips.columns]
     counts = slice_filter(trips, slices).groupBy(*keys).agg(F.count(F.lit(1)).alias("num_rows"))
-    rows = F.coalesce("num_rows", F.lit(0))
+    rows = "coalesce(num_rows, 0L)"
     return (
         slices.select(*keys)
         .join(counts, keys, "left")
-        .select(*keys, rows.alias("num_rows"), (rows == 0).alias("skipped"))
+        .selectExpr(*keys, f"{rows} AS num_rows", f"{rows} = 0 AS skipped")
     )

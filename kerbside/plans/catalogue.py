@@ -11,8 +11,9 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField
 
-from kerbside.functions import clock, names
+from kerbside.functions import clock
 from kerbside.operators import metrics, rollup, serving, slices
 from kerbside.plans.cycle import Warehouse, run_cycle
 from kerbside.plans.refresh import merged_rollup
@@ -34,8 +35,13 @@ LOADED_UNTIL = {"fhvhv": "2024-01-20", "fhv": "2024-03-10", "yellow": "2024-02-2
 def stable(df: DataFrame) -> DataFrame:
     """Round doubles: ``total_*`` and ``amount`` to 2 places, all others to 6."""
     cents = ("total_", "amount")
-    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return df.withColumns({c: F.round(c, 2 if c.startswith(cents) else 6) for c in doubles})
+
+    def column(field: StructField) -> str:
+        if not isinstance(field.dataType, DoubleType):
+            return field.name
+        return f"round({field.name}, {2 if field.name.startswith(cents) else 6}) AS {field.name}"
+
+    return df.selectExpr(*map(column, df.schema))
 
 
 # Inputs
@@ -70,14 +76,14 @@ def landing(spark: SparkSession, sf_dir: str, *services: str) -> tuple[str, Ware
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of the trips' monthly files, among others that are no trip files."""
     trips = driver_tables.trips(spark, sf_dir)
-    month = driver_tables.file_month()
-    spellings = F.array(
-        names.file_name(F.concat("service", F.lit("_tripdata")), month),
-        F.concat(F.lit("."), F.col("service"), F.lit("_tripdata.crc")),
-        F.concat("service", F.lit("_zones_2024-01.parquet")),
-        F.concat(F.lit("x_"), month, F.lit(".parquet")),
-    )
-    return trips.select(F.explode(spellings).alias("file_name")).distinct()
+    month = driver_tables.FILE_MONTH
+    spellings = [
+        f"concat(service, '_tripdata_', {month}, '.parquet')",
+        "concat('.', service, '_tripdata.crc')",
+        "concat(service, '_zones_2024-01.parquet')",
+        f"concat('x_', {month}, '.parquet')",
+    ]
+    return trips.selectExpr(f"explode(array({', '.join(spellings)})) AS file_name").distinct()
 
 
 def discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,9 +93,10 @@ def discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips picked up by the time each service was last loaded."""
-    until = F.create_map(*(c for s, t in LOADED_UNTIL.items() for c in (F.lit(s), clock.ntz(t))))
-    trips = driver_tables.trips(spark, sf_dir)
-    return trips.filter(F.col("pickup_datetime") <= until[F.col("service")])
+    until = " ".join(f"WHEN '{s}' THEN {clock.ntz(t)}" for s, t in LOADED_UNTIL.items())
+    return driver_tables.trips(spark, sf_dir).filter(
+        f"pickup_datetime <= CASE service {until} END"
+    )
 
 
 def start_times(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +115,7 @@ def bounded_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Both bounds are pick-up times that exist. fhv, of which no trip follows, is loaded to the end.
     """
-    trips = driver_tables.trips(spark, sf_dir).filter(F.col("pickup_datetime") <= clock.ntz(AS_OF))
+    trips = driver_tables.trips(spark, sf_dir).filter(f"pickup_datetime <= {clock.ntz(AS_OF)}")
     ends = trips.groupBy("service").agg(F.max("pickup_datetime").alias("end_time"))
     starts = rollup.watermark(loaded(spark, sf_dir)).withColumnRenamed("watermark", "start_time")
     return starts.join(ends, "service")
@@ -223,8 +230,8 @@ def hourly_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = None
     for service in SERVICES:
         trips = service_trips(spark, sf_dir, service)
-        month = clock.month_label(F.col("pickup_datetime"))
-        part = rollup.hourly_parts(trips.withColumn("slice", month), SPECS[service], "slice")
+        sliced = trips.withColumn("slice", F.expr(clock.month_label("pickup_datetime")))
+        part = rollup.hourly_parts(sliced, SPECS[service], "slice")
         parts = part if parts is None else parts.unionByName(part, allowMissingColumns=True)
     return stable(merged_rollup(parts)).select("service", *HOURLY_COLUMNS)
 
@@ -330,7 +337,7 @@ def queries() -> dict[str, Query]:
     for service in SERVICES:
         found[f"hourly_{service}"] = partial(hourly_one, service=service)
     for short, metric in TREND_METRICS.items():
-        for unit in serving.CALENDAR:
+        for unit in clock.CALENDAR:
             found[f"trend_{short}_{unit}"] = partial(trend, metric=metric, by=unit)
     for service in serving.PAYING_SERVICES:
         found[f"contrib_{service}"] = lambda s, d, service=service: stable(

@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions import clock, names
+from kerbside.functions import clock
 from kerbside.operators.rollup import watermark, watermark_from_parts
 from kerbside.operators.slices import between, slice_plan, table_start_times
 from kerbside.sources import discovery
@@ -111,7 +111,7 @@ def _unloaded(
         .join(plan, keys, "left_anti")
         .select(
             *keys,
-            names.file_name(F.col("table_name"), F.col("file_month")).alias("file_name"),
+            F.expr("concat(table_name, '_', file_month, '.parquet') AS file_name"),
             "table_name",
             F.lit(None).cast("timestamp_ntz").alias("start_time"),
             F.lit(None).cast("timestamp_ntz").alias("end_time"),

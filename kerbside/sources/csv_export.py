@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.clock import Moment, as_datetime
-from kerbside.operators.serving import CALENDAR, calendar_view, in_range
+from kerbside.functions.clock import CALENDAR, Moment, as_datetime
+from kerbside.operators.serving import calendar_view, in_range
 from kerbside.spec import SPECS
 
 
@@ -28,8 +28,8 @@ def export_rows(
     view = calendar_view(hourly.filter(F.col("service") == service))
     columns = [*CALENDAR, *SPECS[service].rollup_columns]
     if with_index:
-        order = Window.partitionBy("service").orderBy("pickup_hour")
-        view = view.withColumn("row_index", F.row_number().over(order) - 1)
+        position = "row_number() OVER (PARTITION BY service ORDER BY pickup_hour) - 1"
+        view = view.withColumn("row_index", F.expr(position))
         columns = ["row_index", *columns]
     return in_range(view, start, end).select(*columns).orderBy("pickup_hour")
 

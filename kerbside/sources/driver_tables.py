@@ -5,22 +5,21 @@ The adapters are narrow projections: whatever size the tables have, so has the d
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.clock import month_label
-from kerbside.functions.names import file_name
-from kerbside.spec import SPECS
+from kerbside.spec import SPECS, ServiceSpec
 
 _TRIPS = [
     "CASE (l_partkey + l_suppkey) % 4 WHEN 0 THEN 'fhvhv' WHEN 1 THEN 'fhv'"
     " WHEN 2 THEN 'yellow' ELSE 'green' END AS service",
     "request_datetime",
     "CASE WHEN l_linenumber <> 7 THEN"
-    " request_datetime + make_dt_interval(0, 0, 0, l_partkey % 900) END AS on_scene_datetime",
+    " request_datetime + (l_partkey % 900) * INTERVAL '1' SECOND END AS on_scene_datetime",
     "request_datetime + INTERVAL '20' MINUTE AS pickup_datetime",
     "CASE WHEN l_linenumber <> 6 THEN"
-    " request_datetime + make_dt_interval(0, 0, 20, trip_time) END AS dropoff_datetime",
+    " request_datetime + (1200 + trip_time) * INTERVAL '1' SECOND END AS dropoff_datetime",
     "trip_time",
     "l_quantity * 0.5D AS trip_distance",
     "l_extendedprice AS base_fare",
@@ -60,14 +59,12 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of all services from ``lineitem``, January to June 2024, with generic column names."""
     return (
         spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .withColumns(
-            {
-                "request_datetime": F.expr(
-                    "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0,"
-                    " (l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 911) % 15724800)"
-                ),
-                "trip_time": F.expr("60 + (l_partkey * 13) % 3600"),
-            }
+        .selectExpr(
+            "*",
+            "TIMESTAMP_NTZ '2024-01-01 00:00:00' + INTERVAL '1' SECOND"
+            " * ((l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 911) % 15724800)"
+            " AS request_datetime",
+            "60 + (l_partkey * 13) % 3600 AS trip_time",
         )
         .selectExpr(*_TRIPS)
     )
@@ -77,14 +74,15 @@ def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     """One service's trips under the column names of its raw files."""
     spec = SPECS[service]
     source = trips(spark, sf_dir).filter(F.col("service") == service)
-    return source.select(
-        *(F.col(_RAW_SOURCE.get(c, c)).alias(c) for c in spec.raw_schema.fieldNames())
-    )
+    return source.selectExpr(*_raw_columns(spec))
+
+
+def _raw_columns(spec: ServiceSpec) -> list[str]:
+    return [f"{_RAW_SOURCE.get(c, c)} AS {c}" for c in spec.raw_schema.fieldNames()]
 
 
-def file_month() -> Column:
-    """Month whose file holds a trip. By request time, so a file can hold next month's pick-up."""
-    return month_label(F.col("request_datetime"))
+# Month whose file holds a trip. By request time, so a file can hold next month's pick-up.
+FILE_MONTH = month_label("request_datetime")
 
 
 def write_landing(spark: SparkSession, sf_dir: str, landing: str, services: list[str]) -> None:
@@ -95,11 +93,9 @@ def write_landing(spark: SparkSession, sf_dir: str, landing: str, services: list
     for service in services:
         spec = SPECS[service]
         source = trips(spark, sf_dir).filter(F.col("service") == service)
+        name = f"concat('{spec.table}_', {FILE_MONTH}, '.parquet') AS file"
         (
-            source.select(
-                *(F.col(_RAW_SOURCE.get(c, c)).alias(c) for c in spec.raw_schema.fieldNames()),
-                file_name(F.lit(spec.table), file_month()).alias("file"),
-            )
+            source.selectExpr(*_raw_columns(spec), name)
             .write.partitionBy("file")
             .mode("append")
             .parquet(landing)
@@ -132,7 +128,7 @@ def samples(spark: SparkSession, sf_dir: str, *metrics: str) -> DataFrame:
     return (
         spark.read.parquet(f"{sf_dir}/events.parquet")
         .selectExpr(
-            "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, event_id * 15) AS ts",
+            "TIMESTAMP_NTZ '2024-01-01 00:00:00' + event_id * 15 * INTERVAL '1' SECOND AS ts",
             "event_type AS name",
             "CASE WHEN event_type = 'error' THEN '/system/error'"
             " ELSE concat('/docker/', event_type) END AS id",

@@ -18,26 +18,21 @@ def hourly_stream(trips: DataFrame, spec: ServiceSpec, delay: str = "1 hour") ->
     An hour comes out once the latest pick-up is ``delay`` past its end; trips later than that are
     dropped. Event time must be zoned, hence the cast: run it in a UTC session.
     """
-    sums = {out: F.sum(source) for out, source in spec.money.items()}
-    total = None
-    for out in spec.totalled:
-        total = sums[out] if total is None else total + sums[out]
-    if total is not None:
-        sums["total_amount_payed"] = total
-    return (
-        trips.withColumn("event_time", F.col("pickup_datetime").cast("timestamp"))
+    outputs = {"num_trips": "count(1)"}
+    outputs |= {out: f"avg({value})" for out, value in averaged(trips, spec).items()}
+    outputs |= {out: f"CAST(sum({source}) AS DOUBLE)" for out, source in spec.money.items()}
+    closed = (
+        trips.withColumn("event_time", F.expr("CAST(pickup_datetime AS TIMESTAMP)"))
         .withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 hour"))
-        .agg(
-            F.count(F.lit(1)).alias("num_trips"),
-            *(F.avg(value).alias(out) for out, value in averaged(trips, spec).items()),
-            *(value.cast("double").alias(out) for out, value in sums.items()),
-        )
-        .select(
-            F.lit(spec.name).alias("service"),
-            F.col("window.start").cast("timestamp_ntz").alias("pickup_hour"),
-            *spec.rollup_columns[1:],
-        )
+        .agg(*(F.expr(f"{value} AS {out}") for out, value in outputs.items()))
+    )
+    named = {
+        "pickup_hour": "CAST(window.start AS TIMESTAMP_NTZ) AS pickup_hour",
+        "total_amount_payed": f"{' + '.join(spec.totalled)} AS total_amount_payed",
+    }
+    return closed.selectExpr(
+        f"'{spec.name}' AS service", *(named.get(c, c) for c in spec.rollup_columns)
     )
 
 
