@@ -69,14 +69,14 @@ def pickups_between(
     For bounds on whole hours this equals the filter on ``pickup_hour``, which parquet statistics
     cannot use because it is computed. Other bounds are an error.
     """
+    conditions = []
     for bound, compare in ((start, ">="), (end, "<")):
-        if bound is None:
-            continue
-        moment = clock.as_datetime(bound)
-        if (moment.minute, moment.second, moment.microsecond) != (0, 0, 0):
-            raise ValueError(f"bound {bound} is not on a whole hour")
-        trips = trips.filter(f"pickup_datetime {compare} {clock.ntz(moment)}")
-    return trips
+        if bound is not None:
+            moment = clock.as_datetime(bound)
+            if (moment.minute, moment.second, moment.microsecond) != (0, 0, 0):
+                raise ValueError(f"bound {bound} is not on a whole hour")
+            conditions.append(f"pickup_datetime {compare} {clock.ntz(moment)}")
+    return trips.filter(" AND ".join(conditions)) if conditions else trips
 
 
 def hourly_rollup(

@@ -47,14 +47,18 @@ def stable(df: DataFrame) -> DataFrame:
 # Inputs
 
 
-def service_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
-    return canonicalise(driver_tables.raw_trips(spark, sf_dir, service))
+def service_trips(spark: SparkSession, sf_dir: str, *services: str) -> dict[str, DataFrame]:
+    """Trips by service, under canonical column names."""
+    every = driver_tables.trips(spark, sf_dir)
+    return {
+        s: canonicalise(driver_tables.raw_trips(every, s)) for s in services or SERVICES
+    }
 
 
 def hourly(
     spark: SparkSession, sf_dir: str, *services: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
-    trips = {s: service_trips(spark, sf_dir, s) for s in services or SERVICES}
+    trips = service_trips(spark, sf_dir, *services)
     return stable(rollup.all_services_hourly(trips, start, end))
 
 
@@ -156,10 +160,8 @@ def _summary(trips: DataFrame) -> DataFrame:
 def canonical_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four services' raw columns brought to common names; pick-ups and drop-offs per service."""
     times = [
-        service_trips(spark, sf_dir, s).select(
-            F.lit(s).alias("service"), "pickup_datetime", "dropoff_datetime"
-        )
-        for s in SERVICES
+        df.selectExpr(f"'{s}' AS service", "pickup_datetime", "dropoff_datetime")
+        for s, df in service_trips(spark, sf_dir).items()
     ]
     merged = times[0]
     for frame in times[1:]:
@@ -221,15 +223,14 @@ def export_query(spark: SparkSession, sf_dir: str, with_index: bool) -> DataFram
 
 
 def hourly_one(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
-    one = rollup.hourly_rollup(service_trips(spark, sf_dir, service), SPECS[service])
-    return stable(one)
+    trips = service_trips(spark, sf_dir, service)[service]
+    return stable(rollup.hourly_rollup(trips, SPECS[service]))
 
 
 def hourly_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All services' rollups merged from parts per file month."""
     parts = None
-    for service in SERVICES:
-        trips = service_trips(spark, sf_dir, service)
+    for service, trips in service_trips(spark, sf_dir).items():
         sliced = trips.withColumn("slice", F.expr(clock.month_label("pickup_datetime")))
         part = rollup.hourly_parts(sliced, SPECS[service], "slice")
         parts = part if parts is None else parts.unionByName(part, allowMissingColumns=True)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -19,7 +20,7 @@ from kerbside.functions import clock
 from kerbside.operators.rollup import watermark, watermark_from_parts
 from kerbside.operators.slices import between, slice_plan, table_start_times
 from kerbside.sources import discovery
-from kerbside.sources.trips import load_trips, scan_files
+from kerbside.sources.trips import load_trips, scan_files, service_dir
 from kerbside.spec import SPECS, ServiceSpec
 
 
@@ -84,7 +85,9 @@ def plan_slices(
     plan = slice_plan(starts, as_of, year, mode)
     if mode == "replace":
         plan = plan.unionByName(_unloaded(spark, files, plan, trips_dir, as_of, year))
-    rows = plan.join(files.select("service", "file_month", "path"), ["service", "file_month"])
+    # The listing has one row per monthly file, which bounds what is broadcast.
+    keys = ["service", "file_month"]
+    rows = plan.join(F.broadcast(files.select(*keys, "path")), keys)
     return [
         Slice(r.service, r.file_month, r.path, r.start_time, r.end_time)
         for r in rows.select(*Slice.__dataclass_fields__).collect()
@@ -107,8 +110,8 @@ def _unloaded(
     keys = ["service", "file_month"]
     return (
         files.filter(F.col("file_month") < moment.strftime("%Y-%m"))
-        .join(loaded, keys, "left_anti")
-        .join(plan, keys, "left_anti")
+        .join(F.broadcast(loaded), keys, "left_anti")
+        .join(F.broadcast(plan.select(*keys)), keys, "left_anti")
         .select(
             *keys,
             F.expr("concat(table_name, '_', file_month, '.parquet') AS file_name"),
@@ -129,20 +132,27 @@ def load_slices(
     slice without rows writes nothing and leaves its partition as it was. A task that is lost is
     run again and its output committed once.
     """
-    counts: dict[tuple[str, str], int] = {}
     by_service: dict[str, list[Slice]] = defaultdict(list)
     for s in slices:
         by_service[s.service].append(s)
-    for service, chosen in by_service.items():
+
+    def load(service: str) -> dict[tuple[str, str], int]:
+        chosen = by_service[service]
         seen = Observation()
         months = sorted({s.file_month for s in chosen})
         (
             read_slices(spark, SPECS[service], chosen)
-            .observe(seen, *(F.count_if(F.col("file_month") == m).alias(m) for m in months))
-            .write.partitionBy("service", "file_month")
+            .observe(seen, *(F.expr(f"count_if(file_month = '{m}') AS `{m}`") for m in months))
+            .drop("service")
+            .write.partitionBy("file_month")
             .option("partitionOverwriteMode", "dynamic")
             .mode("overwrite" if mode == "replace" else "append")
-            .parquet(trips_dir)
+            .parquet(service_dir(trips_dir, service))
         )
-        counts |= {(service, month): seen.get[month] for month in months}
-    return counts
+        return {(service, month): seen.get[month] for month in months}
+
+    # Services are separate jobs with separate folders; started together, one fills the cluster
+    # while the last tasks of another run.
+    with ThreadPoolExecutor(max_workers=len(SPECS)) as pool:
+        loaded = list(pool.map(load, by_service))
+    return {key: rows for counts in loaded for key, rows in counts.items()}

@@ -78,11 +78,9 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
+def raw_trips(all_trips: DataFrame, service: str) -> DataFrame:
     """One service's trips under the column names of its raw files."""
-    spec = SPECS[service]
-    source = trips(spark, sf_dir).filter(F.col("service") == service)
-    return source.selectExpr(*_raw_columns(spec))
+    return all_trips.filter(f"service = '{service}'").selectExpr(*_raw_columns(SPECS[service]))
 
 
 def _raw_columns(spec: ServiceSpec) -> list[str]:

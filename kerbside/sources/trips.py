@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbside.functions import names
 from kerbside.spec import ServiceSpec
@@ -45,16 +47,34 @@ def conform(df: DataFrame, spec: ServiceSpec) -> DataFrame:
     return df.select(*(value.alias(name) for name, value in declared.items()), *rest)
 
 
-def scan_files(spark: SparkSession, spec: ServiceSpec, paths: list[str]) -> DataFrame:
-    """All given monthly files of one service as one DataFrame with ``service``, ``file_month``.
+def _schemas(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Groups of files that can be read with one schema.
 
-    Files with the same footer schema share one scan, so a service whose files agree is a single
-    multi-file scan however many months it covers. The month comes from the file's path.
+    All footers are merged in one distributed job. Only when types conflict between files, or when
+    they spell the time columns differently, is each file's schema looked at by itself.
     """
-    by_schema: dict[str, tuple] = {}
+    try:
+        merged = spark.read.option("mergeSchema", True).parquet(*paths).schema
+    except Py4JJavaError as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    else:
+        lower = [c.lower() for c in merged.names]
+        if all(sum(time in c for c in lower) <= 1 for time in CANONICAL_TIMES):
+            return [(merged, paths)]
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for path in paths:
         schema = spark.read.parquet(path).schema
-        by_schema.setdefault(schema.json(), (schema, []))[1].append(path)
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return list(groups.values())
+
+
+def scan_files(spark: SparkSession, spec: ServiceSpec, paths: list[str]) -> DataFrame:
+    """All given monthly files of one service as one DataFrame with ``service``, ``file_month``.
+
+    Files whose schemas agree are one multi-file scan, however many months they cover. The month
+    comes from the file's path.
+    """
     scans = [
         conform(
             canonicalise(spark.read.schema(schema).parquet(*same)).withColumns(
@@ -65,11 +85,16 @@ def scan_files(spark: SparkSession, spec: ServiceSpec, paths: list[str]) -> Data
             ),
             spec,
         )
-        for schema, same in by_schema.values()
+        for schema, same in _schemas(spark, paths)
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
+def service_dir(store: str, service: str) -> str:
+    """A service's folder in a store partitioned by service."""
+    return f"{store.rstrip('/')}/service={service}"
+
+
 def load_trips(
     spark: SparkSession, trips_dir: str, spec: ServiceSpec, *more_partitions: str
 ) -> DataFrame:
@@ -83,6 +108,6 @@ def load_trips(
         schema = schema.add(partition, "long")
     return (
         spark.read.schema(schema)
-        .parquet(f"{trips_dir.rstrip('/')}/service={spec.name}")
+        .parquet(service_dir(trips_dir, spec.name))
         .withColumn("service", F.lit(spec.name))
     )

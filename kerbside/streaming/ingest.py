@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import names
 from kerbside.operators.rollup import hourly_parts
 from kerbside.plans.cycle import Warehouse
-from kerbside.sources.trips import canonicalise, load_trips
+from kerbside.sources.trips import canonicalise, load_trips, service_dir
 from kerbside.spec import SPECS, ServiceSpec
 
 
@@ -65,18 +65,21 @@ def stream_ingest(
 
 def _batch_writer(warehouse: Warehouse, spec: ServiceSpec):
     def write(batch: DataFrame, batch_id: int) -> None:
-        _replace(batch.withColumn("batch_id", F.lit(batch_id)), warehouse.trips)
+        numbered = batch.drop("service").withColumn("batch_id", F.lit(batch_id))
+        _replace(numbered, service_dir(warehouse.trips, spec.name))
         written = load_trips(batch.sparkSession, warehouse.trips, spec, "batch_id")
         this_batch = written.filter(F.col("batch_id") == batch_id)
-        _replace(hourly_parts(this_batch, spec, "file_month", "batch_id"), warehouse.parts)
+        parts = hourly_parts(this_batch, spec, "file_month", "batch_id").drop("service")
+        _replace(parts, service_dir(warehouse.parts, spec.name))
 
     return write
 
 
-def _replace(df: DataFrame, store: str) -> None:
+def _replace(df: DataFrame, folder: str) -> None:
+    """Each service writes to a folder of its own: the streams of several run side by side."""
     (
-        df.write.partitionBy("service", "file_month", "batch_id")
+        df.write.partitionBy("file_month", "batch_id")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
-        .parquet(store)
+        .parquet(folder)
     )
