@@ -1,0 +1,243 @@
+"""Ingest from files: idempotence, schema drift, pushdown, refresh, streams."""
+
+import re
+from datetime import datetime
+
+import pytest
+from conftest import plan_of
+from kerbside.operators import rollup
+from kerbside.plans.cycle import Warehouse, run_cycle
+from kerbside.plans.ingest import Slice, load_slices, plan_slices, read_slices
+from kerbside.plans.refresh import existing_rollups, load_parts, merged_rollup
+from kerbside.sources import discovery
+from kerbside.sources.jdbc import JdbcTarget
+from kerbside.sources.trips import canonicalise, load_trips, scan_files
+from kerbside.spec import SPECS
+from kerbside.streaming.hourly import stream_hourly
+from kerbside.streaming.ingest import stream_ingest
+
+FHV = SPECS["fhv"]
+
+
+@pytest.fixture
+def land(spark, tmp_path):
+    """Write one monthly fhv file; pick-ups as given, each trip takes ten minutes."""
+
+    def write(month: str, pickups: list[str], mode: str = "overwrite") -> str:
+        values = ", ".join(f"(TIMESTAMP_NTZ '{p}')" for p in pickups)
+        df = spark.sql(
+            "SELECT p AS pickup_datetime, p + INTERVAL '10' MINUTE AS `dropOff_datetime`, 'B1' AS base"
+            f" FROM VALUES {values} AS t(p)"
+        )
+        path = f"{tmp_path}/landing/fhv_tripdata_{month}.parquet"
+        df.write.mode(mode).parquet(path)
+        return path
+
+    write.folder = f"{tmp_path}/landing"
+    write.store = Warehouse(f"{tmp_path}/store")
+    write.checkpoint = f"{tmp_path}/checkpoint"
+    return write
+
+
+def hours(df) -> dict:
+    return {r.pickup_hour: r.num_trips for r in df.filter("service = 'fhv'").collect()}
+
+
+def stored(spark, store) -> list[datetime]:
+    return sorted(r.pickup_datetime for r in load_trips(spark, store.trips, FHV).collect())
+
+
+def test_loading_a_month_again_changes_nothing(spark, land):
+    land("2024-01", ["2024-01-01 10:00", "2024-01-31 10:00"])
+    land("2024-02", ["2024-02-20 10:00", "2024-02-28 23:00"])
+    first = run_cycle(spark, land.folder, land.store, "2024-02-21")
+    assert first.loaded == {("fhv", "2024-01"): 2, ("fhv", "2024-02"): 1}
+    # The watermark is of February; the reference point moves on to March, which has no file.
+    for _ in range(2):
+        report = run_cycle(spark, land.folder, land.store, "2024-03-15")
+        assert len(stored(spark, land.store)) == 4
+        assert sum(hours(report.rollup).values()) == 4
+    assert existing_rollups(spark, land.store.rollup) == ["fhv"]
+    assert discovery.loaded_months(spark, land.store.trips) == [
+        ("fhv", "2024-01"), ("fhv", "2024-02"),
+    ]
+
+
+def test_late_rows_of_a_rebuilt_month_are_kept(spark, land):
+    land("2024-02", ["2024-02-10 10:00"])
+    run_cycle(spark, land.folder, land.store, "2024-02-15")
+    land("2024-02", ["2024-02-10 10:00", "2024-02-03 07:00"])
+    report = run_cycle(spark, land.folder, land.store, "2024-02-15")
+    assert hours(report.rollup) == {datetime(2024, 2, 10, 10): 1, datetime(2024, 2, 3, 7): 1}
+
+
+def test_stray_pickup_hides_no_month(spark, land):
+    land("2024-01", ["2024-01-05 10:00", "2024-03-09 10:00", "2031-01-01 00:00"])
+    run_cycle(spark, land.folder, land.store, "2024-03-15")
+    land("2024-02", ["2024-02-05 10:00"])
+    report = run_cycle(spark, land.folder, land.store, "2024-03-15")
+    assert report.loaded[("fhv", "2024-02")] == 1
+    assert len(stored(spark, land.store)) == 4
+
+
+def test_hour_fed_by_two_files_survives_a_reload_of_one(spark, land):
+    land("2024-01", ["2024-01-31 23:50", "2024-02-01 00:10"])
+    land("2024-02", ["2024-02-01 00:20"])
+    run_cycle(spark, land.folder, land.store, "2024-03-01")
+    report = run_cycle(spark, land.folder, land.store, "2024-02-02")
+    assert hours(report.rollup) == {datetime(2024, 1, 31, 23): 1, datetime(2024, 2, 1): 2}
+
+
+def test_incremental_refresh_equals_full_recompute(spark, land):
+    land("2024-01", ["2024-01-01 10:00", "2024-02-01 00:10"])
+    run_cycle(spark, land.folder, land.store, "2024-02-01 12:00")
+    land("2024-02", ["2024-02-01 00:20", "2024-02-02 05:00"])
+    report = run_cycle(spark, land.folder, land.store, "2024-03-01")
+    full = rollup.hourly_rollup(load_trips(spark, land.store.trips, FHV), FHV)
+    chosen = report.rollup.select(full.columns)
+    assert sorted(chosen.collect()) == sorted(full.collect())
+
+
+def test_append_mode_takes_what_is_strictly_between(spark, land):
+    path = land("2024-02", ["2024-02-01", "2024-02-02", "2024-02-03"])
+    one = Slice("fhv", "2024-02", path, datetime(2024, 2, 1), datetime(2024, 2, 3))
+    assert load_slices(spark, [one], land.store.trips, "append") == {("fhv", "2024-02"): 1}
+    assert load_slices(spark, [one], land.store.trips, "append") == {("fhv", "2024-02"): 1}
+    assert stored(spark, land.store) == [datetime(2024, 2, 2)] * 2
+
+
+def test_empty_slice_is_skipped_and_leaves_its_partition(spark, land):
+    path = land("2024-02", ["2024-02-01"])
+    load_slices(spark, [Slice("fhv", "2024-02", path)], land.store.trips)
+    early = Slice("fhv", "2024-02", path, None, datetime(2024, 1, 1))
+    assert load_slices(spark, [early], land.store.trips) == {("fhv", "2024-02"): 0}
+    assert len(stored(spark, land.store)) == 1
+
+
+def test_planned_months_without_a_file_are_left_out(spark, land):
+    land("2024-01", ["2024-01-01"])
+    planned = plan_slices(spark, land.folder, land.store.trips, "2024-03-15")
+    assert [(s.service, s.file_month) for s in planned] == [("fhv", "2024-01")]
+
+
+def test_discovery_sees_one_row_per_month(spark, land, tmp_path):
+    land("2024-01", ["2024-01-01"])
+    land("2024-01", ["2024-01-02"], mode="append")
+    (tmp_path / "landing" / "notes.txt").write_text("no trips")
+    rows = discovery.discover_files(spark, land.folder).collect()
+    assert [(r.service, r.file_month, r.path.rsplit("/", 1)[1]) for r in rows] == [
+        ("fhv", "2024-01", "fhv_tripdata_2024-01.parquet")
+    ]
+    assert rows[0].bytes > 0
+
+
+def test_bounds_reach_the_parquet_reader(spark, land):
+    path = land("2024-02", ["2024-02-01", "2024-02-02"])
+    one = Slice("fhv", "2024-02", path, datetime(2024, 2, 1), datetime(2024, 2, 3))
+    plan = plan_of(read_slices(spark, FHV, [one]))
+    assert "GreaterThan(pickup_datetime,2024-02-01T00:00" in plan
+    assert "LessThan(pickup_datetime,2024-02-03T00:00" in plan
+
+
+def test_store_scan_reads_needed_columns_of_chosen_months(spark, land):
+    path = land("2024-02", ["2024-02-01"])
+    load_slices(spark, [Slice("fhv", "2024-02", path)], land.store.trips)
+    trips = load_trips(spark, land.store.trips, FHV).filter("file_month IN ('2024-02')")
+    plan = plan_of(rollup.hourly_rollup(trips, FHV, "2024-02-01", "2024-03-01"))
+    assert re.search(r"PartitionFilters: \[.*file_month", plan)
+    assert "GreaterThanOrEqual(pickup_datetime,2024-02-01T00:00" in plan
+    assert "ReadSchema: struct<pickup_datetime:timestamp_ntz,dropoff_datetime:timestamp_ntz>" in plan
+
+
+def test_other_columns_of_the_file_are_stored(spark, land):
+    path = land("2024-02", ["2024-02-01"])
+    load_slices(spark, [Slice("fhv", "2024-02", path)], land.store.trips)
+    assert spark.read.parquet(land.store.trips).first().base == "B1"
+
+
+def test_types_that_drift_between_months_are_cast(spark, tmp_path):
+    base = "TIMESTAMP_NTZ '2024-01-01 10:00' AS {}pickup_datetime, TIMESTAMP_NTZ '2024-01-01 11:00' AS {}dropoff_datetime"
+    for month, prefix, fee in [("01", "lpep_", "7"), ("02", "lpep_", "7.5D"), ("03", "Lpep_", "NULL")]:
+        spark.sql(f"SELECT {base.format(prefix, prefix)}, {fee} AS fare_amount").selectExpr(
+            "*", "1L AS extra"
+        ).write.parquet(f"{tmp_path}/green_tripdata_2024-{month}.parquet")
+    paths = [f"{tmp_path}/green_tripdata_2024-{m}.parquet" for m in ("01", "02", "03")]
+    df = scan_files(spark, SPECS["green"], paths)
+    assert dict(df.dtypes)["fare_amount"] == "double"
+    got = {r.file_month: (r.fare_amount, r.extra, r.tip_amount) for r in df.collect()}
+    assert got == {
+        "2024-01": (7.0, 1.0, None), "2024-02": (7.5, 1.0, None), "2024-03": (None, 1.0, None),
+    }
+
+
+def test_time_columns_named_differently_between_months(spark, tmp_path):
+    for month, prefix in [("01", "lpep_"), ("02", "")]:
+        spark.sql(
+            f"SELECT TIMESTAMP_NTZ '2024-{month}-01' AS {prefix}pickup_datetime,"
+            f" TIMESTAMP_NTZ '2024-{month}-02' AS {prefix}dropoff_datetime"
+        ).write.parquet(f"{tmp_path}/green_tripdata_2024-{month}.parquet")
+    paths = [f"{tmp_path}/green_tripdata_2024-{m}.parquet" for m in ("01", "02")]
+    got = scan_files(spark, SPECS["green"], paths).collect()
+    assert sorted(r.pickup_datetime.month for r in got) == [1, 2]
+
+
+def test_first_matching_column_wins_and_none_is_an_error(spark):
+    df = spark.createDataFrame([(1, 2, 3)], ["tpep_PICKUP_datetime", "old_pickup_datetime", "Dropoff_DateTime"])
+    assert canonicalise(df).columns == ["pickup_datetime", "old_pickup_datetime", "dropoff_datetime"]
+    with pytest.raises(ValueError, match="dropoff_datetime"):
+        canonicalise(df.drop("Dropoff_DateTime"))
+
+
+def test_unreadable_file_ends_the_run(spark, land, tmp_path):
+    land("2024-01", ["2024-01-01"])
+    (tmp_path / "landing" / "fhv_tripdata_2024-02.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        run_cycle(spark, land.folder, land.store, "2024-03-15")
+
+
+def test_stream_loads_each_file_once_and_equals_batch(spark, land):
+    land("2024-01", ["2024-01-01 10:00", "2024-01-31 23:59"])
+    stream_ingest(spark, land.folder, land.store, land.checkpoint, ["fhv"])
+    assert len(stored(spark, land.store)) == 2
+    stream_ingest(spark, land.folder, land.store, land.checkpoint, ["fhv"])
+    land("2024-02", ["2024-01-31 23:30", "2024-02-01 00:00"])
+    stream_ingest(spark, land.folder, land.store, land.checkpoint, ["fhv"])
+    land("2024-02", ["2024-02-09 00:00"], mode="append")
+    stream_ingest(spark, land.folder, land.store, land.checkpoint, ["fhv"], files_per_batch=1)
+    trips = load_trips(spark, land.store.trips, FHV)
+    assert trips.count() == 5
+    merged = merged_rollup(load_parts(spark, land.store.parts)).filter("service = 'fhv'")
+    direct = rollup.hourly_rollup(trips, FHV)
+    assert sorted(merged.select(direct.columns).collect()) == sorted(direct.collect())
+
+
+def test_streams_of_several_services_share_a_store(spark, land):
+    land("2024-01", ["2024-01-01 10:00"])
+    spark.read.parquet(f"{land.folder}/fhv_tripdata_2024-01.parquet").selectExpr(
+        "pickup_datetime AS lpep_pickup_datetime", "`dropOff_datetime` AS lpep_dropoff_datetime"
+    ).write.parquet(f"{land.folder}/green_tripdata_2024-01.parquet")
+    stream_ingest(spark, land.folder, land.store, land.checkpoint, ["fhv", "green"])
+    got = load_parts(spark, land.store.parts).select("service", "num_trips").collect()
+    assert sorted(tuple(r) for r in got) == [("fhv", 1), ("green", 1)]
+
+
+def test_stream_hourly_holds_back_open_hours(spark, land, tmp_path):
+    land("2024-01", ["2024-01-01 10:05", "2024-01-01 10:50", "2024-01-01 11:30", "2024-01-01 13:00"])
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stream_hourly(spark, land.folder, FHV, f"{tmp_path}/out", land.checkpoint)
+        got = spark.read.parquet(f"{tmp_path}/out").orderBy("pickup_hour").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [(r.pickup_hour.hour, r.num_trips, r.avg_trip_time_min) for r in got] == [
+        (10, 2, 10.0), (11, 1, 10.0),
+    ]
+
+
+def test_jdbc_options():
+    target = JdbcTarget("jdbc:postgresql://h/db", "u", "p", options={"fetchsize": "1000"})
+    assert target.as_options("fhv_tripdata") == {
+        "url": "jdbc:postgresql://h/db", "dbtable": "fhv_tripdata", "user": "u", "password": "p",
+        "driver": "org.postgresql.Driver", "fetchsize": "1000",
+    }
+    assert "password" not in repr(target) and "user" not in JdbcTarget("jdbc:x").as_options("t")
