@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kerbside.functions.clock import Moment
 from kerbside.plans.ingest import load_slices, plan_slices
 from kerbside.plans.refresh import load_parts, refresh_parts, refresh_rollup
-from kerbside.session import configure
+from kerbside.session import job_settings
 from kerbside.sources import paths
 
 
@@ -53,10 +53,10 @@ def run_cycle(
     The watermark is read from the partial rollups, so apart from the new files only what was just
     loaded is read. Running it again with the same ``as_of`` changes nothing in ``replace`` mode.
     """
-    configure(spark)
-    parts = load_parts(spark, warehouse.parts) if paths.exists(spark, warehouse.parts) else None
-    slices = plan_slices(spark, landing, warehouse.trips, as_of, mode, year, parts)
-    loaded = load_slices(spark, slices, warehouse.trips, mode)
-    touched = [key for key, rows in loaded.items() if rows]
-    refresh_parts(spark, warehouse.trips, warehouse.parts, touched)
-    return CycleReport(loaded, refresh_rollup(spark, warehouse.parts, warehouse.rollup))
+    with job_settings(spark):
+        parts = load_parts(spark, warehouse.parts) if paths.exists(spark, warehouse.parts) else None
+        slices = plan_slices(spark, landing, warehouse.trips, as_of, mode, year, parts)
+        loaded = load_slices(spark, slices, warehouse.trips, mode)
+        touched = [key for key, rows in loaded.items() if rows]
+        refresh_parts(spark, warehouse.trips, warehouse.parts, touched)
+        return CycleReport(loaded, refresh_rollup(spark, warehouse.parts, warehouse.rollup))

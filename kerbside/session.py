@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,18 +47,24 @@ def local_session(
     return builder.getOrCreate()
 
 
-def utc_session(spark: SparkSession) -> SparkSession:
-    """``spark`` itself when it runs in UTC, else a sibling session that does.
+@contextmanager
+def job_settings(spark: SparkSession) -> Iterator[None]:
+    """Apply :data:`RUNTIME_CONF` for the length of a job and put the caller's settings back.
 
-    Only streaming needs this: its event time must be a zoned timestamp, and a wall-clock time
-    survives that cast unchanged only under UTC. Batch expressions do not depend on the zone.
+    Batch expressions do not depend on the zone. It matters where zoned times come in: files that
+    store them, and streams, whose event time has to be zoned; wall-clock times survive that cast
+    unchanged only under UTC.
     """
-    if spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC"):
-        return spark
-    sibling = spark.newSession()
-    for key, value in RUNTIME_CONF.items():
-        sibling.conf.set(key, value)
-    return sibling
+    before = {key: spark.conf.get(key, None) for key in RUNTIME_CONF}
+    configure(spark)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators.rollup import averaged
-from kerbside.session import utc_session
+from kerbside.session import job_settings
 from kerbside.spec import ServiceSpec
 from kerbside.streaming.ingest import read_landing
 
@@ -45,14 +45,14 @@ def stream_hourly(
     delay: str = "1 hour",
 ) -> None:
     """Process the files that are there, append newly closed hours to ``output`` and stop."""
-    utc = utc_session(spark)
-    query = (
-        hourly_stream(read_landing(utc, landing, spec), spec, delay)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", output)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with job_settings(spark):
+        query = (
+            hourly_stream(read_landing(spark, landing, spec), spec, delay)
+            .writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", output)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import names
 from kerbside.operators.rollup import hourly_parts
 from kerbside.plans.cycle import Warehouse
+from kerbside.session import job_settings
 from kerbside.sources.trips import canonicalise, load_trips, service_dir
 from kerbside.spec import SPECS, ServiceSpec
 
@@ -48,19 +49,18 @@ def stream_ingest(
     replaces what it wrote before. Its partial rollups follow the same rule, so refreshing the
     rollup reads no trips. Months may arrive in any number of files.
     """
-    queries = []
-    for service in services or list(SPECS):
-        spec = SPECS[service]
-        queries.append(
+    with job_settings(spark):
+        queries = [
             read_landing(spark, landing, spec, files_per_batch)
             .writeStream.foreachBatch(_batch_writer(warehouse, spec))
-            .option("checkpointLocation", f"{checkpoint}/{service}")
+            .option("checkpointLocation", f"{checkpoint}/{spec.name}")
             .trigger(availableNow=True)
-            .queryName(f"ingest-{service}")
+            .queryName(f"ingest-{spec.name}")
             .start()
-        )
-    for query in queries:
-        query.awaitTermination()
+            for spec in (SPECS[service] for service in services or SPECS)
+        ]
+        for query in queries:
+            query.awaitTermination()
 
 
 def _batch_writer(warehouse: Warehouse, spec: ServiceSpec):

@@ -241,3 +241,13 @@ def test_jdbc_options():
         "driver": "org.postgresql.Driver", "fetchsize": "1000",
     }
     assert "password" not in repr(target) and "user" not in JdbcTarget("jdbc:x").as_options("t")
+
+
+def test_a_cycle_leaves_the_session_as_it_was(spark, land):
+    land("2024-01", ["2024-01-01 10:00"])
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        run_cycle(spark, land.folder, land.store, "2024-02-01")
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Kolkata"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
