@@ -46,7 +46,7 @@ def hour_start(number: str) -> str:
 
 def epoch_micros(ts: str) -> str:
     """Microseconds since 1970-01-01 00:00 on the wall clock."""
-    return f"timestampdiff(MICROSECOND, {EPOCH}, {ts})"
+    return f"CAST(CAST({ts} - {EPOCH} AS DECIMAL(18, 6)) * 1000000 AS BIGINT)"
 
 
 def minutes_between(start: str, end: str) -> str:

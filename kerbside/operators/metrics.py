@@ -67,13 +67,16 @@ def counter_rate(
     def bucket(micros: str) -> str:
         return f"({micros} - pmod({micros}, {width})) DIV {width}"
 
-    series = f"PARTITION BY {', '.join(SERIES)}, bucket ORDER BY at"
+    # Sorting compares the number first and rarely gets to the labels.
+    labels = ", ".join([*SERIES, "bucket"])
+    series = f"PARTITION BY group_hash, {labels} ORDER BY at"
     window = f"({series} RANGE BETWEEN {reach} PRECEDING AND CURRENT ROW)"
     before = f"lag(value) OVER ({series})"
     return (
         samples.selectExpr("ts", *SERIES, "value", f"{clock.epoch_micros('ts')} AS at")
         .selectExpr("*", f"{bucket('at')} AS home")
         .selectExpr("*", f"explode(sequence(home, {bucket(f'(at + {reach})')})) AS bucket")
+        .selectExpr("*", f"xxhash64({labels}) AS group_hash")
         .selectExpr("*", f"value - CASE WHEN value < {before} THEN 0 ELSE {before} END AS step")
         # The first sample of the window counts with its time, not with the step that led to it.
         .selectExpr(
