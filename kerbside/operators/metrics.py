@@ -69,24 +69,45 @@ def counter_rate(
 
     # Sorting compares the number first and rarely gets to the labels.
     labels = ", ".join([*SERIES, "bucket"])
-    series = f"PARTITION BY group_hash, {labels} ORDER BY at"
-    window = f"({series} RANGE BETWEEN {reach} PRECEDING AND CURRENT ROW)"
-    before = f"lag(value) OVER ({series})"
-    return (
+    group = f"PARTITION BY group_hash, {labels}"
+    before = f"lag(value) OVER ({group} ORDER BY at)"
+    gained = (
         samples.selectExpr("ts", *SERIES, "value", f"{clock.epoch_micros('ts')} AS at")
         .selectExpr("*", f"{bucket('at')} AS home")
         .selectExpr("*", f"explode(sequence(home, {bucket(f'(at + {reach})')})) AS bucket")
         .selectExpr("*", f"xxhash64({labels}) AS group_hash")
         .selectExpr("*", f"value - CASE WHEN value < {before} THEN 0 ELSE {before} END AS step")
-        # The first sample of the window counts with its time, not with the step that led to it.
         .selectExpr(
             "*",
-            f"sum(step) OVER {window} - coalesce(first(step) OVER {window}, 0) AS increase",
-            f"at - first(at) OVER {window} AS elapsed",
+            f"coalesce(sum(step) OVER ({group} ORDER BY at ROWS UNBOUNDED PRECEDING), 0) AS gain",
+        )
+    )
+    # The first sample of a window is the next one after the time the window opens. Sort these
+    # opening times among the samples, latest first, and carry the last sample seen: unlike a
+    # sliding frame, this costs the same however many samples a window has.
+    opens = f"CASE WHEN bucket = home THEN struct(true AS opens, at - {reach + 1} AS place) END"
+    seen = f"OVER ({group} ORDER BY place DESC, opens DESC ROWS UNBOUNDED PRECEDING)"
+    return (
+        gained.selectExpr(
+            "ts",
+            *SERIES,
+            "bucket",
+            "group_hash",
+            "at",
+            "gain",
+            f"inline(array_compact(array(struct(false AS opens, at AS place), {opens})))",
+        )
+        .selectExpr(
+            "*",
+            f"last(CASE WHEN NOT opens THEN at END, true) {seen} AS first_at",
+            f"last(CASE WHEN NOT opens THEN gain END, true) {seen} AS first_gain",
         )
-        .filter("bucket = home")
+        .filter("opens")
         .selectExpr(
-            "ts", *SERIES, f"CASE WHEN elapsed > 0 THEN increase / (elapsed / {MICROS}) END AS rate"
+            "ts",
+            *SERIES,
+            f"CASE WHEN at > first_at THEN (gain - first_gain) / ((at - first_at) / {MICROS}) END"
+            " AS rate",
         )
     )
 
