@@ -49,9 +49,9 @@ def epoch_micros(ts: str) -> str:
     return f"CAST(CAST({ts} - {EPOCH} AS DECIMAL(18, 6)) * 1000000 AS BIGINT)"
 
 
-def minutes_between(start: str, end: str) -> str:
-    """Elapsed minutes with their fraction; NULL when either end is."""
-    return f"CAST(CAST({end} - {start} AS DECIMAL(18, 6)) AS DOUBLE) / 60"
+def seconds_between(start: str, end: str) -> str:
+    """Elapsed seconds with their fraction; NULL when either end is."""
+    return f"CAST(CAST({end} - {start} AS DECIMAL(18, 6)) AS DOUBLE)"
 
 
 # Weeks start on Sunday, day 0.

@@ -19,12 +19,15 @@ from kerbside.spec import HOURLY_COLUMNS, SPECS, ServiceSpec
 
 
 def averaged(trips: DataFrame, spec: ServiceSpec) -> dict[str, str]:
-    """What each average of the rollup is taken over, per trip. NULLs drop out of the average."""
+    """What each average of the rollup is taken over, per trip. NULLs drop out of the average.
+
+    Durations between two times are in seconds, see :func:`unit`.
+    """
     over = {}
     if spec.wait:
-        over["avg_request_to_on_scene_time_min"] = clock.minutes_between(*spec.wait)
+        over["avg_request_to_on_scene_time_min"] = clock.seconds_between(*spec.wait)
     if spec.seconds is None:
-        over["avg_trip_time_min"] = clock.minutes_between("pickup_datetime", "dropoff_datetime")
+        over["avg_trip_time_min"] = clock.seconds_between("pickup_datetime", "dropoff_datetime")
     elif isinstance(trips.schema[spec.seconds].dataType, T.IntegralType):
         # Stored whole seconds count as whole minutes, cut toward zero, before averaging.
         over["avg_trip_time_min"] = f"{spec.seconds} DIV 60"
@@ -35,6 +38,17 @@ def averaged(trips: DataFrame, spec: ServiceSpec) -> dict[str, str]:
     return over
 
 
+def unit(average: str, spec: ServiceSpec) -> str:
+    """What an average is divided by after averaging.
+
+    Whole seconds sum up exactly in any order, minutes with their fractions do not.
+    """
+    in_seconds = ["avg_request_to_on_scene_time_min"]
+    if spec.seconds is None:
+        in_seconds.append("avg_trip_time_min")
+    return " / 60" if average in in_seconds else ""
+
+
 HOUR = clock.hour_number("pickup_datetime") + " AS hour_number"
 
 
@@ -92,7 +106,9 @@ def hourly_rollup(
     """
     trips = pickups_between(trips, start, end)
     outputs = {"num_trips": "count(1)"}
-    outputs |= {out: f"avg({value})" for out, value in averaged(trips, spec).items()}
+    outputs |= {
+        out: f"avg({value}){unit(out, spec)}" for out, value in averaged(trips, spec).items()
+    }
     outputs |= {out: f"sum({source})" for out, source in spec.money.items()}
     return _finish(_aggregate(trips, [HOUR], outputs), spec)
 
@@ -144,7 +160,7 @@ def merge_parts(parts: DataFrame, spec: ServiceSpec) -> DataFrame:
     outputs = {"num_trips": "sum(num_trips)"}
     for average in spec.averages:
         total, count = _sum_of(average), _count_of(average)
-        outputs[average] = f"sum({total}) / nullif(sum({count}), 0)"
+        outputs[average] = f"sum({total}) / nullif(sum({count}), 0){unit(average, spec)}"
     outputs |= {out: f"sum({out})" for out in spec.money}
     own = parts.filter(F.col("service") == spec.name)
     return _finish(_aggregate(own, ["hour_number"], outputs), spec)

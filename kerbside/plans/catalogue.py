@@ -1,7 +1,8 @@
 """Every operator as a query over the driver's tables.
 
-Doubles are rounded here, not in the library: amounts to cents and averages to 6 places, so that
-results do not show the order in which a sum was taken.
+Doubles are rounded here, not in the library, so that results do not show the order in which a sum
+was taken: amounts to cents, quantiles and rates to 6 places. Hourly averages are compared to the
+last bit, as whole seconds and half miles sum up exactly.
 """
 
 from __future__ import annotations
@@ -33,13 +34,14 @@ LOADED_UNTIL = {"fhvhv": "2024-01-20", "fhv": "2024-03-10", "yellow": "2024-02-2
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Round doubles: ``total_*`` and ``amount`` to 2 places, all others to 6."""
+    """Round doubles: ``total_*`` and ``amount`` to 2 places, all others but averages to 6."""
     cents = ("total_", "amount")
 
     def column(field: StructField) -> str:
-        if not isinstance(field.dataType, DoubleType):
-            return field.name
-        return f"round({field.name}, {2 if field.name.startswith(cents) else 6}) AS {field.name}"
+        name = field.name
+        if not isinstance(field.dataType, DoubleType) or name.startswith("avg_"):
+            return name
+        return f"round({name}, {2 if name.startswith(cents) else 6}) AS {name}"
 
     return df.selectExpr(*map(column, df.schema))
 

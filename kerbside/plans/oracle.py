@@ -74,13 +74,13 @@ def _hourly() -> str:
 hourly AS (
   SELECT service, date_trunc('hour', pickup_datetime)::TIMESTAMP AS pickup_hour,
     count(*) AS num_trips,
-    round(avg(CASE WHEN service = 'fhvhv'
-      THEN extract(epoch FROM on_scene_datetime - request_datetime) / 60 END), 6)
+    avg(CASE WHEN service = 'fhvhv'
+      THEN extract(epoch FROM on_scene_datetime - request_datetime) END) / 60
       AS avg_request_to_on_scene_time_min,
-    round(avg(CASE WHEN service = 'fhvhv' THEN (trip_time // 60)::DOUBLE
-      ELSE extract(epoch FROM dropoff_datetime - pickup_datetime) / 60 END), 6)
+    CASE WHEN service = 'fhvhv' THEN avg(trip_time // 60)
+      ELSE avg(extract(epoch FROM dropoff_datetime - pickup_datetime)) / 60 END
       AS avg_trip_time_min,
-    round(avg(CASE WHEN service <> 'fhv' THEN miles END), 6) AS avg_trip_miles,
+    avg(CASE WHEN service <> 'fhv' THEN miles END) AS avg_trip_miles,
     {sums},
     round(CASE service {totals} END, 2) AS total_amount_payed
   FROM trips GROUP BY service, date_trunc('hour', pickup_datetime))"""

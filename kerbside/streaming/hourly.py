@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.operators.rollup import averaged
+from kerbside.operators.rollup import averaged, unit
 from kerbside.session import job_settings
 from kerbside.spec import ServiceSpec
 from kerbside.streaming.ingest import read_landing
@@ -19,7 +19,9 @@ def hourly_stream(trips: DataFrame, spec: ServiceSpec, delay: str = "1 hour") ->
     dropped. Event time must be zoned, hence the cast: run it in a UTC session.
     """
     outputs = {"num_trips": "count(1)"}
-    outputs |= {out: f"avg({value})" for out, value in averaged(trips, spec).items()}
+    outputs |= {
+        out: f"avg({value}){unit(out, spec)}" for out, value in averaged(trips, spec).items()
+    }
     outputs |= {out: f"CAST(sum({source}) AS DOUBLE)" for out, source in spec.money.items()}
     closed = (
         trips.withColumn("event_time", F.expr("CAST(pickup_datetime AS TIMESTAMP)"))

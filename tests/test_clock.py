@@ -35,11 +35,11 @@ def test_null_time_has_no_hour(spark):
     assert evaluate(spark, clock.hour_number("CAST(NULL AS TIMESTAMP_NTZ)")) is None
 
 
-def test_minutes_keep_fractions_and_sign(spark):
+def test_seconds_keep_fractions_and_sign(spark):
     a, b = "TIMESTAMP_NTZ '2024-01-01 00:00:00'", "TIMESTAMP_NTZ '2024-01-01 00:01:30.6'"
-    assert evaluate(spark, clock.minutes_between(a, b)) == pytest.approx(1.51)
-    assert evaluate(spark, clock.minutes_between(b, a)) == pytest.approx(-1.51)
-    assert evaluate(spark, clock.minutes_between(a, "CAST(NULL AS TIMESTAMP_NTZ)")) is None
+    assert evaluate(spark, clock.seconds_between(a, b)) == 90.6
+    assert evaluate(spark, clock.seconds_between(b, a)) == -90.6
+    assert evaluate(spark, clock.seconds_between(a, "CAST(NULL AS TIMESTAMP_NTZ)")) is None
 
 
 @pytest.mark.parametrize(
