@@ -7,6 +7,7 @@ from pathlib import Path
 import __spark_entry__ as contract
 import compare
 import pytest
+from kerbside.plans import catalogue, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables not there")
@@ -18,10 +19,15 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert catalogue.queries().keys() == oracle.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+def test_contract_holds_the_catalogue():
+    assert catalogue.queries().keys() <= contract.queries().keys()
+    assert oracle.oracle_sql().items() <= contract.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", catalogue.queries())
 def test_query_equals_oracle(spark, duck, name):
     got = contract.queries()[name](spark, SF_DIR).toPandas()
     expected = duck.sql(contract.oracle_sql()[name]).df()
