@@ -1,0 +1,96 @@
+"""DuckDB SQL for the queries that SQL can express. The others are tested against brute force."""
+
+from __future__ import annotations
+
+import string
+
+UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+TOKEN = r"[^\x20\x09-\x0D]+"
+
+OP3 = rf"""
+WITH items AS (
+  SELECT coalesce(item_id::VARCHAR, 'null') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w
+  FROM benchmark
+), cut AS (
+  SELECT item, unnest(list_transform(range(1, greatest(len(w) - 10, 0) + 2),
+                                     lambda i: w[i:i + 9])) AS win
+  FROM items WHERE len(w) > 0
+), wins AS (SELECT DISTINCT item, len(win) AS n, array_to_string(win, ' ') AS win FROM cut),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w
+  FROM documents
+), places AS (
+  SELECT r, l.n, unnest(list_transform(range(1, len(w) - l.n + 2),
+                        lambda i: {{'i': i, 's': array_to_string(w[i:i + l.n - 1], ' ')}})) AS p
+  FROM docs, (SELECT DISTINCT n FROM wins) l WHERE len(w) >= l.n
+), found AS (
+  SELECT r, p.i AS i, places.n AS n, item FROM places JOIN wins ON wins.win = p.s AND wins.n = places.n
+), covered AS (
+  SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM found) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+OP5 = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{TOKEN}'))::BIGINT AS size,
+         ('0x' || md5('0:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS place
+  FROM documents
+), sizes AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no
+  FROM sized GROUP BY source
+), weighed AS (SELECT *, (no % 3 + 1)::DOUBLE AS weight FROM sizes),
+lefts AS (
+  SELECT *, sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER before, 0) AS rest,
+         sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left
+  FROM weighed
+  WINDOW before AS (ORDER BY source_size / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), aimed AS (
+  SELECT *, least(max(rest / weight_left) OVER () * weight, (3 * source_size)::DOUBLE) AS target
+  FROM lefts
+), spans AS (
+  SELECT *, (sum(target) OVER upto - target) / sum(target) OVER () AS lo,
+         sum(target) OVER upto / sum(target) OVER () AS hi
+  FROM aimed WINDOW upto AS (ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), counts AS (
+  SELECT sum(size)::BIGINT AS words,
+         greatest(1, sum(size)::BIGINT // greatest(65536, 64 * (SELECT count(*) FROM sizes))) AS block
+  FROM sized
+), slots AS (
+  SELECT unnest(range((words + block - 1) // block)) AS slot FROM counts
+), points AS (SELECT slot, slot * 0.6180339887498949::DOUBLE - floor(slot * 0.6180339887498949::DOUBLE) AS u FROM slots),
+ranked AS (
+  SELECT no, row_number() OVER (PARTITION BY no ORDER BY slot) - 1 AS rank,
+         (source_size + block - 1) // block AS n_blocks
+  FROM points JOIN spans ON lo <= u AND u < hi, counts
+), uses AS (
+  SELECT no, rank % n_blocks AS block_no, count(*) AS uses FROM ranked
+  WHERE rank // n_blocks < 3 GROUP BY ALL
+), streamed AS (
+  SELECT row_number() OVER () AS r, d.*, no, source_size, target,
+         sum(size) OVER (PARTITION BY no ORDER BY place, doc_id NULLS FIRST, size
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT - size AS start
+  FROM sized d JOIN spans s ON d.source IS NOT DISTINCT FROM s.source
+), pieces AS (
+  SELECT r, no, unnest(range(start // block, (start + size - 1) // block + 1))::BIGINT AS block_no, block, start, size
+  FROM streamed, counts WHERE size > 0
+), taken AS (
+  SELECT r, sum((least(start + size, (block_no + 1) * block) - greatest(start, block_no * block))
+                * coalesce(uses, 0))::BIGINT AS taken
+  FROM pieces LEFT JOIN uses USING (no, block_no) GROUP BY r
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, source
+FROM streamed LEFT JOIN taken USING (r)
+"""
+
+ORACLES = {"op3_decontamination": OP3, "op5_mixing": OP5}
