@@ -94,3 +94,17 @@ FROM streamed LEFT JOIN taken USING (r)
 """
 
 ORACLES = {"op3_decontamination": OP3, "op5_mixing": OP5}
+
+OP2 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM m
+"""
+
+ORACLES |= {"op2_warc": OP2}
