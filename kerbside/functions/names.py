@@ -54,6 +54,11 @@ def file_month_of(path: Column) -> Column:
     return F.concat(_part(path, 2), F.lit("-"), _part(path, 3))
 
 
+def month_in_trip_path(path: Column) -> Column:
+    """The same month for paths known to name a trip file, without a regular expression."""
+    return F.left(F.substring_index(path, "_tripdata_", -1), F.lit(7))
+
+
 def expense_label(column: Column) -> Column:
     """A contribution's label: every ``total_`` in the name goes, wherever it stands."""
     return F.replace(column, F.lit("total_"), F.lit(""))

@@ -28,11 +28,14 @@ def averaged(trips: DataFrame, spec: ServiceSpec) -> dict[str, str]:
         over["avg_request_to_on_scene_time_min"] = clock.seconds_between(*spec.wait)
     if spec.seconds is None:
         over["avg_trip_time_min"] = clock.seconds_between("pickup_datetime", "dropoff_datetime")
-    elif isinstance(trips.schema[spec.seconds].dataType, T.IntegralType):
+    elif not isinstance(trips.schema[spec.seconds].dataType, T.IntegralType):
+        over["avg_trip_time_min"] = f"{spec.seconds} / 60"
+    else:
         # Stored whole seconds count as whole minutes, cut toward zero, before averaging.
         over["avg_trip_time_min"] = f"{spec.seconds} DIV 60"
-    else:
-        over["avg_trip_time_min"] = f"{spec.seconds} / 60"
+        if spec.floating_seconds in trips.columns:
+            floating = f"{spec.floating_seconds} / 60"
+            over["avg_trip_time_min"] = f"coalesce({spec.seconds} DIV 60, {floating})"
     if spec.distance:
         over["avg_trip_miles"] = spec.distance
     return over
@@ -182,6 +185,14 @@ def parts_schema() -> T.StructType:
     return schema
 
 
+def rollup_schema() -> T.StructType:
+    """Schema of a stored rollup of all services, without the service."""
+    special = {"pickup_hour": T.TimestampNTZType(), "num_trips": T.LongType()}
+    return T.StructType(
+        [T.StructField(c, special.get(c, T.DoubleType())) for c in HOURLY_COLUMNS]
+    )
+
+
 def watermark(trips: DataFrame) -> DataFrame:
     """Latest pick-up per service: (service, watermark). Reads one column of the trips."""
     return trips.groupBy("service").agg(F.max("pickup_datetime").alias("watermark"))

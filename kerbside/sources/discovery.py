@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,27 +13,51 @@ from kerbside.sources import paths
 from kerbside.spec import SERVICES, SPECS
 
 
+class TripFile(NamedTuple):
+    """One month of one service: a file, or a folder of part files."""
+
+    service: str
+    table_name: str
+    file_month: str
+    path: str
+    bytes: int
+
+
+class Landing(NamedTuple):
+    """A landing folder's trip files, and the names of what is none or of an unknown service."""
+
+    files: list[TripFile]
+    ignored: list[str]
+
+
+def list_landing(spark: SparkSession, landing: str) -> Landing:
+    """List the landing folder: one call for it and one for each month that is a folder.
+
+    It has an entry per monthly file, so the listing stays small whatever the files hold. Hidden
+    names are passed over.
+    """
+    files, ignored = [], []
+    for entry in paths.entries(spark, f"{landing.rstrip('/')}/*"):
+        if entry.name[0] in "._":
+            continue
+        found = re.search(names.TRIP_FILE, entry.name)
+        service = found and found[1].removesuffix("_tripdata")
+        held = paths.data_files(spark, entry.path) if entry.is_folder else [entry]
+        if service not in SPECS or not held:
+            ignored.append(entry.name)
+            continue
+        size = sum(e.length for e in held)
+        files.append(TripFile(service, found[1], f"{found[2]}-{found[3]}", entry.path, size))
+    return Landing(files, ignored)
+
+
 def discover_files(spark: SparkSession, landing: str) -> DataFrame:
     """Monthly trip files under ``landing``: (service, table_name, file_month, path, bytes).
 
-    A month may be one file or a folder of part files; either is one row. Only the listing is
-    used: the ``content`` column is pruned, so no data is read. Files of unknown services and files
-    with other names are left out.
+    A month may be one file or a folder of part files; either is one row.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(landing)
-        .select("path", "length")
-    )
-    # Cut the path after the monthly name: part files of one month share the rest.
-    month_path = F.regexp_extract("path", r"^(.*_tripdata_\d{4}-\d{2}\.parquet)(?:/|$)", 1)
-    return (
-        trip_files(listed.select("length", F.col("path"), month_path.alias("month_path")), "path")
-        .groupBy("service", "table_name", "file_month", F.col("month_path").alias("path"))
-        .agg(F.sum("length").alias("bytes"))
-    )
+    schema = "service string, table_name string, file_month string, path string, bytes long"
+    return spark.createDataFrame(list_landing(spark, landing).files, schema)
 
 
 def trip_files(names_df: DataFrame, column: str) -> DataFrame:

@@ -1,22 +1,57 @@
-"""Metadata-only questions to the file system of a path."""
+"""Metadata-only questions to the file system of a path, and the removal of folders."""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import SparkSession
 
 
+class Entry(NamedTuple):
+    """One file or folder of a listing; a folder has no length."""
+
+    path: str
+    name: str
+    is_folder: bool
+    length: int
+
+
+def _open(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def entries(spark: SparkSession, pattern: str) -> list[Entry]:
+    """What matches ``pattern``, sorted by path; one listing call, no file is opened."""
+    fs, path = _open(spark, pattern)
+    found = [
+        Entry(s.getPath().toString(), s.getPath().getName(), s.isDirectory(), s.getLen())
+        for s in fs.globStatus(path) or []
+    ]
+    return sorted(found)
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching ``pattern``, sorted; one listing call, no file is opened."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sorted(status.getPath().toString() for status in fs.globStatus(path) or [])
+    """Paths matching ``pattern``, sorted."""
+    return [e.path for e in entries(spark, pattern)]
+
+
+def data_files(spark: SparkSession, path: str) -> list[Entry]:
+    """The parquet files of ``path``: itself, or those directly in the folder."""
+    inside = entries(spark, f"{path.rstrip('/')}/*.parquet")
+    return [e for e in inside or entries(spark, path) if not e.is_folder]
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     return bool(glob(spark, path))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or a whole folder; nothing happens when there is none."""
+    fs, hadoop_path = _open(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def partitions(spark: SparkSession, base: str, *keys: str) -> list[tuple[str, ...]]:
     """Values of the partition folders ``base/key1=../key2=..`` that exist."""
     pattern = "/".join([base.rstrip("/"), *(f"{key}=*" for key in keys)])

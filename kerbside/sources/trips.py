@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.functions import names
+from kerbside.sources import paths
 from kerbside.spec import ServiceSpec
 
 CANONICAL_TIMES = ("pickup_datetime", "dropoff_datetime")
@@ -35,57 +36,74 @@ def conform(df: DataFrame, spec: ServiceSpec) -> DataFrame:
 
     Published files drift between months (an integer column one month, a floating one the next, or
     a column that is absent). Casting on the way in keeps the store's columns of one type; an
-    absent amount is NULL.
+    absent amount is NULL. Durations stored as floating numbers go to a column of their own.
     """
     present = {c.lower(): c for c in df.columns}
     declared = {}
     for column, dtype in spec.trip_columns.items():
         source = present.get(column.lower())
         declared[column] = (F.col(source) if source else F.lit(None)).cast(dtype)
+    stored = present.get(spec.seconds.lower()) if spec.seconds else None
+    if stored and not isinstance(df.schema[stored].dataType, T.IntegralType):
+        declared[spec.floating_seconds] = F.col(stored).cast("double")
+        declared[spec.seconds] = F.lit(None).cast("long")
     declared_lower = {c.lower() for c in declared}
     rest = [c for c in df.columns if c.lower() not in declared_lower]
     return df.select(*(value.alias(name) for name, value in declared.items()), *rest)
 
 
-def _schemas(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Groups of files that can be read with one schema.
-
-    All footers are merged in one distributed job. Only when types conflict between files, or when
-    they spell the time columns differently, is each file's schema looked at by itself.
-    """
+def _merged_schema(spark: SparkSession, files: list[str]) -> T.StructType | None:
+    """One schema for all files, from their footers in one distributed job; None if none fits."""
     try:
-        merged = spark.read.option("mergeSchema", True).parquet(*paths).schema
+        merged = spark.read.option("mergeSchema", True).parquet(*files).schema
     except Py4JJavaError as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
-    else:
-        lower = [c.lower() for c in merged.names]
-        if all(sum(time in c for c in lower) <= 1 for time in CANONICAL_TIMES):
-            return [(merged, paths)]
+        return None
+    lower = [c.lower() for c in merged.names]
+    once = all(sum(time in c for c in lower) <= 1 for time in CANONICAL_TIMES)
+    return merged if once or len(files) == 1 else None
+
+
+def _schemas(spark: SparkSession, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Groups of files that can be read with one schema.
+
+    Where types conflict between files, or the time columns are spelled differently, the list is
+    halved until each half agrees: types change at some month and stay, so of n files in order few
+    jobs of a logarithmic number are needed, and each merges its footers on the cluster. Groups of
+    one schema are read together.
+    """
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path in paths:
-        schema = spark.read.parquet(path).schema
-        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    pending = [sorted(files)]
+    while pending:
+        some = pending.pop()
+        schema = _merged_schema(spark, some)
+        if schema is None:
+            middle = len(some) // 2
+            pending += [some[middle:], some[:middle]]
+        else:
+            groups.setdefault(schema.json(), (schema, []))[1].extend(some)
     return list(groups.values())
 
 
-def scan_files(spark: SparkSession, spec: ServiceSpec, paths: list[str]) -> DataFrame:
+def scan_files(spark: SparkSession, spec: ServiceSpec, months: list[str]) -> DataFrame:
     """All given monthly files of one service as one DataFrame with ``service``, ``file_month``.
 
-    Files whose schemas agree are one multi-file scan, however many months they cover. The month
-    comes from the file's path.
+    Files whose schemas agree are one multi-file scan, however many months they cover. A folder
+    counts as its part files, which may differ, too. The month comes from the file's path.
     """
+    files = [e.path for month in months for e in paths.data_files(spark, month)]
     scans = [
         conform(
             canonicalise(spark.read.schema(schema).parquet(*same)).withColumns(
                 {
                     "service": F.lit(spec.name),
-                    "file_month": names.file_month_of(F.col("_metadata.file_path")),
+                    "file_month": names.month_in_trip_path(F.col("_metadata.file_path")),
                 }
             ),
             spec,
         )
-        for schema, same in _schemas(spark, paths)
+        for schema, same in _schemas(spark, files)
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 

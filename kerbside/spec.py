@@ -51,6 +51,15 @@ class ServiceSpec:
         total = ["total_amount_payed"] if self.money else []
         return ["pickup_hour", "num_trips", *self.averages, *self.money, *total]
 
+    @property
+    def floating_seconds(self) -> str | None:
+        """Where durations are kept that the files store as floating numbers.
+
+        They count with their fraction of a minute, whole seconds as whole minutes, so the two are
+        not mixed in one column.
+        """
+        return self.seconds and f"{self.seconds}_floating"
+
     @property
     def trip_columns(self) -> dict[str, T.DataType]:
         """Columns the rollup reads, by canonical name, with their declared types."""
@@ -58,6 +67,7 @@ class ServiceSpec:
         columns |= {"pickup_datetime": NTZ, "dropoff_datetime": NTZ}
         if self.seconds:
             columns[self.seconds] = LONG
+            columns[self.floating_seconds] = DOUBLE
         if self.distance:
             columns[self.distance] = DOUBLE
         return columns | dict.fromkeys(self.money.values(), DOUBLE)
@@ -71,7 +81,11 @@ class ServiceSpec:
         """The same columns under the names used in the raw files."""
         raw = {"pickup_datetime": self.pickup, "dropoff_datetime": self.dropoff}
         return T.StructType(
-            [T.StructField(raw.get(c, c), t) for c, t in self.trip_columns.items()]
+            [
+                T.StructField(raw.get(c, c), t)
+                for c, t in self.trip_columns.items()
+                if c != self.floating_seconds
+            ]
         )
 
 
