@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.functions.clock import Moment
+from kerbside.plans import record
 from kerbside.plans.ingest import load_slices, plan_slices
-from kerbside.plans.refresh import load_parts, refresh_parts, refresh_rollup
-from kerbside.session import job_settings
-from kerbside.sources import paths
+from kerbside.plans.refresh import (
+    drop_orphans,
+    load_parts,
+    load_rollup,
+    refresh_parts,
+    refresh_rollup,
+)
+from kerbside.session import job_session
+from kerbside.sources import discovery, paths
 
 
 @dataclass(frozen=True)
@@ -31,13 +38,29 @@ class Warehouse:
     def rollup(self) -> str:
         return f"{self.root}/hourly"
 
+    @property
+    def record(self) -> str:
+        return f"{self.root}/load_record"
+
 
 @dataclass(frozen=True)
 class CycleReport:
-    """Rows loaded per (service, file_month), and the refreshed rollup."""
+    """Rows loaded per (service, file_month), the refreshed rollup, and what was left out.
+
+    ``missing`` are planned months without a file, ``ignored`` names in the landing folder that are
+    no trip files of a known service, ``empty`` loaded months without a row, and ``taken_up`` months
+    that an earlier run had loaded and not rolled up.
+    """
 
-    loaded: dict[tuple[str, str], int]
+    loaded: dict[record.Key, int]
     rollup: DataFrame
+    missing: list[record.Key] = field(default_factory=list)
+    ignored: list[str] = field(default_factory=list)
+    taken_up: list[record.Key] = field(default_factory=list)
+
+    @property
+    def empty(self) -> list[record.Key]:
+        return [key for key, rows in self.loaded.items() if not rows]
 
 
 def run_cycle(
@@ -50,13 +73,35 @@ def run_cycle(
 ) -> CycleReport:
     """Load what is due at ``as_of`` and bring the rollup up to date. Errors end the run.
 
-    The watermark is read from the partial rollups, so apart from the new files only what was just
-    loaded is read. Running it again with the same ``as_of`` changes nothing in ``replace`` mode.
+    What a run that ended early has loaded is rolled up by the next one, which knows it by the load
+    record. Otherwise only the new files and what was just loaded are read, as the partial rollups
+    have the watermark. Running it again with the same ``as_of`` changes nothing in ``replace`` mode.
     """
-    with job_settings(spark):
-        parts = load_parts(spark, warehouse.parts) if paths.exists(spark, warehouse.parts) else None
-        slices = plan_slices(spark, landing, warehouse.trips, as_of, mode, year, parts)
-        loaded = load_slices(spark, slices, warehouse.trips, mode)
-        touched = [key for key, rows in loaded.items() if rows]
-        refresh_parts(spark, warehouse.trips, warehouse.parts, touched)
-        return CycleReport(loaded, refresh_rollup(spark, warehouse.parts, warehouse.rollup))
+    job = job_session(spark)
+    has_parts = paths.exists(job, warehouse.parts)
+    known = record.read(job, warehouse.record)
+    if not paths.exists(job, warehouse.record):
+        known = record.before_records(job, warehouse.trips, warehouse.parts)
+        record.write(job, warehouse.record, known)
+    plan = plan_slices(
+        job, landing, warehouse.trips, as_of, mode, year,
+        load_parts(job, warehouse.parts) if has_parts else None, known,
+    )
+    bounds = {s.key: s.end_time for s in plan.slices}
+    record.forget(job, warehouse.record, bounds)
+    loaded = load_slices(job, plan.slices, warehouse.trips, mode)
+    stored = discovery.loaded_months(job, warehouse.trips)
+    stale = [key for key in stored if key in bounds or key not in known]
+    refresh_parts(job, warehouse.trips, warehouse.parts, stale)
+    gone = drop_orphans(job, warehouse.trips, warehouse.parts)
+    refresh_rollup(job, warehouse.parts, warehouse.rollup, {s for s, _ in stale} | gone)
+    done = {key: record.Loaded(bounds[key], rows) for key, rows in loaded.items()}
+    taken_up = [key for key in stale if key not in bounds]
+    done |= {key: record.Loaded(record.UNKNOWN, -1) for key in taken_up}
+    record.write(job, warehouse.record, done)
+    rollup = (
+        load_rollup(spark, warehouse.rollup)
+        if paths.exists(spark, warehouse.rollup)
+        else refresh_rollup(spark, warehouse.parts, warehouse.rollup, [])
+    )
+    return CycleReport(loaded, rollup, plan.missing, plan.ignored, taken_up)

@@ -8,18 +8,19 @@ time would drop rows that came from another file.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from datetime import datetime
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions import clock
 from kerbside.operators.rollup import watermark, watermark_from_parts
 from kerbside.operators.slices import between, slice_plan, table_start_times
-from kerbside.sources import discovery
+from kerbside.plans.record import Key, Loaded
+from kerbside.sources import discovery, paths
 from kerbside.sources.trips import load_trips, scan_files, service_dir
 from kerbside.spec import SPECS, ServiceSpec
 
@@ -34,6 +35,19 @@ class Slice:
     start_time: datetime | None = None
     end_time: datetime | None = None
 
+    @property
+    def key(self) -> Key:
+        return self.service, self.file_month
+
+
+@dataclass(frozen=True)
+class Plan:
+    """What to load, the planned months that have no file, and names that are no trip files."""
+
+    slices: list[Slice]
+    missing: list[Key] = field(default_factory=list)
+    ignored: list[str] = field(default_factory=list)
+
 
 def read_slices(spark: SparkSession, spec: ServiceSpec, slices: Iterable[Slice]) -> DataFrame:
     """Rows of the slices of one service. Files with equal bounds share a scan.
@@ -53,6 +67,35 @@ def read_slices(spark: SparkSession, spec: ServiceSpec, slices: Iterable[Slice])
     return merged
 
 
+def _month_start(month: str) -> datetime:
+    return datetime.fromisoformat(f"{month}-01")
+
+
+def _month_end(month: str) -> datetime:
+    """The last moment of a month."""
+    later = (_month_start(month) + timedelta(days=31)).replace(day=1)
+    return later - timedelta(microseconds=1)
+
+
+def _watermarks(
+    spark: SparkSession, trips_dir: str, parts: DataFrame | None, until: datetime | None
+) -> DataFrame:
+    """Latest pick-up per service, from the parts if given, else from the trips.
+
+    With ``until`` only pick-ups up to it count, which the trips alone can tell.
+    """
+    if parts is not None and until is None:
+        return watermark_from_parts(parts)
+    found = spark.createDataFrame([], "service string, watermark timestamp_ntz")
+    for service in discovery.loaded_services(spark, trips_dir):
+        if service in SPECS:
+            trips = load_trips(spark, trips_dir, SPECS[service])
+            if until is not None:
+                trips = trips.filter(f"pickup_datetime <= {clock.ntz(until)}")
+            found = found.union(watermark(trips))
+    return found
+
+
 def plan_slices(
     spark: SparkSession,
     landing: str,
@@ -61,95 +104,80 @@ def plan_slices(
     mode: str = "replace",
     year: int | None = None,
     parts: DataFrame | None = None,
-) -> list[Slice]:
-    """Slices to load whose file exists.
-
-    Watermarks come from ``parts``, the partial rollups, when given, else from the trips. In
-    ``replace`` mode months that were never loaded are added, wherever the watermark stands: a
-    stray pick-up in a later month must not hide them. The result is collected; it has a row per
-    monthly file to load, and no data.
+    record: Mapping[Key, Loaded] | None = None,
+) -> Plan:
+    """Slices to load whose file exists, and what else was planned or found.
+
+    In ``replace`` mode months are planned from the watermark on, but never from later than the
+    end of the latest loaded file month, so that a stray pick-up hides nothing; further every
+    earlier month that was never loaded, that was loaded with a bound, or that ``record``, where
+    given, does not have. In ``append`` mode only pick-ups up to ``as_of`` make the watermark.
+    What is collected has a row per service or monthly file, and no data.
     """
-    files = discovery.discover_files(spark, landing)
-    if parts is not None:
-        watermarks = watermark_from_parts(parts)
-    else:
-        stored = [
-            watermark(load_trips(spark, trips_dir, SPECS[s]))
-            for s in discovery.loaded_services(spark, trips_dir)
-            if s in SPECS
-        ]
-        watermarks = spark.createDataFrame([], "service string, watermark timestamp_ntz")
-        for one in stored:
-            watermarks = watermarks.union(one)
-    starts = table_start_times(discovery.discover_tables(files), watermarks)
-    plan = slice_plan(starts, as_of, year, mode)
-    if mode == "replace":
-        plan = plan.unionByName(_unloaded(spark, files, plan, trips_dir, as_of, year))
-    # The listing has one row per monthly file, which bounds what is broadcast.
-    keys = ["service", "file_month"]
-    rows = plan.join(F.broadcast(files.select(*keys, "path")), keys)
-    return [
-        Slice(r.service, r.file_month, r.path, r.start_time, r.end_time)
-        for r in rows.select(*Slice.__dataclass_fields__).collect()
-    ]
-
-
-def _unloaded(
-    spark: SparkSession,
-    files: DataFrame,
-    plan: DataFrame,
-    trips_dir: str,
-    as_of: clock.Moment,
-    year: int | None,
-) -> DataFrame:
-    """Whole-month slices for files before the month of ``as_of`` that are in no partition."""
     moment = clock.clock_in_year(as_of, year) if year else clock.as_datetime(as_of)
-    loaded = spark.createDataFrame(
-        discovery.loaded_months(spark, trips_dir), "service string, file_month string"
-    )
-    keys = ["service", "file_month"]
-    return (
-        files.filter(F.col("file_month") < moment.strftime("%Y-%m"))
-        .join(F.broadcast(loaded), keys, "left_anti")
-        .join(F.broadcast(plan.select(*keys)), keys, "left_anti")
-        .select(
-            *keys,
-            F.expr("concat(table_name, '_', file_month, '.parquet') AS file_name"),
-            "table_name",
-            F.lit(None).cast("timestamp_ntz").alias("start_time"),
-            F.lit(None).cast("timestamp_ntz").alias("end_time"),
+    listed = discovery.list_landing(spark, landing)
+    files = {(f.service, f.file_month): f.path for f in listed.files}
+    stored = discovery.loaded_months(spark, trips_dir)
+    names = [(f.service, f.table_name) for f in listed.files]
+    tables = spark.createDataFrame(names, "service string, table_name string").distinct()
+    marks = _watermarks(spark, trips_dir, parts, moment if mode == "append" else None)
+    starts = table_start_times(tables, marks)
+    if mode == "replace":
+        latest = [(service, _month_end(month)) for service, month in sorted(stored)]
+        ends = spark.createDataFrame(list(dict(latest).items()), "service string, end timestamp_ntz")
+        starts = starts.join(ends, "service", "left").selectExpr(
+            "service", "CASE WHEN end IS NULL THEN watermark ELSE least(watermark, end) END AS watermark"
         )
-    )
+    planned = {
+        (r.service, r.file_month): (r.start_time, r.end_time)
+        for r in slice_plan(starts, as_of, year, mode).collect()
+    }
+    if mode == "replace":
+        whole = {k for k in stored if record is None}
+        whole |= {k for k, x in (record or {}).items() if x.loaded_until is None and k in stored}
+        # An empty month has an entry and no partition.
+        whole |= {k for k, x in (record or {}).items() if x.loaded_until is None and not x.num_rows}
+        for key in files:
+            if key not in whole and key[1] < f"{moment:%Y-%m}":
+                planned.setdefault(key, (None, None))
+    slices = [Slice(*k, files[k], *bounds) for k, bounds in sorted(planned.items()) if k in files]
+    missing = [k for k in sorted(planned) if k not in files]
+    return Plan(slices, missing, listed.ignored)
 
 
 def load_slices(
     spark: SparkSession, slices: list[Slice], trips_dir: str, mode: str = "replace"
-) -> dict[tuple[str, str], int]:
+) -> dict[Key, int]:
     """Write the slices and return rows per (service, file_month).
 
     ``replace`` overwrites just the partitions the slices belong to, so loading a month again
-    changes nothing; ``append`` adds. Rows are counted while they are written, in the same pass. A
-    slice without rows writes nothing and leaves its partition as it was. A task that is lost is
-    run again and its output committed once.
+    changes nothing; a slice without rows leaves its month without a partition. ``append`` adds,
+    and adds nothing for such a slice. A task that is lost is run again and its output committed
+    once. Rows are counted from the footers of what was written.
     """
     by_service: dict[str, list[Slice]] = defaultdict(list)
     for s in slices:
         by_service[s.service].append(s)
 
-    def load(service: str) -> dict[tuple[str, str], int]:
+    def load(service: str) -> dict[Key, int]:
         chosen = by_service[service]
-        seen = Observation()
-        months = sorted({s.file_month for s in chosen})
+        folders = {s.file_month: f"{service_dir(trips_dir, service)}/file_month={s.file_month}" for s in chosen}
+        before = {m: set(paths.data_files(spark, f)) for m, f in folders.items()}
         (
             read_slices(spark, SPECS[service], chosen)
-            .observe(seen, *(F.expr(f"count_if(file_month = '{m}') AS `{m}`") for m in months))
             .drop("service")
             .write.partitionBy("file_month")
             .option("partitionOverwriteMode", "dynamic")
             .mode("overwrite" if mode == "replace" else "append")
             .parquet(service_dir(trips_dir, service))
         )
-        return {(service, month): seen.get[month] for month in months}
+        rows = {}
+        for month, folder in folders.items():
+            new = {e.path for e in set(paths.data_files(spark, folder)) - before[month]}
+            if not new and mode == "replace":
+                paths.delete(spark, folder)
+            rows[service, month] = spark.read.parquet(*sorted(new)).count() if new else 0
+        return rows
 
     # Services are separate jobs with separate folders; started together, one fills the cluster
     # while the last tasks of another run.

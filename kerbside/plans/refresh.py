@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +13,11 @@ from kerbside.operators.rollup import (
     hourly_parts,
     merge_parts,
     parts_schema,
+    rollup_schema,
     union_services,
 )
 from kerbside.sources import discovery, paths
-from kerbside.sources.trips import load_trips
+from kerbside.sources.trips import load_trips, service_dir
 from kerbside.spec import HOURLY_COLUMNS, SPECS
 
 
@@ -60,27 +62,58 @@ def merged_rollup(parts: DataFrame) -> DataFrame:
     return union_services([merge_parts(parts, spec) for spec in SPECS.values()])
 
 
+def drop_orphans(spark: SparkSession, trips_dir: str, parts_dir: str) -> set[str]:
+    """Remove parts of months that have no trips any more; the services they belonged to."""
+    kept = set(discovery.loaded_months(spark, trips_dir))
+    orphans = [k for k in discovery.loaded_months(spark, parts_dir) if k not in kept]
+    for service, month in orphans:
+        paths.delete(spark, f"{service_dir(parts_dir, service)}/file_month={month}")
+    return {service for service, _ in orphans}
+
+
 def load_rollup(spark: SparkSession, rollup_dir: str) -> DataFrame:
     """The stored rollup, one row per service and hour."""
-    return spark.read.parquet(rollup_dir).select("service", *HOURLY_COLUMNS)
+    schema = rollup_schema().add("service", "string")
+    return spark.read.schema(schema).parquet(rollup_dir).select("service", *HOURLY_COLUMNS)
 
 
-def refresh_rollup(spark: SparkSession, parts_dir: str, rollup_dir: str) -> DataFrame:
-    """Rebuild the stored rollup from the parts, check its keys and return it.
+def refresh_rollup(
+    spark: SparkSession, parts_dir: str, rollup_dir: str, services: Iterable[str] | None = None
+) -> DataFrame:
+    """Rebuild the stored rollup of the given services, or of all, from their parts; return it all.
 
     The parts have a row per file month and hour, so a full rebuild is small and no question of
-    which hours changed arises.
+    which hours changed arises. It is written beside the rollup, its keys are checked, and only
+    then it takes the rollup's place. A service without parts has no rollup.
     """
-    (
-        merged_rollup(load_parts(spark, parts_dir))
-        .write.partitionBy("service")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(rollup_dir)
-    )
-    rollup = load_rollup(spark, rollup_dir)
-    assert_unique_hours(rollup)
-    return rollup
+    with_parts = {service for service, _ in discovery.loaded_months(spark, parts_dir)}
+    chosen = [s for s in SPECS if services is None or s in services]
+    staged = f"{rollup_dir}_staged-{uuid.uuid4().hex}"
+    rebuilt = [s for s in chosen if s in with_parts]
+    if rebuilt:
+        parts = load_parts(spark, parts_dir)
+        frames = [merge_parts(parts, SPECS[s]) for s in rebuilt]
+        try:
+            union_services(frames).write.partitionBy("service").parquet(staged)
+            checked = load_rollup(spark, staged)
+            assert_unique_hours(checked)
+            (
+                checked.repartition("service")
+                .write.partitionBy("service")
+                .option("partitionOverwriteMode", "dynamic")
+                .mode("overwrite")
+                .parquet(rollup_dir)
+            )
+        finally:
+            paths.delete(spark, staged)
+    for service in chosen:
+        if service not in with_parts:
+            paths.delete(spark, service_dir(rollup_dir, service))
+    if not paths.exists(spark, rollup_dir):
+        return spark.createDataFrame([], rollup_schema().add("service", "string")).select(
+            "service", *HOURLY_COLUMNS
+        )
+    return load_rollup(spark, rollup_dir)
 
 
 def existing_rollups(spark: SparkSession, rollup_dir: str) -> list[str]:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,24 +45,18 @@ def local_session(
     return builder.getOrCreate()
 
 
-@contextmanager
-def job_settings(spark: SparkSession) -> Iterator[None]:
-    """Apply :data:`RUNTIME_CONF` for the length of a job and put the caller's settings back.
+def job_session(spark: SparkSession) -> SparkSession:
+    """A session of the job's own with :data:`RUNTIME_CONF`; the caller's settings stay untouched.
 
     Batch expressions do not depend on the zone. It matters where zoned times come in: files that
     store them, and streams, whose event time has to be zoned; wall-clock times survive that cast
     unchanged only under UTC.
     """
-    before = {key: spark.conf.get(key, None) for key in RUNTIME_CONF}
-    configure(spark)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return configure(own)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
