@@ -5,10 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.functions import names
 from kerbside.operators.rollup import averaged, unit
-from kerbside.session import job_settings
+from kerbside.session import job_session
+from kerbside.sources.trips import canonicalise
 from kerbside.spec import ServiceSpec
-from kerbside.streaming.ingest import read_landing
+
+MONTH = "[0-9][0-9][0-9][0-9]-[0-9][0-9]"
+
+
+def read_landing(
+    spark: SparkSession, landing: str, spec: ServiceSpec, files_per_batch: int | None = None
+) -> DataFrame:
+    """A stream of the columns a service's rollup reads, plus ``service`` and ``file_month``.
+
+    Finds files, folders of part files and ``key=value`` folders that are named like a month.
+    """
+    reader = spark.readStream.schema(spec.raw_schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    found = reader.parquet(f"{landing.rstrip('/')}/{{*=,}}{spec.table}_{MONTH}.parquet")
+    return canonicalise(found).withColumns(
+        {
+            "service": F.lit(spec.name),
+            "file_month": names.month_in_trip_path(F.col("_metadata.file_path")),
+        }
+    )
+
+
+def near_its_month(slack: str = "1 day") -> str:
+    """SQL for trips whose pick-up lies in the file's month, give or take ``slack``."""
+    start = "CAST(concat(file_month, '-01') AS TIMESTAMP_NTZ)"
+    return (
+        f"coalesce(pickup_datetime >= {start} - INTERVAL '{slack}' AND"
+        f" pickup_datetime < {start} + INTERVAL '1' MONTH + INTERVAL '{slack}', false)"
+    )
 
 
 def hourly_stream(trips: DataFrame, spec: ServiceSpec, delay: str = "1 hour") -> DataFrame:
@@ -45,16 +76,32 @@ def stream_hourly(
     output: str,
     checkpoint: str,
     delay: str = "1 hour",
-) -> None:
-    """Process the files that are there, append newly closed hours to ``output`` and stop."""
-    with job_settings(spark):
-        query = (
-            hourly_stream(read_landing(spark, landing, spec), spec, delay)
-            .writeStream.format("parquet")
-            .outputMode("append")
-            .option("path", output)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
+    slack: str = "1 day",
+) -> int:
+    """Process the files that are there, append newly closed hours to ``output`` and stop.
+
+    Pick-ups farther than ``slack`` from their file's month, or without a time, would move the event
+    time and so end the wait of all other hours. They go to ``output`` + ``_stray`` instead, whole;
+    the number of them so far is returned.
+    """
+    job = job_session(spark)
+    stray = f"{output.rstrip('/')}_stray"
+    trips = read_landing(job, landing, spec)
+    aside = trips.filter(f"NOT {near_its_month(slack)}")
+    frames = {
+        output: hourly_stream(trips.filter(near_its_month(slack)), spec, delay),
+        stray: aside,
+    }
+    places = {output: f"{checkpoint}/hours", stray: f"{checkpoint}/stray"}
+    queries = [
+        frame.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", path)
+        .option("checkpointLocation", places[path])
+        .trigger(availableNow=True)
+        .start()
+        for path, frame in frames.items()
+    ]
+    for query in queries:
         query.awaitTermination()
+    return job.read.schema(aside.schema).parquet(stray).count()

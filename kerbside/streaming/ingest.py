@@ -5,34 +5,32 @@ For files that never change. A month that is rewritten in place is a case for th
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions import names
 from kerbside.operators.rollup import hourly_parts
 from kerbside.plans.cycle import Warehouse
-from kerbside.session import job_settings
-from kerbside.sources.trips import canonicalise, load_trips, service_dir
+from kerbside.session import job_session
+from kerbside.sources.trips import load_trips, scan_files, service_dir
 from kerbside.spec import SPECS, ServiceSpec
 
 
-def read_landing(
-    spark: SparkSession, landing: str, spec: ServiceSpec, files_per_batch: int | None = None
-) -> DataFrame:
-    """A stream of the service's trips, canonical columns plus ``service`` and ``file_month``.
+def stream_files(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
+    """A stream of (service, path): the trip files of known services, as discovery names them.
 
-    Finds files, folders of part files and ``key=value`` folders named like a month.
+    Files, folders of part files and ``key=value`` folders count. Only names are read: the files'
+    content is a column that nothing asks for.
     """
-    reader = spark.readStream.schema(spec.raw_schema)
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.parquet")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    found = reader.parquet(f"{landing.rstrip('/')}/{{*=,}}{spec.table}_*.parquet")
-    return canonicalise(found).withColumns(
-        {
-            "service": F.lit(spec.name),
-            "file_month": names.file_month_of(F.col("_metadata.file_path")),
-        }
-    )
+    found = reader.option("recursiveFileLookup", True).load(landing)
+    service = names.service_of(F.col("path"))
+    return found.select(service.alias("service"), "path").filter(F.col("service").isin([*SPECS]))
 
 
 def stream_ingest(
@@ -45,38 +43,43 @@ def stream_ingest(
 ) -> None:
     """Load all files that arrived since the last run, with their partial rollups, and stop.
 
-    Each micro-batch writes under its own ``batch_id``; one that is replayed after a failure
-    replaces what it wrote before. Its partial rollups follow the same rule, so refreshing the
-    rollup reads no trips. Months may arrive in any number of files.
+    One stream serves all services. Its batches are lists of new files, which the batch scan reads,
+    so columns, types and drift between files come out as they do there. Each micro-batch writes
+    under its own ``batch_id``; one that is replayed after a failure replaces what it wrote before.
+    Its partial rollups follow the same rule, so refreshing the rollup reads no trips. Months may
+    arrive in any number of files.
     """
-    with job_settings(spark):
-        queries = [
-            read_landing(spark, landing, spec, files_per_batch)
-            .writeStream.foreachBatch(_batch_writer(warehouse, spec))
-            .option("checkpointLocation", f"{checkpoint}/{spec.name}")
-            .trigger(availableNow=True)
-            .queryName(f"ingest-{spec.name}")
-            .start()
-            for spec in (SPECS[service] for service in services or SPECS)
-        ]
-        for query in queries:
-            query.awaitTermination()
-
-
-def _batch_writer(warehouse: Warehouse, spec: ServiceSpec):
+    job = job_session(spark)
+    query = (
+        stream_files(job, landing, files_per_batch)
+        .writeStream.foreachBatch(_batch_writer(warehouse, services or [*SPECS]))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .queryName("ingest")
+        .start()
+    )
+    query.awaitTermination()
+
+
+def _batch_writer(warehouse: Warehouse, services: list[str]):
     def write(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.drop("service").withColumn("batch_id", F.lit(batch_id))
-        _replace(numbered, service_dir(warehouse.trips, spec.name))
-        written = load_trips(batch.sparkSession, warehouse.trips, spec, "batch_id")
-        this_batch = written.filter(F.col("batch_id") == batch_id)
-        parts = hourly_parts(this_batch, spec, "file_month", "batch_id").drop("service")
-        _replace(parts, service_dir(warehouse.parts, spec.name))
+        spark = batch.sparkSession
+        found: dict[str, list[str]] = defaultdict(list)
+        for row in batch.collect():  # a row per new file
+            found[row.service].append(row.path)
+        for service in sorted(set(found) & set(services)):
+            spec = SPECS[service]
+            trips = scan_files(spark, spec, found[service]).drop("service")
+            _replace(trips.withColumn("batch_id", F.lit(batch_id)), service_dir(warehouse.trips, service))
+            written = load_trips(spark, warehouse.trips, spec, "batch_id")
+            this_batch = written.filter(F.col("batch_id") == batch_id)
+            parts = hourly_parts(this_batch, spec, "file_month", "batch_id").drop("service")
+            _replace(parts, service_dir(warehouse.parts, service))
 
     return write
 
 
 def _replace(df: DataFrame, folder: str) -> None:
-    """Each service writes to a folder of its own: the streams of several run side by side."""
     (
         df.write.partitionBy("file_month", "batch_id")
         .option("partitionOverwriteMode", "dynamic")
