@@ -68,7 +68,7 @@ def main() -> None:
     began = time.perf_counter()
     run_cycle(spark, landing, store, "2024-07-02")
     timings["cycle_first_load"] = round(time.perf_counter() - began, 4)
-    planned = plan_slices(spark, landing, store.trips, "2024-06-30")
+    planned = plan_slices(spark, landing, store.trips, "2024-06-30").slices
     timings["ingest_replace_month"] = median_seconds(
         lambda: load_slices(spark, planned, store.trips)
     )

@@ -5,6 +5,9 @@ There is one row per service and month, so these frames stay as small as the fil
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,29 +74,33 @@ def between(trips: DataFrame, start: clock.Moment | None, end: clock.Moment | No
     return trips
 
 
-def slice_filter(trips: DataFrame, slices: DataFrame) -> DataFrame:
+#: A slice as collected: service, exclusive lower and upper bound; None for no bound.
+Bounds = tuple[str, datetime | None, datetime | None]
+
+
+def _inside(bounds: Bounds) -> str:
+    service, start, end = bounds
+    limits = [f"service = '{service}'"]
+    limits += [f"pickup_datetime > {clock.ntz(start)}"] if start is not None else []
+    limits += [f"pickup_datetime < {clock.ntz(end)}"] if end is not None else []
+    return " AND ".join(limits)
+
+
+def slice_filter(trips: DataFrame, slices: Sequence[Bounds]) -> DataFrame:
     """Trips of many slices in one pass: those of a slice's service, strictly inside its bounds.
 
-    ``slices`` is (service, start_time, end_time) with one row per service, or also file_month with
-    one row per service and month; trips without a slice drop out. It is one row per monthly file
-    at most, and broadcast as such.
+    There is one slice per service at most, or per service and file; with its bounds as literals
+    the filter reaches the reader, like that of the load. Trips without a slice drop out.
     """
-    keys = [k for k in ("service", "file_month") if k in slices.columns and k in trips.columns]
-    limits = slices.select(*keys, "start_time", "end_time")
-    inside = (
-        "(start_time IS NULL OR pickup_datetime > start_time)"
-        " AND (end_time IS NULL OR pickup_datetime < end_time)"
-    )
-    return trips.join(F.broadcast(limits), keys).filter(inside).select(*trips.columns)
+    return trips.filter(" OR ".join(f"({_inside(s)})" for s in slices) or "false")
 
 
-def slice_count(trips: DataFrame, slices: DataFrame) -> DataFrame:
-    """Trips per slice, 0 for an empty one: (slice keys, num_rows, skipped)."""
-    keys = [k for k in ("service", "file_month") if k in slices.columns and k in trips.columns]
-    counts = slice_filter(trips, slices).groupBy(*keys).agg(F.count(F.lit(1)).alias("num_rows"))
-    rows = "coalesce(num_rows, 0L)"
-    return (
-        slices.select(*keys)
-        .join(counts, keys, "left")
-        .selectExpr(*keys, f"{rows} AS num_rows", f"{rows} = 0 AS skipped")
+def slice_count(trips: DataFrame, slices: Sequence[Bounds]) -> DataFrame:
+    """Trips per service with a slice, 0 for an empty one: (service, num_rows, skipped), in one scan."""
+    counts = trips.agg(
+        *(F.expr(f"count_if({_inside(s)}) AS n{i}") for i, s in enumerate(slices))
+    )
+    rows = ", ".join(f"struct('{s[0]}' AS service, n{i} AS num_rows)" for i, s in enumerate(slices))
+    return counts.select(F.expr(f"inline(array({rows}))")).withColumn(
+        "skipped", F.expr("num_rows = 0")
     )

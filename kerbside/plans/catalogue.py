@@ -8,19 +8,20 @@ last bit, as whole seconds and half miles sum up exactly.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from kerbside.functions import clock
+from kerbside.functions import clock, names
 from kerbside.operators import metrics, rollup, serving, slices
 from kerbside.plans.cycle import Warehouse, run_cycle
+from kerbside.plans.ingest import load_slices, plan_slices
 from kerbside.plans.refresh import merged_rollup
 from kerbside.session import scratch_dir
 from kerbside.sources import csv_export, discovery, driver_tables
-from kerbside.sources.trips import canonicalise, scan_files
+from kerbside.sources.trips import canonicalise, load_trips, scan_files
 from kerbside.spec import HOURLY_COLUMNS, SERVICES, SPECS
 from kerbside.streaming.hourly import stream_hourly
 from kerbside.streaming.ingest import stream_ingest
@@ -61,7 +62,7 @@ def hourly(
     spark: SparkSession, sf_dir: str, *services: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     trips = service_trips(spark, sf_dir, *services)
-    return stable(rollup.all_services_hourly(trips, start, end))
+    return rollup.all_services_hourly(trips, start, end)
 
 
 def served(spark: SparkSession, sf_dir: str, *services: str) -> DataFrame:
@@ -116,15 +117,19 @@ def slice_plan(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     return plan.select("file_name", "table_name", "start_time", "end_time")
 
 
-def bounded_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bounded_slices(spark: SparkSession, sf_dir: str) -> list[slices.Bounds]:
     """A slice per loaded service, from its watermark to the latest pick-up before ``AS_OF``.
 
     Both bounds are pick-up times that exist. fhv, of which no trip follows, is loaded to the end.
+    Both come from one pass, and there is one row per service.
     """
+    until = " ".join(f"WHEN '{s}' THEN {clock.ntz(t)}" for s, t in LOADED_UNTIL.items())
     trips = driver_tables.trips(spark, sf_dir).filter(f"pickup_datetime <= {clock.ntz(AS_OF)}")
-    ends = trips.groupBy("service").agg(F.max("pickup_datetime").alias("end_time"))
-    starts = rollup.watermark(loaded(spark, sf_dir)).withColumnRenamed("watermark", "start_time")
-    return starts.join(ends, "service")
+    rows = trips.groupBy("service").agg(
+        F.expr(f"max(pickup_datetime) FILTER (WHERE pickup_datetime <= CASE service {until} END)").alias("start"),
+        F.max("pickup_datetime").alias("end"),
+    )
+    return [(r.service, r.start, r.end) for r in rows.collect() if r.service in LOADED_UNTIL]
 
 
 def slice_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,25 +145,51 @@ def slice_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Scans, stores and streams
 
 
-def scan_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan all monthly yellow files at once; per file month, what came in."""
-    folder, _, _ = landing(spark, sf_dir, "yellow")
-    paths = [r.path for r in discovery.discover_files(spark, folder).select("path").collect()]
-    return _summary(scan_files(spark, SPECS["yellow"], paths))
+FARE = {"fhvhv": "base_passenger_fare", "yellow": "fare_amount", "green": "fare_amount"}
+AIRPORT = {"fhvhv": "airport_fee", "yellow": "Airport_fee"}
 
 
-def _summary(trips: DataFrame) -> DataFrame:
+def scan_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan all monthly files of each service at once; per file month, what came in."""
+    folder, _, _ = landing(spark, sf_dir)
+    found: dict[str, list[str]] = {}
+    for file in discovery.list_landing(spark, folder).files:
+        found.setdefault(file.service, []).append(file.path)
+    return _summary({s: scan_files(spark, SPECS[s], paths) for s, paths in found.items()})
+
+
+def _summary(trips: dict[str, DataFrame]) -> DataFrame:
+    """Per service and file month: rows, first and last times, fares, trips with an airport fee."""
+    parts = [
+        df.selectExpr(
+            "service",
+            "CAST(file_month AS STRING) AS file_month",
+            "pickup_datetime",
+            "dropoff_datetime",
+            f"{FARE.get(s, 'CAST(NULL AS DOUBLE)')} AS fare",
+            f"{AIRPORT.get(s, 'CAST(NULL AS DOUBLE)')} AS airport",
+        )
+        for s, df in trips.items()
+    ]
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
     return stable(
-        trips.groupBy("service", "file_month").agg(
+        merged.groupBy("service", "file_month").agg(
             F.count(F.lit(1)).alias("num_rows"),
             F.min("pickup_datetime").alias("first_pickup"),
             F.max("dropoff_datetime").alias("last_dropoff"),
-            F.sum("fare_amount").alias("total_fare"),
-            F.count("Airport_fee").alias("with_airport_fee"),
+            F.sum("fare").alias("total_fare"),
+            F.count("airport").alias("with_airport_fee"),
         )
     )
 
 
+def _stored(spark: SparkSession, store: Warehouse) -> dict[str, DataFrame]:
+    """The store's trips by service."""
+    return {s: load_trips(spark, store.trips, spec) for s, spec in SPECS.items()}
+
+
 def canonical_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four services' raw columns brought to common names; pick-ups and drop-offs per service."""
     times = [
@@ -173,52 +204,72 @@ def canonical_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load up to mid March, then again later and twice over; the store holds every trip once."""
-    folder, store, _ = landing(spark, sf_dir, "yellow")
+    folder, store, _ = landing(spark, sf_dir)
     run_cycle(spark, folder, store, "2024-03-15 10:00:00")
     run_cycle(spark, folder, store, "2024-07-02")
     run_cycle(spark, folder, store, "2024-07-02")
-    trips = spark.read.parquet(store.trips).withColumn(
-        "file_month", F.col("file_month").cast("string")
-    )
-    return _summary(trips)
+    return _summary(_stored(spark, store))
 
 
 def refresh_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored yellow rollup after an early load and an incremental refresh."""
-    folder, store, _ = landing(spark, sf_dir, "yellow")
+    """The stored rollups after an early load and an incremental refresh."""
+    folder, store, _ = landing(spark, sf_dir)
     run_cycle(spark, folder, store, "2024-04-10")
-    report = run_cycle(spark, folder, store, "2024-07-02")
-    chosen = report.rollup.filter("service = 'yellow'")
-    return stable(chosen.select("service", *SPECS["yellow"].rollup_columns))
+    return stable(run_cycle(spark, folder, store, "2024-07-02").rollup)
+
+
+def cycle_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollups of a cycle that follows two runs which loaded trips and ended before the rest."""
+    folder, store, _ = landing(spark, sf_dir)
+    run_cycle(spark, folder, store, "2024-02-10")
+    for as_of in ("2024-04-20", "2024-05-03"):
+        load_slices(spark, plan_slices(spark, folder, store.trips, as_of).slices, store.trips)
+    return stable(run_cycle(spark, folder, store, "2024-07-02").rollup)
+
+
+def cycle_with_stray_pickup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store after three cycles, where a pick-up of the year 2098 is in every January file.
+
+    February is first loaded with a bound; the stray pick-ups must not keep it that way.
+    """
+    folder, store, _ = landing(spark, sf_dir)
+    for spec in SPECS.values():
+        january = f"{folder}/file={spec.table}_2024-01.parquet"
+        first = spark.read.parquet(january).orderBy(spec.pickup, spec.dropoff).limit(1)
+        far = F.lit("2098-01-01").cast("timestamp_ntz")
+        first.withColumn(spec.pickup, far).write.mode("append").parquet(january)
+    for as_of in ("2024-02-15", "2024-03-15", "2024-07-02"):
+        run_cycle(spark, folder, store, as_of)
+    known = {s: df.filter("pickup_datetime < '2090-01-01'") for s, df in _stored(spark, store).items()}
+    return _summary(known)
 
 
 def stream_ingest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Green files loaded as a stream, two per batch, then once more without new files."""
-    folder, store, root = landing(spark, sf_dir, "green")
+    """All files loaded as a stream, five per batch, then once more without new files."""
+    folder, store, root = landing(spark, sf_dir)
     for _ in range(2):
-        stream_ingest(spark, folder, store, f"{root}/checkpoint", ["green"], files_per_batch=2)
-    trips = spark.read.parquet(store.trips).filter("service = 'green'")
-    return stable(
-        trips.groupBy(F.col("file_month").cast("string").alias("file_month")).agg(
-            F.count(F.lit(1)).alias("num_rows"), F.sum("fare_amount").alias("total_fare")
-        )
-    )
+        stream_ingest(spark, folder, store, f"{root}/checkpoint", files_per_batch=5)
+    return _summary(_stored(spark, store))
 
 
 def stream_hourly_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Green hours closed by a watermark one hour behind."""
-    folder, _, root = landing(spark, sf_dir, "green")
-    stream_hourly(spark, folder, SPECS["green"], f"{root}/hours", f"{root}/checkpoint")
-    return stable(spark.read.parquet(f"{root}/hours"))
-
-
-def export_query(spark: SparkSession, sf_dir: str, with_index: bool) -> DataFrame:
-    """The yellow export, read back from its CSV files."""
-    rows = hourly(spark, sf_dir, "yellow")
+    """Hours of all services closed by a watermark one hour behind."""
+    folder, _, root = landing(spark, sf_dir)
+    hours = []
+    for service, spec in SPECS.items():
+        out = f"{root}/hours/{service}"
+        stream_hourly(spark, folder, spec, out, f"{root}/checkpoint/{service}")
+        hours.append(spark.read.parquet(out))
+    return stable(rollup.union_services(hours))
+
+
+def export_query(spark: SparkSession, sf_dir: str, service: str, with_index: bool) -> DataFrame:
+    """A service's export, read back from its CSV files."""
+    rows = hourly(spark, sf_dir, service)
     folder = scratch_dir(spark, "kerbside")
-    schema = csv_export.export_rows(rows, "yellow", START, END, with_index).schema
-    path = csv_export.export_range(rows, "yellow", START, END, folder, with_index)
-    return spark.read.schema(schema).option("header", True).csv(path)
+    schema = csv_export.export_rows(rows, service, START, END, with_index).schema
+    path = csv_export.export_range(rows, service, START, END, folder, with_index)
+    return stable(spark.read.schema(schema).option("header", True).csv(path))
 
 
 # Rollups
@@ -230,10 +281,11 @@ def hourly_one(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
 
 
 def hourly_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All services' rollups merged from parts per file month."""
+    """All services' rollups merged from parts per file month, so hours may have several."""
     parts = None
-    for service, trips in service_trips(spark, sf_dir).items():
-        sliced = trips.withColumn("slice", F.expr(clock.month_label("pickup_datetime")))
+    every = driver_tables.trips(spark, sf_dir).withColumn("slice", F.expr(driver_tables.FILE_MONTH))
+    for service in SERVICES:
+        sliced = canonicalise(driver_tables.raw_trips(every, service, "slice"))
         part = rollup.hourly_parts(sliced, SPECS[service], "slice")
         parts = part if parts is None else parts.unionByName(part, allowMissingColumns=True)
     return stable(merged_rollup(parts)).select("service", *HOURLY_COLUMNS)
@@ -290,6 +342,16 @@ def trend(spark: SparkSession, sf_dir: str, metric: str, by: str, agg: str = "su
     return stable(serving.trend(served(spark, sf_dir), metric, by, START, END, agg))
 
 
+def unavailable_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours that fhv's rollup answers each average with: none for those it does not have."""
+    rows = served(spark, sf_dir, "fhv")
+    counts = [
+        serving.available(rows, m).agg(F.lit(m).alias("metric"), F.count(F.lit(1)).alias("hours"))
+        for m in names.AVERAGED_METRICS.values()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _on_average(operator, spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
     rows = served(spark, sf_dir, *serving.services_with(metric))
     return stable(operator(rows, metric, START, END))
@@ -314,17 +376,22 @@ def queries() -> dict[str, Query]:
         "refresh_rollup": refresh_rollup,
         "stream_ingest": stream_ingest_query,
         "stream_hourly": stream_hourly_query,
-        "export_range": partial(export_query, with_index=False),
-        "export_range_indexed": partial(export_query, with_index=True),
-        "all_services_hourly": lambda s, d: hourly(s, d),
+        "cycle_after_failure": cycle_after_failure,
+        "cycle_with_stray_pickup": cycle_with_stray_pickup,
+        "export_range": partial(export_query, service="yellow", with_index=False),
+        "export_range_indexed": partial(export_query, service="yellow", with_index=True),
+        "all_services_hourly": lambda s, d: stable(hourly(s, d)),
         "hourly_from_parts": hourly_from_parts,
         "rollup_key_check": lambda s, d: rollup.key_check(hourly(s, d)),
-        "calendar_view": lambda s, d: serving.calendar_view(hourly(s, d, "yellow")).orderBy(
-            "pickup_hour"
+        "calendar_view": lambda s, d: stable(serving.calendar_view(hourly(s, d))).orderBy(
+            "service", "pickup_hour"
         ),
+        "unavailable_metric": unavailable_metric,
         "metric_availability": lambda s, d: serving.metric_availability(served(s, d)),
         "card_num_trips": lambda s, d: serving.card_num_trips(served(s, d), START, END),
-        "card_total_payed": lambda s, d: serving.card_total_payed(served(s, d), START, END),
+        "card_total_payed": lambda s, d: stable(
+            serving.card_total_payed(served(s, d), START, END)
+        ),
         "trend_avg_payed_month": partial(
             trend, metric="total_amount_payed", by="month", agg="avg"
         ),
@@ -339,6 +406,13 @@ def queries() -> dict[str, Query]:
     }
     for service in SERVICES:
         found[f"hourly_{service}"] = partial(hourly_one, service=service)
+        if service != "yellow":
+            found[f"export_range_{service}"] = partial(
+                export_query, service=service, with_index=False
+            )
+            found[f"export_range_indexed_{service}"] = partial(
+                export_query, service=service, with_index=True
+            )
     for short, metric in TREND_METRICS.items():
         for unit in clock.CALENDAR:
             found[f"trend_{short}_{unit}"] = partial(trend, metric=metric, by=unit)

@@ -53,10 +53,15 @@ def _columns(service: str) -> list[str]:
     ]
 
 
+def _rounded(columns: list[str]) -> str:
+    """Amounts are rounded to cents where a query ends, and nowhere before."""
+    return ", ".join(f"round({c}, 2) AS {c}" if c.startswith("total_") else c for c in columns)
+
+
 def _hourly() -> str:
     """A CTE with all services' rollups; columns a service lacks are NULL."""
     sums = ",\n    ".join(
-        f"round(sum(CASE WHEN service IN {(*services, '')} THEN {source} END), 2) AS {out}"
+        f"sum(CASE WHEN service IN {(*services, '')} THEN {source} END) AS {out}"
         for out, source, services in _AMOUNTS
     )
     totals = "\n      ".join(
@@ -82,11 +87,13 @@ hourly AS (
       AS avg_trip_time_min,
     avg(CASE WHEN service <> 'fhv' THEN miles END) AS avg_trip_miles,
     {sums},
-    round(CASE service {totals} END, 2) AS total_amount_payed
+    CASE service {totals} END AS total_amount_payed
   FROM trips GROUP BY service, date_trunc('hour', pickup_datetime))"""
 
 
 HOURLY = _hourly()
+ALL_COLUMNS = ["service", "pickup_hour", "num_trips", *_AVERAGES, *(a[0] for a in _AMOUNTS), "total_amount_payed"]
+EVERY_HOUR = f"SELECT {_rounded(ALL_COLUMNS)} FROM hourly"
 SERVED = f"""
 served AS (SELECT * FROM hourly WHERE pickup_hour >= {START} AND pickup_hour < {END})"""
 CALENDAR = ", ".join(f"date_part('{p}', pickup_hour)::INTEGER AS {c}" for c, p in UNITS.items())
@@ -169,10 +176,11 @@ rates AS (
     RANGE BETWEEN INTERVAL '299999999' MICROSECOND PRECEDING AND CURRENT ROW))"""
 
 _FILE_SUMMARY = """
-SELECT 'yellow' AS service, file_month, count(*) AS num_rows, min(pickup_datetime) AS first_pickup,
-  max(dropoff_datetime) AS last_dropoff, round(sum(base_fare), 2) AS total_fare,
-  count(airport_fee) AS with_airport_fee
-FROM trips WHERE service = 'yellow' GROUP BY file_month"""
+SELECT service, file_month, count(*) AS num_rows, min(pickup_datetime) AS first_pickup,
+  max(dropoff_datetime) AS last_dropoff,
+  round(sum(CASE WHEN service <> 'fhv' THEN base_fare END), 2) AS total_fare,
+  count(CASE WHEN service IN ('fhvhv', 'yellow') THEN airport_fee END) AS with_airport_fee
+FROM trips GROUP BY service, file_month"""
 
 
 def _with(*parts_and_query: str) -> str:
@@ -243,8 +251,6 @@ def _panel(metric: str, legend: str, names: str = "true") -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    yellow = ", ".join(_columns("yellow"))
-    green = ", ".join(_columns("green"))
     sql = {
         "discover_tables": _with(TRIPS, LOADED, "SELECT service, table_name FROM found"),
         "existing_tables": _with(TRIPS, "SELECT DISTINCT service FROM trips"),
@@ -271,41 +277,30 @@ def oracle_sql() -> dict[str, str]:
         "canonical_columns": _with(
             TRIPS, "SELECT service, pickup_datetime, dropoff_datetime FROM trips"
         ),
-        "refresh_rollup": _with(
-            TRIPS, HOURLY, f"SELECT service, {yellow} FROM hourly WHERE service = 'yellow'"
-        ),
-        "stream_ingest": _with(
-            TRIPS,
-            """SELECT file_month, count(*) AS num_rows, round(sum(base_fare), 2) AS total_fare
-FROM trips WHERE service = 'green' GROUP BY file_month""",
-        ),
+        "refresh_rollup": _with(TRIPS, HOURLY, EVERY_HOUR),
+        "cycle_after_failure": _with(TRIPS, HOURLY, EVERY_HOUR),
+        "cycle_with_stray_pickup": _with(TRIPS, _FILE_SUMMARY),
+        "stream_ingest": _with(TRIPS, _FILE_SUMMARY),
         "stream_hourly": _with(
             TRIPS, HOURLY,
-            f"""SELECT service, {green} FROM hourly
-WHERE service = 'green' AND pickup_hour + INTERVAL 2 HOUR <=
-  (SELECT max(pickup_datetime) FROM trips WHERE service = 'green')""",
+            f"""{EVERY_HOUR} h WHERE pickup_hour + INTERVAL 2 HOUR <=
+  (SELECT max(pickup_datetime) FROM trips t WHERE t.service = h.service)""",
         ),
-        "export_range": _with(
-            TRIPS, HOURLY, SERVED,
-            f"SELECT {CALENDAR}, {yellow} FROM served WHERE service = 'yellow'",
-        ),
-        "export_range_indexed": _with(
-            TRIPS, HOURLY,
-            f"""SELECT * FROM (
-  SELECT (row_number() OVER (ORDER BY pickup_hour) - 1)::INTEGER AS row_index, {CALENDAR}, {yellow}
-  FROM hourly WHERE service = 'yellow')
-WHERE pickup_hour >= {START} AND pickup_hour < {END}""",
-        ),
-        "all_services_hourly": _with(TRIPS, HOURLY, "SELECT * FROM hourly"),
-        "hourly_from_parts": _with(TRIPS, HOURLY, "SELECT * FROM hourly"),
+        "all_services_hourly": _with(TRIPS, HOURLY, EVERY_HOUR),
+        "hourly_from_parts": _with(TRIPS, HOURLY, EVERY_HOUR),
         "rollup_key_check": _with(
             TRIPS, HOURLY,
             """SELECT service, count(*) AS hours, count(DISTINCT pickup_hour) AS distinct_hours,
   count(*) = count(DISTINCT pickup_hour) AS ok FROM hourly GROUP BY service""",
         ),
         "calendar_view": _with(
-            TRIPS, HOURLY,
-            f"SELECT {CALENDAR}, service, {yellow} FROM hourly WHERE service = 'yellow'",
+            TRIPS, HOURLY, f"SELECT {CALENDAR}, {_rounded(ALL_COLUMNS)} FROM hourly"
+        ),
+        "unavailable_metric": _with(
+            TRIPS, HOURLY, SERVED,
+            """SELECT metric, CASE metric WHEN 'avg_trip_time_min'
+  THEN (SELECT count(*) FROM served WHERE service = 'fhv') ELSE 0 END AS hours
+FROM (VALUES ('avg_trip_time_min'), ('avg_trip_miles'), ('avg_request_to_on_scene_time_min')) m(metric)""",
         ),
         "metric_availability": _with(
             TRIPS, HOURLY, SERVED,
@@ -358,10 +353,21 @@ WHERE metric = 'container_cpu_usage_seconds_total' AND regexp_full_match(id, '/d
         ),
     }
     for service in ("fhvhv", "fhv", "yellow", "green"):
+        columns = _rounded(_columns(service))
+        ending = "" if service == "yellow" else f"_{service}"
         sql[f"hourly_{service}"] = _with(
+            TRIPS, HOURLY, f"SELECT service, {columns} FROM hourly WHERE service = '{service}'"
+        )
+        sql[f"export_range{ending}"] = _with(
+            TRIPS, HOURLY, SERVED,
+            f"SELECT {CALENDAR}, {columns} FROM served WHERE service = '{service}'",
+        )
+        sql[f"export_range_indexed{ending}"] = _with(
             TRIPS, HOURLY,
-            f"SELECT service, {', '.join(_columns(service))} FROM hourly"
-            f" WHERE service = '{service}'",
+            f"""SELECT * FROM (
+  SELECT (row_number() OVER (ORDER BY pickup_hour) - 1)::INTEGER AS row_index, {CALENDAR}, {columns}
+  FROM hourly WHERE service = '{service}')
+WHERE pickup_hour >= {START} AND pickup_hour < {END}""",
         )
     for unit in UNITS:
         sql[f"trend_trips_{unit}"] = _trend("num_trips", unit, "sum(num_trips)::BIGINT")

@@ -78,9 +78,10 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_trips(all_trips: DataFrame, service: str) -> DataFrame:
-    """One service's trips under the column names of its raw files."""
-    return all_trips.filter(f"service = '{service}'").selectExpr(*_raw_columns(SPECS[service]))
+def raw_trips(all_trips: DataFrame, service: str, *more: str) -> DataFrame:
+    """One service's trips under the column names of its raw files, with ``more`` columns."""
+    chosen = all_trips.filter(f"service = '{service}'")
+    return chosen.selectExpr(*_raw_columns(SPECS[service]), *more)
 
 
 def _raw_columns(spec: ServiceSpec) -> list[str]:

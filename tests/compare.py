@@ -25,6 +25,8 @@ def normalised(df: pd.DataFrame) -> pd.DataFrame:
     for c in df.columns:
         if str(df[c].dtype).startswith("datetime"):
             df[c] = df[c].astype("datetime64[us]")
+        elif df[c].isna().any():  # pandas turns integers with gaps into floats, or not
+            df[c] = df[c].convert_dtypes()
     text = df.astype(object).where(df.notna(), None)
     order = text.map(repr).agg("|".join, axis=1).sort_values(kind="stable").index if len(df) else []
     return text.loc[order].reset_index(drop=True)
@@ -38,7 +40,8 @@ def difference(spark_df: pd.DataFrame, sql_df: pd.DataFrame) -> str | None:
         return f"rows {len(spark_df)} against {len(sql_df)}"
     for c in spark_df.columns:
         kinds = spark_df[c].dtype.kind, sql_df[c].dtype.kind
-        if kinds[0] != kinds[1] and not {"O"} & set(kinds):
+        gaps = spark_df[c].isna().any() or sql_df[c].isna().any()
+        if kinds[0] != kinds[1] and not {"O"} & set(kinds) and not gaps:
             return f"type of {c}: {spark_df[c].dtype} against {sql_df[c].dtype}"
     a, b = normalised(spark_df), normalised(sql_df)
     unequal = (a.map(repr) != b.map(repr)).any(axis=1)

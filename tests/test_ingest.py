@@ -9,7 +9,7 @@ from kerbside.operators import rollup
 from kerbside.plans.cycle import Warehouse, run_cycle
 from kerbside.plans.ingest import Slice, load_slices, plan_slices, read_slices
 from kerbside.plans.refresh import existing_rollups, load_parts, merged_rollup
-from kerbside.sources import discovery
+from kerbside.sources import discovery, paths
 from kerbside.sources.jdbc import JdbcTarget
 from kerbside.sources.trips import canonicalise, load_trips, scan_files
 from kerbside.spec import SPECS
@@ -106,18 +106,213 @@ def test_append_mode_takes_what_is_strictly_between(spark, land):
     assert stored(spark, land.store) == [datetime(2024, 2, 2)] * 2
 
 
-def test_empty_slice_is_skipped_and_leaves_its_partition(spark, land):
+def test_an_empty_replace_removes_what_was_there(spark, land):
     path = land("2024-02", ["2024-02-01"])
     load_slices(spark, [Slice("fhv", "2024-02", path)], land.store.trips)
     early = Slice("fhv", "2024-02", path, None, datetime(2024, 1, 1))
-    assert load_slices(spark, [early], land.store.trips) == {("fhv", "2024-02"): 0}
+    assert load_slices(spark, [early], land.store.trips, "append") == {("fhv", "2024-02"): 0}
     assert len(stored(spark, land.store)) == 1
+    assert load_slices(spark, [early], land.store.trips) == {("fhv", "2024-02"): 0}
+    assert discovery.loaded_months(spark, land.store.trips) == []
+
+
+def test_a_month_rewritten_to_nothing_leaves_trips_and_rollup(spark, land):
+    land("2024-02", ["2024-02-05 10:00"])
+    land("2024-03", ["2024-03-05 10:00"])
+    run_cycle(spark, land.folder, land.store, "2024-03-15")
+    land("2024-03", ["2024-03-20 10:00"])
+    report = run_cycle(spark, land.folder, land.store, "2024-03-15")
+    assert report.empty == [("fhv", "2024-03")]
+    assert stored(spark, land.store) == [datetime(2024, 2, 5, 10)]
+    assert hours(report.rollup) == {datetime(2024, 2, 5, 10): 1}
+    report = run_cycle(spark, land.folder, land.store, "2024-04-02")
+    assert hours(report.rollup) == {datetime(2024, 2, 5, 10): 1, datetime(2024, 3, 20, 10): 1}
+
+
+def test_the_only_month_rewritten_to_nothing_leaves_no_rollup(spark, land):
+    land("2024-03", ["2024-03-05 10:00"])
+    run_cycle(spark, land.folder, land.store, "2024-03-15")
+    land("2024-03", ["2024-03-20 10:00"])
+    report = run_cycle(spark, land.folder, land.store, "2024-03-15")
+    assert hours(report.rollup) == {} and existing_rollups(spark, land.store.rollup) == []
+
+
+def same_as_recomputed(spark, land, rollup_):
+    """The stored rollup equals one computed from all stored trips."""
+    full = rollup.hourly_rollup(load_trips(spark, land.store.trips, FHV), FHV)
+    chosen = rollup_.filter("service = 'fhv'").select(full.columns)
+    return sorted(chosen.collect()) == sorted(full.collect())
+
+
+def test_months_of_a_run_that_failed_are_rolled_up(spark, land):
+    """After a first load, after a late month, and after a reload, each ended before the parts."""
+    for month in ("2024-01", "2024-02", "2024-03"):
+        land(month, [f"{month}-05 10:00", f"{month}-06 11:00"])
+
+    def load_only(as_of):
+        planned = plan_slices(spark, land.folder, land.store.trips, as_of).slices
+        load_slices(spark, planned, land.store.trips)
+
+    load_only("2024-03-15")
+    report = run_cycle(spark, land.folder, land.store, "2024-03-15")
+    assert sum(hours(report.rollup).values()) == 6 and same_as_recomputed(spark, land, report.rollup)
+    land("2023-12", ["2023-12-09 09:00"])
+    load_only("2024-03-15")
+    report = run_cycle(spark, land.folder, land.store, "2024-03-15")
+    assert sum(hours(report.rollup).values()) == 7 and same_as_recomputed(spark, land, report.rollup)
+
+
+@pytest.mark.parametrize("step", ["refresh_parts", "refresh_rollup"])
+@pytest.mark.parametrize("mode", ["replace", "append"])
+def test_a_cycle_that_fails_midway_is_made_up_for(spark, land, monkeypatch, step, mode):
+    from kerbside.plans import cycle
+
+    land("2024-01", ["2024-01-05 10:00"])
+    run_cycle(spark, land.folder, land.store, "2024-01-10", mode)
+    land("2024-01", ["2024-01-05 10:00", "2024-01-20 10:00"])
+    land("2024-02", ["2024-02-05 10:00"])
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="lost"):
+        m.setattr(cycle, step, fail)
+        run_cycle(spark, land.folder, land.store, "2024-02-10", mode)
+    report = run_cycle(spark, land.folder, land.store, "2024-02-10", mode)
+    assert same_as_recomputed(spark, land, report.rollup)
+    if mode == "replace":
+        assert sum(hours(report.rollup).values()) == 3
+    else:
+        assert ("fhv", "2024-02") in [*report.taken_up, *report.loaded]
+
+
+def test_one_failing_service_leaves_no_other_behind(spark, land, tmp_path):
+    land("2024-01", ["2024-01-05 10:00"])
+    bad = tmp_path / "landing" / "green_tripdata_2024-01.parquet"
+    bad.write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        run_cycle(spark, land.folder, land.store, "2024-02-10")
+    bad.rename(tmp_path / "set_aside")
+    report = run_cycle(spark, land.folder, land.store, "2024-02-10")
+    assert sum(hours(report.rollup).values()) == 1 and same_as_recomputed(spark, land, report.rollup)
+
+
+def test_a_stray_pickup_leaves_no_month_half_loaded(spark, land):
+    land("2024-01", ["2024-01-05 10:00", "2024-09-01 00:00"])
+    land("2024-02", ["2024-02-05 10:00", "2024-02-25 10:00"])
+    for as_of in ("2024-02-15", "2024-03-15", "2024-04-15"):
+        report = run_cycle(spark, land.folder, land.store, as_of)
+    assert len(stored(spark, land.store)) == 4 and same_as_recomputed(spark, land, report.rollup)
+
+
+def test_a_store_without_records_is_finished_too(spark, land):
+    land("2024-01", ["2024-01-05 10:00", "2024-09-01 00:00"])
+    land("2024-02", ["2024-02-05 10:00", "2024-02-25 10:00"])
+    run_cycle(spark, land.folder, land.store, "2024-02-15")
+    paths.delete(spark, land.store.record)
+    run_cycle(spark, land.folder, land.store, "2024-03-15")
+    assert len(stored(spark, land.store)) == 4
+
+
+def test_a_stray_pickup_does_not_stall_appending(spark, land):
+    land("2024-02", ["2024-02-05 10:00", "2024-02-25 10:00", "2024-09-01 00:00"])
+    run_cycle(spark, land.folder, land.store, "2024-03-01", "append")
+    land("2024-03", ["2024-03-05 10:00"])
+    run_cycle(spark, land.folder, land.store, "2024-03-15", "append")
+    assert datetime(2024, 3, 5, 10) in stored(spark, land.store)
+
+
+def test_what_is_left_out_is_reported(spark, land, tmp_path):
+    land("2024-01", ["2024-01-05 10:00"])
+    (tmp_path / "landing" / "blue_tripdata_2024-01.parquet").write_text("x")
+    (tmp_path / "landing" / "fhv_tripdata_copy.parquet").write_text("x")
+    report = run_cycle(spark, land.folder, land.store, "2024-03-15")
+    assert report.missing == [("fhv", "2024-02"), ("fhv", "2024-03")]
+    assert report.ignored == ["blue_tripdata_2024-01.parquet", "fhv_tripdata_copy.parquet"]
+
+
+def test_keys_are_checked_before_the_rollup_is_published(spark, land, monkeypatch):
+    from kerbside.plans import refresh
+
+    land("2024-01", ["2024-01-05 10:00"])
+    run_cycle(spark, land.folder, land.store, "2024-02-15")
+    land("2024-02", ["2024-02-05 10:00"])
+    once = refresh.merge_parts
+    monkeypatch.setattr(refresh, "merge_parts", lambda *a: once(*a).union(once(*a)))
+    with pytest.raises(ValueError, match="more than once"):
+        run_cycle(spark, land.folder, land.store, "2024-02-15")
+    assert hours(refresh.load_rollup(spark, land.store.rollup)) == {datetime(2024, 1, 5, 10): 1}
+
+
+def test_floating_seconds_keep_their_fraction(spark, tmp_path):
+    spec = SPECS["fhvhv"]
+    for month, seconds in (("01", "90L"), ("02", "90.0D")):
+        spark.sql(
+            f"SELECT TIMESTAMP_NTZ '2024-{month}-01' AS pickup_datetime,"
+            f" TIMESTAMP_NTZ '2024-{month}-02' AS dropoff_datetime, {seconds} AS trip_time"
+        ).write.parquet(f"{tmp_path}/fhvhv_tripdata_2024-{month}.parquet")
+    files = [f"{tmp_path}/fhvhv_tripdata_2024-{m}.parquet" for m in ("01", "02")]
+    planned = [Slice("fhvhv", f"2024-{m}", f) for m, f in zip(("01", "02"), files)]
+    load_slices(spark, planned, f"{tmp_path}/trips")
+    trips = load_trips(spark, f"{tmp_path}/trips", spec)
+    for got in (
+        rollup.hourly_rollup(trips, spec),
+        rollup.merge_parts(rollup.hourly_parts(trips, spec, "file_month"), spec),
+    ):
+        assert [r.avg_trip_time_min for r in got.orderBy("pickup_hour").collect()] == [1.0, 1.5]
+
+
+def test_part_files_of_one_month_may_differ_in_type(spark, tmp_path):
+    path = f"{tmp_path}/green_tripdata_2024-01.parquet"
+    for value in ("1L", "1.5D"):
+        spark.sql(
+            "SELECT TIMESTAMP_NTZ '2024-01-01' AS lpep_pickup_datetime,"
+            f" TIMESTAMP_NTZ '2024-01-02' AS lpep_dropoff_datetime, {value} AS fare_amount"
+        ).write.mode("append").parquet(path)
+    got = scan_files(spark, SPECS["green"], [path]).collect()
+    assert sorted(r.fare_amount for r in got) == [1.0, 1.5] and {r.file_month for r in got} == {"2024-01"}
+
+
+def test_stream_equals_batch(spark, land, tmp_path):
+    """The same files loaded both ways: equal rows and columns, a misnamed file ignored by both."""
+    land("2024-01", ["2024-01-01 10:00"])
+    land("2024-02", ["2024-02-01 10:00"])
+    spark.read.parquet(f"{land.folder}/fhv_tripdata_2024-01.parquet").write.parquet(
+        f"{land.folder}/fhv_tripdata_copy.parquet"
+    )
+    for month, zone in (("2024-01", "7"), ("2024-02", "7.5D")):
+        spark.sql(
+            f"SELECT TIMESTAMP_NTZ '{month}-01' AS lpep_pickup_datetime, TIMESTAMP_NTZ '{month}-02' AS"
+            f" lpep_dropoff_datetime, {zone} AS fare_amount, 5 AS `PUlocationID`"
+        ).write.parquet(f"{land.folder}/green_tripdata_{month}.parquet")
+    stream_ingest(spark, land.folder, land.store, land.checkpoint)
+    batch = Warehouse(f"{tmp_path}/batch")
+    run_cycle(spark, land.folder, batch, "2024-07-01")
+    for service in ("fhv", "green"):
+        streamed = spark.read.parquet(f"{land.store.trips}/service={service}").drop("batch_id")
+        loaded = spark.read.parquet(f"{batch.trips}/service={service}")
+        assert sorted(streamed.columns) == sorted(loaded.columns)
+        rows = lambda df: sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=str)
+        assert rows(streamed) == rows(loaded)
+    assert "PUlocationID" in spark.read.parquet(f"{land.store.trips}/service=green").columns
+
+
+def test_a_stray_pickup_does_not_end_the_hourly_stream(spark, land, tmp_path):
+    land("2024-01", ["2024-01-05 10:00", "2098-01-01 00:00"])
+    count = lambda: stream_hourly(spark, land.folder, FHV, f"{tmp_path}/out", land.checkpoint)
+    assert count() == 1
+    land("2024-02", ["2024-02-05 10:00", "2024-02-20 10:00"])
+    assert count() == 1
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert {r.pickup_hour for r in got} == {datetime(2024, 1, 5, 10), datetime(2024, 2, 5, 10)}
+    assert spark.read.parquet(f"{tmp_path}/out_stray").first().pickup_datetime == datetime(2098, 1, 1)
 
 
 def test_planned_months_without_a_file_are_left_out(spark, land):
     land("2024-01", ["2024-01-01"])
     planned = plan_slices(spark, land.folder, land.store.trips, "2024-03-15")
-    assert [(s.service, s.file_month) for s in planned] == [("fhv", "2024-01")]
+    assert [s.key for s in planned.slices] == [("fhv", "2024-01")]
+    assert planned.missing == [("fhv", "2024-02"), ("fhv", "2024-03")]
 
 
 def test_discovery_sees_one_row_per_month(spark, land, tmp_path):

@@ -65,10 +65,7 @@ def test_bounds_are_exclusive(trips):
 def test_filter_and_count_of_many_slices(trips, spark):
     df = trips("fhv", [{"pickup_datetime": t} for t in ("2024-01-01", "2024-01-02", "2024-01-03")])
     df = df.selectExpr("*", "explode(array('fhv', 'green', 'yellow', 'fhvhv')) AS service")
-    chosen = spark.createDataFrame(
-        [("fhv", day(1, 1), day(1, 3)), ("green", None, None), ("yellow", day(1, 3), day(1, 9))],
-        "service string, start_time timestamp_ntz, end_time timestamp_ntz",
-    )
+    chosen = [("fhv", day(1, 1), day(1, 3)), ("green", None, None), ("yellow", day(1, 3), day(1, 9))]
     kept = slices.slice_filter(df, chosen)
     assert kept.columns == df.columns and kept.count() == 4
     counts = {r.service: (r.num_rows, r.skipped) for r in slices.slice_count(df, chosen).collect()}
