@@ -21,16 +21,17 @@ from kerbside.llm.common import id_text, md5_number, settled, table, words
 MAX_EPOCHS = 3
 SLOTS = 2**16  # the schedule's length, more or less, at any size of the corpus
 SLOTS_PER_SOURCE = 64
-CHUNK_DOCS = 4096
+CHUNKS_PER_ROOT = 4  # chunks of the shuffle per square root of the number of documents
 GOLDEN = 0.6180339887498949
 CELLS = 4096
 
 
 def sized_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """(doc_id, source, size in words, place in the shuffle)."""
+    """(doc_id, source, text_hash, size in words, place in the shuffle)."""
     return docs.select(
         "doc_id",
         "source",
+        F.xxhash64("text").alias("text_hash"),
         F.size(words(F.col("text"))).cast("long").alias("size"),
         md5_number(F.concat(F.lit(f"{seed}:"), id_text("doc_id"))).alias("place"),
     )
@@ -119,9 +120,10 @@ def streams(sized: DataFrame, targets: DataFrame, n_docs: int) -> DataFrame:
     """Documents with words, with the word of their source's stream at which they ``start``.
 
     A stream is cut into chunks by the place in the shuffle; sums of chunks give the offsets, so a
-    source with a third of all documents spreads over as many tasks as it has chunks.
+    source with a third of all documents spreads over as many tasks as it has chunks. Chunks per
+    source and documents per chunk both grow with the square root of the number of documents.
     """
-    chunks = max(1, n_docs // CHUNK_DOCS)
+    chunks = max(1, int(CHUNKS_PER_ROOT * n_docs**0.5))
     width = -(-(2**32) // chunks)
     # One row per source.
     numbered = (
@@ -163,7 +165,7 @@ def pieces(streamed: DataFrame, block: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, slots: int = SLOTS, seed: int = 0) -> DataFrame:
-    """Output: doc_id, size, source_size, target, taken, source.
+    """Output: doc_id, size, source_size, target, taken, source, text_hash.
 
     ``taken`` is how many words the mix takes of the document, repeats counted.
     """
@@ -184,19 +186,49 @@ def mix(docs: DataFrame, slots: int = SLOTS, seed: int = 0) -> DataFrame:
     used = (
         pieces(streams(sized, targets, total.docs), block)
         .join(taken_blocks, ["source_no", "block_no"], "left")
-        .groupBy("source_no", "start", "doc_id", "source", "size")
+        .groupBy("source_no", "start", "doc_id", "source", "text_hash", "size")
         .agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
-        .select("doc_id", "source", "size", "taken")
+        .drop("source_no", "start")
     )
-    none = sized.filter("size = 0").select("doc_id", "source", "size", F.lit(0).cast("long").alias("taken"))
+    none = sized.filter("size = 0").drop("place").withColumn("taken", F.lit(0).cast("long"))
     return (
         used.unionByName(none)
         .alias("d")
         .join(targets.alias("t"), F.expr("d.source <=> t.source"))
-        .select("doc_id", "size", "source_size", "target", "taken", "d.source")
+        .select("doc_id", "size", "source_size", "target", "taken", "d.source", "text_hash")
+    )
+
+
+def mixed_documents(docs: DataFrame, slots: int = SLOTS, seed: int = 0) -> DataFrame:
+    """The documents as often as the mix takes them, to the nearest whole copy, none to three.
+
+    Repeated rows are told apart by their number among the rows of one identifier and text.
+    """
+    same = Window.partitionBy("_mx_id", "_mx_hash")
+    copies = (
+        mix(docs, slots, seed)
+        .selectExpr(
+            "doc_id AS _mx_id",
+            "text_hash AS _mx_hash",
+            "source",
+            "CASE WHEN size > 0 THEN int(floor(taken / size + 0.5D)) ELSE 0 END AS _mx_copies",
+        )
+        .withColumn("_mx_no", F.row_number().over(same.orderBy("source", "_mx_copies")))
+        .filter("_mx_copies > 0")
+        .drop("source")
+        .withColumnsRenamed({"_mx_id": "_mx_i", "_mx_hash": "_mx_h", "_mx_no": "_mx_n"})
+    )
+    numbered = docs.withColumns({"_mx_id": F.col("doc_id"), "_mx_hash": F.xxhash64("text")}).withColumn(
+        "_mx_no", F.row_number().over(same.orderBy("source"))
+    )
+    on = F.expr("_mx_id <=> _mx_i AND _mx_hash = _mx_h AND _mx_no = _mx_n")
+    return (
+        numbered.join(copies, on)
+        .withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.col("_mx_copies"))))
+        .select(*(F.col(f"`{c}`") for c in docs.columns))
     )
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the sources' targets."""
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents")).drop("text_hash")
