@@ -108,3 +108,47 @@ FROM m
 """
 
 ORACLES |= {"op2_warc": OP2}
+
+_MD5 = "('0x' || md5({})[1:8])::BIGINT"
+_DAY = "(DATE '2024-01-01' + ({} % 360)::INTEGER)::TIMESTAMP"
+_URL = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)"
+
+
+def _day(text: str) -> str:
+    return _DAY.format(_MD5.format(text))
+
+
+OP8 = rf"""
+WITH parts AS (
+  SELECT page_id, url, {_day("'fetch:' || coalesce(page_id::VARCHAR, '')")} AS fetched_at,
+         translate(regexp_extract(coalesce(url, ''), '{_URL}', 1), '{UPPER}', '{LOWER}') AS host,
+         list_filter(string_split(regexp_extract(coalesce(url, ''), '{_URL}', 2), '/'),
+                     lambda s: s <> '') AS steps
+  FROM pages
+), keyed AS (
+  SELECT *, string_split(host, '.') AS labels,
+         list_transform(range(1, len(steps) + 1),
+                        lambda i: host || '/' || array_to_string(steps[1:i], '/')) AS paths
+  FROM parts
+), entries AS (
+  SELECT DISTINCT 'hosts' AS l, host AS k, {_day("'add:' || host")} AS since,
+         {_day("'remove:' || host")} AS until
+  FROM parts WHERE host <> '' AND {_MD5.format("'list:' || host")} % 4 = 0
+  UNION SELECT DISTINCT 'spam', host, TIMESTAMP '2024-01-01', NULL FROM parts WHERE contains(host, 'spam')
+  UNION SELECT DISTINCT 'paths', list_max(paths), {_day("'add:' || list_max(paths)")}, NULL
+  FROM keyed WHERE host <> '' AND len(paths) > 0 AND {_MD5.format("'path:' || list_max(paths)")} % 8 = 0
+), keys AS (
+  SELECT page_id, fetched_at, unnest(list_distinct(list_concat(paths,
+           list_transform(range(1, len(labels)), lambda i: array_to_string(labels[i:], '.'))))) AS k
+  FROM keyed WHERE host <> ''
+), matched AS (
+  SELECT page_id, string_agg(DISTINCT l || ':' || k, ',' ORDER BY l || ':' || k) AS matches
+  FROM keys JOIN entries USING (k)
+  WHERE fetched_at >= since AND (until IS NULL OR until <= since OR fetched_at < until)
+    AND (until IS NULL OR since <> until) GROUP BY page_id
+)
+SELECT page_id, fetched_at, host, coalesce(matches, '') AS matches, matches IS NOT NULL AS blocked
+FROM parts LEFT JOIN matched USING (page_id)
+"""
+
+ORACLES |= {"op8_url_filters": OP8}

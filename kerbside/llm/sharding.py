@@ -46,7 +46,7 @@ def _pack(loads: DataFrame, order: str, start: Column) -> DataFrame:
     ``start`` has each shard's bytes before. The fold runs over at most ``n_slots`` entries.
     """
     queue = F.array_sort(F.collect_list(F.expr(order)))
-    begin = F.struct(start.alias("load"), F.array().cast("array<int>").alias("to"))
+    begin = F.struct(F.col("start").alias("load"), F.array().cast("array<int>").alias("to"))
 
     def place(state: Column, slot: Column) -> Column:
         lightest = F.array_position(state.load, F.array_min(state.load))
@@ -61,7 +61,7 @@ def _pack(loads: DataFrame, order: str, start: Column) -> DataFrame:
         )[0]
 
     return (
-        loads.agg(queue.alias("queue"))
+        loads.agg(queue.alias("queue"), start.alias("start"))
         .select("queue", F.aggregate("queue", begin, place).to.alias("to"))
         .select(F.posexplode("queue").alias("i", "slot"), "to")
         .select("slot.virtual_slot", F.expr("to[i]").alias("shard"))
@@ -98,7 +98,7 @@ def rebalance(slot_map: DataFrame, loads: DataFrame, n_shards: int) -> DataFrame
             lambda s: F.coalesce(F.element_at("kept", s), F.lit(0).cast("long")),
         ).alias("start")
     )
-    order = "struct(-bytes AS heavy_first, virtual_slot, bytes, start)"
+    order = "struct(-bytes AS heavy_first, virtual_slot, bytes)"
     # One row of ``n_shards`` numbers goes to every moving slot.
     moving = judged.filter("NOT stays").withColumn("one", F.lit(1))
     moving = moving.join(F.broadcast(start.withColumn("one", F.lit(1))), "one")
