@@ -25,8 +25,8 @@ from kerbside.llm.common import NON_WORD, ascii_lower, settled, table, words
 
 WINDOW = 10
 SHINGLE = 3
-#: Rows up to which a side is broadcast (some tens of MB); beyond, the join shuffles both.
-BROADCAST_ROWS = 1_000_000
+#: Benchmark rows up to which they are broadcast (some tens of MB); beyond, joins shuffle both sides.
+BROADCAST_ROWS = 50_000
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -84,16 +84,20 @@ def _window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     return out
 
 
+#: Columns that :func:`hits` adds; the prefix keeps them apart from the documents' own.
+N_WORDS, N_HIT, HIT_WINDOWS = "_dc_n_words", "_dc_n_hit", "_dc_windows"
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """Documents with what was found: adds ``n_words``, ``n_hit``, ``hit_windows``.
+    """Documents with their own columns and ``N_WORDS``, ``N_HIT``, ``HIT_WINDOWS``.
 
-    ``hit_windows`` are the windows that occur; the documents' own columns stay.
+    The last are the windows that occur.
     """
     windows, _ = windows_of(benchmark, window)
     windows = settled(windows, "windows")
     parts = settled(_window_shingles(windows, shingle), "window-shingles")
     n_parts = parts.count()
-    # One or two numbers: the shingle widths that the benchmark's windows need.
+    # Up to ``shingle`` numbers: the widths that the benchmark's windows need.
     widths = [r.width for r in parts.select("width").distinct().collect()]
     known = _small(parts.select("shingle").distinct(), n_parts)
     tokens = docs.select("doc_id", document_words(F.col("text")).alias("tokens"))
@@ -103,23 +107,21 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: i
             "doc_id", F.expr(f"posexplode({shingle_hashes('tokens', width)}) AS (pos, shingle)")
         )
         found = one if found is None else found.unionByName(one)
-    keep = docs.withColumn("tokens", document_words(F.col("text")))
     if found is None:
-        return keep.select(
-            *(c for c in docs.columns),
-            F.size("tokens").cast("long").alias("n_words"),
-            F.lit(0).cast("long").alias("n_hit"),
-            F.array().cast("array<string>").alias("hit_windows"),
+        return docs.withColumns(
+            {
+                N_WORDS: F.size(document_words(F.col("text"))).cast("long"),
+                N_HIT: F.lit(0).cast("long"),
+                HIT_WINDOWS: F.array().cast("array<string>"),
+            }
         )
     found = settled(found.join(known, "shingle", "left_semi"), "shingle-occurrences")
     rarity = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("rarity"))
     prefix = (
         parts.join(rarity, "shingle", "left")
         .groupBy("window_id", "len")
-        .agg(
-            F.min(F.struct(F.coalesce("rarity", F.lit(0)), "shingle", "at")).alias("rarest"),
-        )
-        .filter(F.col("rarest").getField("col1") > 0)
+        .agg(F.min(F.expr("struct(coalesce(rarity, 0L) AS n, shingle, at)")).alias("rarest"))
+        .filter("rarest.n > 0")
         .select("window_id", "len", "rarest.shingle", "rarest.at")
     )
     candidates = (
@@ -131,24 +133,28 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: i
         .distinct()
     )
     by_doc = settled(
-        candidates.groupBy(F.col("doc_id").alias("key")).agg(F.collect_list("c").alias("candidates")),
+        candidates.groupBy(F.col("doc_id").alias("_dc_key")).agg(F.collect_list("c").alias("_dc_found")),
         "window-candidates",
     )
-    checked = keep.join(_small(by_doc, by_doc.count()), F.expr("doc_id <=> key"), "left").withColumn(
-        "hits",
+    # Candidates grow with the corpus, so they are never broadcast by force. Words are cut after the
+    # join, so that it moves texts only.
+    met = docs.join(by_doc, F.expr("doc_id <=> _dc_key"), "left")
+    checked = met.withColumn("_dc_tokens", document_words(F.col("text"))).withColumn(
+        "_dc_hits",
         F.expr(
-            "filter(coalesce(candidates, array()), c -> c.start + c.len <= size(tokens)"
-            " AND slice(tokens, c.start + 1, c.len) = c.tokens)"
+            "filter(coalesce(_dc_found, array()), c -> c.start + c.len <= size(_dc_tokens)"
+            " AND slice(_dc_tokens, c.start + 1, c.len) = c.tokens)"
         ),
     )
     covered = F.expr(
-        "size(array_distinct(flatten(transform(hits, c -> sequence(c.start, c.start + c.len - 1)))))"
+        "size(array_distinct(flatten(transform(_dc_hits,"
+        " c -> sequence(c.start, c.start + c.len - 1)))))"
     )
     return checked.select(
-        *(F.col(c) for c in docs.columns),
-        F.size("tokens").cast("long").alias("n_words"),
-        covered.cast("long").alias("n_hit"),
-        F.expr("array_distinct(transform(hits, c -> c.window_id))").alias("hit_windows"),
+        *(F.col(f"`{c}`") for c in docs.columns),
+        F.size("_dc_tokens").cast("long").alias(N_WORDS),
+        covered.cast("long").alias(N_HIT),
+        F.expr("array_distinct(transform(_dc_hits, c -> c.window_id))").alias(HIT_WINDOWS),
     )
 
 
@@ -160,31 +166,33 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     found = hits(docs.select("doc_id", "text"), benchmark, window).drop("text")
     found = settled(found, "decontaminated")
     _, items = windows_of(benchmark, window)
-    # Items are looked up per set of windows, not per document: copies share the work.
-    sets = found.filter("size(hit_windows) > 0").select("hit_windows").distinct()
+    hit = found.filter(f"size({HIT_WINDOWS}) > 0")
+    # Items are looked up per set of windows, not per document: copies share the work. Documents
+    # without hits stay out of the join, where they would all be one key.
     named = (
-        sets.select("hit_windows", F.explode("hit_windows").alias("window_id"))
+        hit.select(HIT_WINDOWS)
+        .distinct()
+        .select(HIT_WINDOWS, F.explode(HIT_WINDOWS).alias("window_id"))
         .join(items, "window_id")
-        .groupBy("hit_windows")
+        .groupBy(HIT_WINDOWS)
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
-    joined = found.join(named, "hit_windows", "left").withColumn(
-        "items", F.coalesce("items", F.array().cast("array<string>"))
-    )
+    clean = found.filter(f"size({HIT_WINDOWS}) = 0").withColumn("items", F.array().cast("array<string>"))
+    joined = hit.join(named, HIT_WINDOWS).unionByName(clean)
     return joined.select(
         "doc_id",
-        "n_words",
-        "n_hit",
+        F.col(N_WORDS).alias("n_words"),
+        F.col(N_HIT).alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"),
+        (F.col(N_HIT) > 0).alias("contaminated"),
         "items",
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents in which no benchmark window occurs, with their own columns."""
-    return hits(docs, benchmark, window).filter("n_hit = 0").select(*docs.columns)
+    return hits(docs, benchmark, window).filter(f"{N_HIT} = 0").drop(N_WORDS, N_HIT, HIT_WINDOWS)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
