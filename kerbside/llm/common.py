@@ -50,3 +50,13 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shuffled_once(df: DataFrame) -> DataFrame:
+    """``df``, which ends in a shuffle, in a form whose later jobs find that shuffle's files again.
+
+    Each job on a plain DataFrame plans and shuffles anew; jobs on one RDD skip stages that have run.
+    Lost files are made again, as for any shuffle.
+    """
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(df._jdf.javaRDD(), df._jdf.schema()), spark)

@@ -13,12 +13,15 @@ How the corpus is counted:
 * a bigram of two of the ``HOT`` most frequent words (or of the start and one) is counted in a dense
   table of fixed size and never shuffled by document, so no common pair lands in one task. Any other
   bigram is rarer than the last of those words;
-* other bigrams go to partitions by hash, as packed arrays of keys with the texts they occur in.
-  One shuffle serves both passes over it: statistics for the weights, then each text's share.
+* other bigrams go to partitions by hash, as packed arrays of keys with the texts they occur in;
+  what a text needs of its own goes along: its unigram score, its contexts by bucket, its hot pairs.
+  One shuffle serves all passes over it: statistics for the weights, then each text's share. The
+  texts themselves are read twice, to count words and to count bigrams.
 
 Nulls and edges: a null text is empty, an empty one is its end alone; a null identifier is the empty
 text when folds are dealt; equal texts share one set of entries in a batch and get equal scores; with
 nothing to learn from, all probabilities are those of the smoothing. Extra columns are not read.
+Documents have to come in one order whenever a lost task reads them again, as files do.
 """
 
 from __future__ import annotations
@@ -33,17 +36,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from kerbside.llm.common import ascii_lower, id_fold, settled, table, words
+from kerbside.llm.common import ascii_lower, id_fold, settled, shuffled_once, table, words
 from kerbside.session import scratch_dir
 
 FOLDS, HELD_OUT = 5, 1
 MAX_VOCAB = 1 << 23
 HOT = 1024
-CHUNK_TOKENS = 1 << 20
-PART_TOKENS = 1 << 22
+CHUNK_TOKENS = 1 << 18
+PART_TOKENS = 1 << 21
 EXACT_CONTEXTS = 8  # contexts seen up to so often have a bucket each, the others one per doubling
 BUCKETS = 64
 RATIO_BINS, BINS_PER_DOUBLING, LOWEST = 512, 8, -24
@@ -89,16 +94,23 @@ class Counts:
         return np.where(self.hot[at] == h, at + 1, 0)
 
 
-def _loaded(path: str) -> tuple[np.ndarray, np.ndarray]:
+def _loaded(path: str, n_tokens: int) -> tuple[np.ndarray, np.ndarray]:
     """The vocabulary as sorted hashes and counts, once per Python worker.
 
     Workers outlive tasks; what they keep is a module, as functions are sent anew with each task.
     """
     kept = sys.modules.setdefault("kerbside_kept_vocabulary", types.ModuleType("kerbside_kept_vocabulary"))
     if getattr(kept, "path", None) != path:
+        kept.path = kept.sorted = None
         system, where = pafs.FileSystem.from_uri(path if ":" in path.split("/")[0] else f"file://{path}")
-        found = pq.read_table(where, filesystem=system, columns=["h", "c"])
-        h, c = (found.column(x).to_numpy() for x in ("h", "c"))
+        files = [f for f in system.get_file_info(pafs.FileSelector(where)) if f.path.endswith(".parquet")]
+        rows = [pq.ParquetFile(f.path, filesystem=system).metadata.num_rows for f in files]
+        narrow = np.uint32 if n_tokens < 2**32 else np.int64
+        h, c, at = np.empty(sum(rows), np.int64), np.empty(sum(rows), narrow), 0
+        for f, n in zip(files, rows):  # file by file, so that only one is held twice
+            part = pq.read_table(f.path, filesystem=system, columns=["h", "c"])
+            h[at : at + n], c[at : at + n] = part.column("h").to_numpy(), part.column("c").to_numpy()
+            at += n
         order = np.argsort(h)
         kept.path, kept.sorted = path, (h[order], c[order])
     return kept.sorted
@@ -112,15 +124,15 @@ def context_bucket(c: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Chunk:
-    """Tokens of some texts, flat: text number, context count, own count, hot places, key."""
+    """Different texts of some rows, their tokens end to end."""
 
-    texts: np.ndarray
-    weight: np.ndarray  # training copies of each text
-    text: np.ndarray
-    c_before: np.ndarray
-    c: np.ndarray
+    weight: np.ndarray  # how many rows with each text are learned from
+    rows: tuple[list, np.ndarray, np.ndarray]  # of all rows: identifier, train, number of the text
+    text: np.ndarray  # of each token from here on: number of its text
+    c_before: np.ndarray  # count of its context
+    c: np.ndarray  # its own count
     hot_pair: np.ndarray  # place in the dense table, -1 if the pair is not hot
-    key: np.ndarray
+    key: np.ndarray  # of the bigram
 
 
 def _flat(h: list[np.ndarray], counts: list[np.ndarray] | None, know: Counts) -> tuple[np.ndarray, ...]:
@@ -137,31 +149,27 @@ def _flat(h: list[np.ndarray], counts: list[np.ndarray] | None, know: Counts) ->
     if counts is not None:
         c = np.concatenate(counts)
     else:
-        known, value = _loaded(know.path)
+        known, value = _loaded(know.path, know.n_tokens)
         c = np.zeros(len(flat), np.int64)
         if len(known):
-            at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-            c = np.where(known[at] == flat, value[at], 0)
+            some, inverse = np.unique(flat, return_inverse=True)  # in order, so look-ups stay close
+            at = np.minimum(np.searchsorted(known, some), len(known) - 1)
+            c = np.where(known[at] == some, value[at], 0).astype(np.int64)[inverse]
     return text, flat, c, first
 
 
-def chunks(batches: Iterable[pa.RecordBatch], know: Counts, distinct: bool) -> Iterator[tuple[Chunk, list]]:
-    """Batches cut into chunks of about ``CHUNK_TOKENS``, with the rows' identifiers.
-
-    ``distinct``: equal texts of a chunk are one, weighing as many training copies as there are.
-    """
+def chunks(batches: Iterable[pa.RecordBatch], know: Counts) -> Iterator[Chunk]:
+    """Batches cut into chunks of about ``CHUNK_TOKENS``; equal texts of a chunk are one."""
     for batch in batches:
         lengths = batch.column("h").value_lengths().to_numpy(zero_copy_only=False)
         group = np.cumsum(lengths + 1) // CHUNK_TOKENS
         for g in np.unique(group):
             part = batch.slice(int(np.searchsorted(group, g)), int((group == g).sum()))
-            keys = part.column("text_key").to_numpy()
             train = part.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
-            rows = np.arange(len(keys))
-            weight = train
-            if distinct:
-                keys, rows, inverse = np.unique(keys, return_index=True, return_inverse=True)
-                weight = np.bincount(inverse, train, len(keys)).astype(np.int64)
+            keys, rows, inverse = np.unique(
+                part.column("text_key").to_numpy(), return_index=True, return_inverse=True
+            )
+            weight = np.bincount(inverse, train, len(keys)).astype(np.int64)
             column = part.column("h")
             values = column.flatten().to_numpy(zero_copy_only=False)
             bounds = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
@@ -182,7 +190,8 @@ def chunks(batches: Iterable[pa.RecordBatch], know: Counts, distinct: bool) -> I
                 key ^= key >> np.uint64(32)
                 key *= np.uint64(0x94D049BB133111EB)
             pair = np.where(is_hot, hot_before * SIDE + hot, -1)
-            yield Chunk(keys, weight, text, c_before, c, pair, key), [part, rows]
+            told = part.column("doc_id").to_pylist(), train.astype(bool), inverse
+            yield Chunk(weight, told, text, c_before, c, pair, key)
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -195,14 +204,17 @@ def _unplanes(data: bytes, dtype: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
 
 
-def pack(batches: Iterable[pa.RecordBatch], know: Counts, parts: int) -> Iterator[tuple[int, bytes]]:
-    """(part, packed arrays) of all bigrams: dense counts at the end, the others chunk by chunk.
+def pack(batches: Iterable[pa.RecordBatch], know: Counts, parts: int, task: int) -> Iterator[tuple[int, bytes]]:
+    """(part, packed arrays): bigrams by key, and from ``parts`` on the texts they come from.
 
-    Bigrams whose context or word has no training count cannot have one and are left out.
+    A text is known by its chunk, numbered by task and order, and its number there. Bigrams whose
+    context or word has no training count cannot have one and are left out. Counts of hot pairs come
+    at the end, once per task.
     """
     dense = np.zeros(SIDE * SIDE, np.int64)
-    for chunk, _ in chunks(batches, know, distinct=True):
+    for number, chunk in enumerate(chunks(batches, know), task << 20):
         hot = chunk.hot_pair >= 0
+        yield parts + number % parts, pickle.dumps(("texts", number, _own(chunk, know)), 5)
         np.add.at(dense, chunk.hot_pair[hot], chunk.weight[chunk.text[hot]])
         rest = np.nonzero(~hot & (chunk.c > 0) & (chunk.c_before > 0))[0]
         rest = rest[np.argsort(chunk.key[rest], kind="stable")]
@@ -217,41 +229,54 @@ def pack(batches: Iterable[pa.RecordBatch], know: Counts, parts: int) -> Iterato
         home = (key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
         cut = np.searchsorted(home, np.arange(parts + 1, dtype=np.uint64))
         offset = np.concatenate([[0], np.cumsum(uses, dtype=np.int64)])
-        for p in range(parts):
+        for p in np.nonzero(np.diff(cut))[0].tolist():
             a, b = cut[p], cut[p + 1]
-            if a == b and p:
-                continue
-            own = text[offset[a] : offset[b]]
-            texts, local = np.unique(own, return_inverse=True)
-            if p == 0:  # the first part also says which texts there are
-                texts, local = np.arange(len(chunk.texts)), own
             packed = (
                 _planes(np.diff(key[a:b], prepend=np.uint64(0))),
                 _planes(count[a:b].astype(np.uint32)),
                 _planes(ratio[a:b]),
                 bucket[a:b].tobytes(),
                 _planes(uses[a:b]),
-                _planes(local.astype(np.uint32)),
-                chunk.texts[texts],
+                _planes(text[offset[a] : offset[b]].astype(np.uint32)),
             )
-            yield p, pickle.dumps((p == 0, packed), 5)
+            yield p, pickle.dumps(("keys", number, packed), 5)
     at = np.nonzero(dense)[0]
     for p in range(parts if len(at) else 0):
         own = at[at % parts == p]
         if len(own):
-            yield p, pickle.dumps((None, (own, dense[own])), 5)
+            yield p, pickle.dumps(("dense", task, (own, dense[own])), 5)
+
+
+def _own(chunk: Chunk, know: Counts) -> tuple:
+    """What a chunk's texts need besides their other bigrams."""
+    n = len(chunk.weight)
+    bucket = context_bucket(chunk.c_before)
+    contexts = np.bincount(chunk.text * BUCKETS + bucket, minlength=n * BUCKETS)
+    place = np.nonzero(contexts)[0]
+    hot = np.nonzero(chunk.hot_pair >= 0)[0]
+    return (
+        chunk.rows,
+        np.bincount(chunk.text, minlength=n),
+        np.bincount(chunk.text, chunk.c > 0, n).astype(np.int64),
+        np.bincount(chunk.text, np.log10(know.share(chunk.c)), n),
+        place.astype(np.int32),
+        contexts[place].astype(np.int32),
+        np.bincount(chunk.text[hot], minlength=n).astype(np.int32),
+        _planes(chunk.hot_pair[hot].astype(np.uint32)),
+        bucket[hot].astype(np.uint8),
+    )
 
 
 def _unpack(blobs: Iterable[bytes]):
     """A part's keys with total counts, and its blobs; the dense sums apart."""
     held, dense = [], []
     for blob in blobs:
-        first, packed = pickle.loads(blob)
-        if first is None:
+        kind, number, packed = pickle.loads(blob)
+        if kind == "dense":
             dense.append(packed)
-            continue
-        key = np.cumsum(_unplanes(packed[0], np.uint64), dtype=np.uint64)
-        held.append((first, key, packed))
+        else:
+            key = np.cumsum(_unplanes(packed[0], np.uint64), dtype=np.uint64)
+            held.append((number, key, packed))
     keys = np.concatenate([k for _, k, _ in held]) if held else np.empty(0, np.uint64)
     counts = [_unplanes(p[1], np.uint32) for _, _, p in held]
     order = np.argsort(keys, kind="stable")
@@ -293,34 +318,46 @@ def mixture_weights(histogram: np.ndarray) -> np.ndarray:
     return np.where(total > 0, weight, 1e-6).ravel()
 
 
-def _statistics(blobs: Iterable[bytes]) -> tuple[np.ndarray, dict[int, int]]:
+def _statistics(blobs: Iterable[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(kind, places, counts): of the histogram (0) and of the dense table (1), what is not zero."""
     held, dense, each, first = _unpack(blobs)
-    histogram = np.zeros(BUCKETS * RATIO_BINS)
     if held:
         bucket = np.concatenate([np.frombuffer(p[3], np.uint8) for _, _, p in held])[first]
         ratio = np.concatenate([_unplanes(p[2], np.float32) for _, _, p in held])[first]
-        count = each[first]
-        some = count > 0
-        histogram = ratio_histogram(bucket[some], count[some], ratio[some].astype(float))
-    pairs: dict[int, int] = {}
-    for at, n in dense:
-        for a, b in zip(at.tolist(), n.tolist()):
-            pairs[a] = pairs.get(a, 0) + b
-    return histogram, pairs
-
-
-def _shares(blobs: Iterable[bytes], odds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(text keys, sum of log10(1 + odds * ratio), 1 if this is the part that counts texts)."""
+        some = each[first] > 0
+        histogram = ratio_histogram(bucket[some], each[first][some], ratio[some].astype(float))
+        place = np.nonzero(histogram)[0]
+        yield 0, place, histogram[place]
+    if dense:
+        place, inverse = np.unique(np.concatenate([at for at, _ in dense]), return_inverse=True)
+        yield 1, place, np.bincount(inverse, np.concatenate([n for _, n in dense]))
+
+
+def _shares(blobs: Iterable[bytes], odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, sum of log10(1 + odds * ratio)) of the texts in a part's blobs."""
     held, _, each, _ = _unpack(blobs)
-    at = 0
-    for first, key, p in held:
+    places, gains, at = [np.empty(0, np.int64)], [np.empty(0)], 0
+    for number, key, p in held:
         count = each[at : at + len(key)]
         at += len(key)
         bucket = np.frombuffer(p[3], np.uint8)
         gain = np.log10(1 + odds[bucket] * count * _unplanes(p[2], np.float32).astype(float))
-        text = _unplanes(p[5], np.uint32)
-        sums = np.bincount(text, np.repeat(gain, _unplanes(p[4], np.uint32)), len(p[6]))
-        yield p[6], sums, np.full(len(sums), int(first))
+        sums = np.bincount(_unplanes(p[5], np.uint32), np.repeat(gain, _unplanes(p[4], np.uint32)))
+        some = np.nonzero(sums)[0]
+        places.append((number << 20) + some)
+        gains.append(sums[some])
+    return np.concatenate(places), np.concatenate(gains)
+
+
+def _texts(blob: bytes, odds: np.ndarray, stay: np.ndarray, ratios: np.ndarray) -> tuple:
+    """(identifiers, train, place, tokens, known, base score, score without other bigrams) of rows."""
+    _, number, packed = pickle.loads(blob)
+    (ids, train, text), n_tokens, n_known, base, place, contexts, n_hot, pairs, bucket = packed
+    n = len(n_tokens)
+    gain = np.log10(1 + odds[bucket] * ratios[_unplanes(pairs, np.uint32)])
+    score = base + np.bincount(place // BUCKETS, contexts * stay[place % BUCKETS], n)
+    score += np.bincount(np.repeat(np.arange(n), n_hot), gain, n)
+    return ids, train, (number << 20) + text, n_tokens[text], n_known[text], base[text], score[text]
 
 
 def with_counts(tokens: DataFrame, vocab: DataFrame, end: int) -> DataFrame:
@@ -333,7 +370,7 @@ def with_counts(tokens: DataFrame, vocab: DataFrame, end: int) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("c", F.lit(0)).alias("c")))).alias("pc"))
         .select("row", F.col("pc.c").alias("c"))
     )
-    return tokens.join(counted, "row")
+    return settled(tokens.join(counted, "row"), "counted-tokens")
 
 
 def score(docs: DataFrame, train: Column, max_vocab: int = MAX_VOCAB, hot: int = HOT) -> DataFrame:
@@ -357,31 +394,33 @@ def score(docs: DataFrame, train: Column, max_vocab: int = MAX_VOCAB, hot: int =
     know = Counts(
         path if inside else None, total.n, total.v, total.texts, end, np.array([h for h, _ in frequent], np.int64)
     )
-    parts = max(8, total.n // PART_TOKENS)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total.n // PART_TOKENS)
     columns = ["doc_id", "text_key", "train", "h", *([] if inside else ["c"])]
     tokens = tokens.select(*columns)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p, blob in pack(batches, know, parts):
-            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([blob], pa.binary())], ["part", "blob"])
-
-    # Rows are large blobs. As an RDD, one shuffle serves both jobs: its files are found again.
-    blobs = (
-        tokens.mapInArrow(packed, "part int, blob binary")
-        .rdd.map(lambda r: (r[0], bytes(r[1])))
-        .partitionBy(parts, int)
-        .values()
-    )
-
-    def merged(a: tuple, b: tuple) -> tuple:
-        pairs = a[1]
-        for k, n in b[1].items():
-            pairs[k] = pairs.get(k, 0) + n
-        return a[0] + b[0], pairs
+        task = TaskContext.get().partitionId()
+        for p, blob in pack(batches, know, parts, task):
+            yield _batch(part=pa.array([p], pa.int32()), blob=pa.array([blob], pa.binary()))
 
-    # Both are of fixed size: the histogram, and at most SIDE * SIDE hot pairs.
-    histogram, pairs = blobs.mapPartitions(lambda it: [_statistics(it)]).treeReduce(merged, depth=2)
-    place, seen = (np.array(x, np.int64) for x in (list(pairs.keys()), list(pairs.values())))
+    blobs = shuffled_once(
+        tokens.mapInArrow(packed, "part int, blob binary").repartitionById(2 * parts, "part")
+    )
+    of_keys = blobs.filter(F.col("part") < parts).select("blob")
+    of_texts = blobs.filter(F.col("part") >= parts).select("blob")
+
+    def statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, place, n in _statistics(_values(batches)):
+            kinds = pa.array(np.full(len(place), kind, np.int32))
+            yield _batch(kind=kinds, place=pa.array(place), n=pa.array(n.astype(np.int64)))
+
+    # Both tables are of fixed size: the histogram, and at most SIDE * SIDE hot pairs.
+    sums = of_keys.mapInArrow(statistics, "kind int, place long, n long").groupBy("kind", "place")
+    found = sums.agg(F.sum("n").alias("n")).toArrow()
+    kind, place, n = (found.column(c).to_numpy() for c in ("kind", "place", "n"))
+    histogram = np.zeros(BUCKETS * RATIO_BINS)
+    histogram[place[kind == 0]] = n[kind == 0]
+    place, seen = place[kind == 1], n[kind == 1]
     ratios = np.zeros(SIDE * SIDE, np.float32)
     if len(place):
         c_hot = np.array([total.texts, *(c for _, c in frequent)])
@@ -395,37 +434,46 @@ def score(docs: DataFrame, train: Column, max_vocab: int = MAX_VOCAB, hot: int =
     stay[0] = odds[0] = 0  # a context never seen leaves all to the unigrams
     dense_ratios = spark.sparkContext.broadcast(ratios)  # 4 MB
 
-    def shares(it: Iterator[bytes]) -> Iterator[tuple]:
-        for keys, sums, ones in _shares(it, odds):
-            yield from zip(keys.tolist(), sums.tolist(), ones.tolist())
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, gains = _shares(_values(batches), odds)
+        home = (places >> 20) % parts
+        order = np.argsort(home, kind="stable")
+        cut = np.searchsorted(home[order], np.arange(parts + 1))
+        for p in np.nonzero(np.diff(cut))[0].tolist():
+            own = order[cut[p] : cut[p + 1]]
+            packed = _planes(np.diff(places[own], prepend=np.int64(0))), gains[own].astype(np.float32)
+            blob = pa.array([pickle.dumps(packed, 5)], pa.binary())
+            yield _batch(part=pa.array([p], pa.int32()), blob=blob)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [pickle.loads(b) for b in _values(batches)]
+        if found:
+            places = np.concatenate([np.cumsum(_unplanes(x, np.int64)) for x, _ in found])
+            some, inverse = np.unique(places, return_inverse=True)
+            gain = np.bincount(inverse, np.concatenate([g for _, g in found]))
+            yield _batch(place=pa.array(some), gain=pa.array(gain))
 
     gains = (
-        spark.createDataFrame(blobs.mapPartitions(shares), "text_key long, gain double, texts int", verifySchema=False)
-        .groupBy("text_key")
-        .agg((F.sum("gain") / F.sum("texts")).alias("gain"))
+        of_keys.mapInArrow(shares, "part int, blob binary")
+        .repartitionById(parts, "part")
+        .select("blob")
+        .mapInArrow(summed, "place long, gain double")
     )
-    doc_id = docs.schema["doc_id"].dataType.simpleString()
-    out = ["doc_id", "text_key", "train", "n_tokens", "n_known", "base_score", "own"]
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, (part, rows) in chunks(batches, know, distinct=False):
-            n = len(rows)
-            unigram = np.log10(know.share(chunk.c))
-            base = np.bincount(chunk.text, unigram, n)
-            bucket = context_bucket(chunk.c_before)
-            hot_pair = np.maximum(chunk.hot_pair, 0)
-            gain = np.where(chunk.hot_pair >= 0, np.log10(1 + odds[bucket] * dense_ratios.value[hot_pair]), 0)
-            more = np.bincount(chunk.text, gain + stay[bucket], n)
-            known = np.bincount(chunk.text, chunk.c > 0, n).astype(np.int64)
-            arrays = [np.bincount(chunk.text, minlength=n).astype(np.int64), known, base, base + more]
-            kept = [part.column(x) for x in ("doc_id", "text_key", "train")]
-            yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, arrays)], out)
-
-    per_row = tokens.mapInArrow(
-        own,
-        f"doc_id {doc_id}, text_key long, train boolean, n_tokens long, n_known long, base_score double, own double",
+    doc_id = docs.schema["doc_id"].dataType
+    arrow_id = to_arrow_type(doc_id)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blob in _values(batches):
+            ids, *columns = _texts(blob, odds, stay, dense_ratios.value)
+            names = ["train", "place", "n_tokens", "n_known", "base_score", "own"]
+            yield _batch(doc_id=pa.array(ids, arrow_id), **dict(zip(names, map(pa.array, columns))))
+
+    per_row = of_texts.mapInArrow(
+        rows,
+        f"doc_id {doc_id.simpleString()}, train boolean, place long, n_tokens long, n_known long,"
+        " base_score double, own double",
     )
-    return per_row.join(gains, "text_key", "left").select(
+    return per_row.join(gains, "place", "left").select(
         "doc_id",
         "train",
         "n_tokens",
@@ -436,6 +484,17 @@ def score(docs: DataFrame, train: Column, max_vocab: int = MAX_VOCAB, hot: int =
     )
 
 
+def _batch(**columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*columns.values()], [*columns])
+
+
+def _values(batches: Iterable[pa.RecordBatch]) -> Iterator[bytes]:
+    """The single column of the batches, value by value."""
+    for batch in batches:
+        for value in batch.column(0):
+            yield value.as_py()
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by the model of those outside the held-out fold."""
     held_out = id_fold("doc_id", FOLDS) == HELD_OUT
