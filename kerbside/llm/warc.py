@@ -243,7 +243,10 @@ def read_bundles(manifest: DataFrame, payload: bool = False) -> DataFrame:
                             [pa.array([r[x] for r in rows], kinds.get(x, pa.string())) for x in names], names
                         )
 
-    return manifest.select("bundle").distinct().mapInArrow(run, schema)
+    # Few rows stand for much work, so their partitions must not be coalesced by size.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bundles = manifest.select("bundle").distinct().repartition(tasks, "bundle")
+    return bundles.mapInArrow(run, schema)
 
 
 def read_records(entries: DataFrame) -> DataFrame:
