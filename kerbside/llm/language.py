@@ -131,11 +131,18 @@ def sample_rows(docs: DataFrame, learn: Column) -> DataFrame:
     """(lang, x): the sample to learn from, its share per language by the smallest hashes."""
     spread = md5_number(id_text("doc_id"))
     usable = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # A row per language; each takes as many as the sample has for it.
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    per = max(LEAST, SAMPLE // max(1, counts.count()))
-    bounds = counts.selectExpr("lang", f"3D * {per} / n * 4294967296D AS below")
-    near = usable.select("lang", "text", spread.alias("place")).join(bounds, "lang").filter("place < below")
+    # A row per language, as the model itself has; each takes as many as the sample has for it.
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    per = max(LEAST, SAMPLE // max(1, len(counts)))
+    bounds = docs.sparkSession.createDataFrame(
+        [(r.lang, 3.0 * per / r.n * 2**32) for r in counts], "lang string, below double"
+    )
+    # Only what is near the bound, some three times the sample, is shuffled with its text.
+    near = (
+        usable.select("lang", "text", spread.alias("place"))
+        .join(F.broadcast(bounds), "lang")
+        .filter("place < below")
+    )
     best = Window.partitionBy("lang").orderBy("place", F.xxhash64("text"))
     return near.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= per).select("lang", "text")
 
