@@ -6,6 +6,11 @@ is close to the weights. The r-th slot of a source takes block r of that source'
 of documents; after the last block the stream starts again, ``MAX_EPOCHS`` times at most. Documents
 meet the schedule in a join of their pieces with the blocks that slots took.
 
+Blocks grow with the corpus, so a source whose target is fewer than ``LEAST_SLOTS`` of them is cut into
+blocks of its own, as many for its target. Its slots lie evenly along the schedule and the last one
+takes what its target still lacks, so it ends on its target at any size of the corpus. The others end
+within a few of their blocks of it.
+
 Nulls and edges: a null text has no words and is never taken, a null source is a source of its own
 and the last, a null identifier is shuffled as the empty one, repeated rows count each. An empty
 table gives no rows. Other columns are not read.
@@ -21,6 +26,7 @@ from kerbside.llm.common import id_text, md5_number, settled, table, words
 MAX_EPOCHS = 3
 SLOTS = 2**16  # the schedule's length, more or less, at any size of the corpus
 SLOTS_PER_SOURCE = 64
+LEAST_SLOTS = 1024  # slots of a target under which a source has blocks of its own
 CHUNKS_PER_ROOT = 4  # chunks of the shuffle per square root of the number of documents
 GOLDEN = 0.6180339887498949
 CELLS = 4096
@@ -116,6 +122,46 @@ def schedule(spark: SparkSession, targets: DataFrame, n_slots: int, block: int)
     )
 
 
+def own_blocks(targets: DataFrame, block: int) -> DataFrame:
+    """The targets with ``own_block``, the words of a source's blocks, and whether it is ``fine``."""
+    fine = F.col("target") < LEAST_SLOTS * block
+    own = F.when(fine, F.expr(f"greatest(1L, floor(target / {LEAST_SLOTS}))")).otherwise(F.lit(block))
+    return targets.withColumns({"fine": fine, "own_block": own.cast("long")})
+
+
+def own_schedule(targets: DataFrame, n_slots: int) -> DataFrame:
+    """(slot, source_no, rank, block_no, epoch, part) of the sources that are ``fine``.
+
+    ``part`` is null where a slot takes its block whole, else the words that it takes of the block's
+    start: the last slot's, which ends on the target. A source has some 2,000 slots at most; the golden
+    ratio sets the sources apart.
+    """
+    return (
+        targets.filter("fine AND source_size > 0")
+        .repartition("source_no")
+        .selectExpr(
+            "source_no",
+            "own_block",
+            "(source_size + own_block - 1) div own_block AS n_blocks",
+            "CAST(round(target) AS BIGINT) div source_size AS whole",
+            "CAST(round(target) AS BIGINT) % source_size AS rest",
+        )
+        .withColumn("n", F.expr("whole * n_blocks + (rest + own_block - 1) div own_block"))
+        .filter("n > 0")
+        .withColumn("rank", F.expr("explode(sequence(0L, n - 1))"))
+        .withColumns({"block_no": F.expr("rank % n_blocks"), "epoch": F.expr("rank div n_blocks")})
+        .withColumn("left", F.expr("rest - block_no * own_block"))
+        .selectExpr(
+            f"floor((rank + source_no * {GOLDEN!r}D % 1) / n * {n_slots}) AS slot",
+            "source_no",
+            "rank",
+            "block_no",
+            "epoch",
+            "CASE WHEN epoch = whole AND left < own_block THEN left END AS part",
+        )
+    )
+
+
 def streams(sized: DataFrame, targets: DataFrame, n_docs: int) -> DataFrame:
     """Documents with words, with the word of their source's stream at which they ``start``.
 
@@ -129,8 +175,8 @@ def streams(sized: DataFrame, targets: DataFrame, n_docs: int) -> DataFrame:
     numbered = (
         sized.filter("size > 0")
         .alias("d")
-        .join(targets.select("source_no", "source").alias("t"), F.expr("d.source <=> t.source"))
-        .select("d.*", "source_no", F.expr(f"place div {width}").alias("chunk"))
+        .join(targets.select("source_no", "source", "own_block").alias("t"), F.expr("d.source <=> t.source"))
+        .select("d.*", "source_no", "own_block", F.expr(f"place div {width}").alias("chunk"))
     )
     sums = numbered.groupBy("source_no", "chunk").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(
@@ -152,15 +198,15 @@ def streams(sized: DataFrame, targets: DataFrame, n_docs: int) -> DataFrame:
     )
 
 
-def pieces(streamed: DataFrame, block: int) -> DataFrame:
-    """Documents cut at block borders: adds (block_no, words)."""
-    return streamed.withColumn(
-        "block_no", F.expr(f"explode(sequence(start div {block}, (start + size - 1) div {block}))")
-    ).withColumn(
-        "words",
-        F.expr(
-            f"least(start + size, (block_no + 1) * {block}) - greatest(start, block_no * {block})"
-        ),
+def pieces(streamed: DataFrame) -> DataFrame:
+    """Documents cut at their source's block borders: adds (block_no, since, words)."""
+    return (
+        streamed.withColumn(
+            "block_no",
+            F.expr("explode(sequence(start div own_block, (start + size - 1) div own_block))"),
+        )
+        .withColumn("since", F.expr("greatest(start, block_no * own_block)"))
+        .withColumn("words", F.expr("least(start + size, (block_no + 1) * own_block) - since"))
     )
 
 
@@ -178,16 +224,25 @@ def mix(docs: DataFrame, slots: int = SLOTS, seed: int = 0) -> DataFrame:
     n_slots = max(slots, SLOTS_PER_SOURCE * targets.count())
     block = max(1, total.words // n_slots)
     n_slots = -(-total.words // block)
+    targets = own_blocks(targets, block)
+    shared = schedule(spark, targets.filter("NOT fine"), n_slots, block)
     taken_blocks = (
-        schedule(spark, targets, n_slots, block)
+        shared.withColumn("part", F.lit(None).cast("long"))
+        .unionByName(own_schedule(targets, n_slots))
         .groupBy("source_no", "block_no")
-        .agg(F.count(F.lit(1)).alias("uses"))
+        .agg(F.count_if(F.col("part").isNull()).alias("uses"), F.max("part").alias("part"))
     )
+    ended = F.expr("greatest(0L, least(since + words, block_no * own_block + part) - since)")
     used = (
-        pieces(streams(sized, targets, total.docs), block)
+        pieces(streams(sized, targets, total.docs))
         .join(taken_blocks, ["source_no", "block_no"], "left")
         .groupBy("source_no", "start", "doc_id", "source", "text_hash", "size")
-        .agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
+        .agg(
+            F.sum(
+                F.col("words") * F.coalesce("uses", F.lit(0))
+                + F.when(F.col("part").isNotNull(), ended).otherwise(0)
+            ).alias("taken")
+        )
         .drop("source_no", "start")
     )
     none = sized.filter("size = 0").drop("place").withColumn("taken", F.lit(0).cast("long"))

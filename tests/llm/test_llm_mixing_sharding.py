@@ -58,6 +58,43 @@ def test_mix_meets_targets(spark, rows):
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
 
 
+def test_small_sources_end_on_target_in_a_large_mix(spark):
+    """Blocks of the shared schedule have 76 words here, more than most of the small sources have."""
+    big = spark.range(500).selectExpr(
+        "id AS doc_id", "repeat('w ', 10000) AS text", "concat('big', id % 2) AS source", "'x' AS shard", "'y' AS taken"
+    )
+    rows = [(10_000 + 100 * k + i, "w " * n, s) for k, (s, n) in enumerate([("a", 5), ("b", 40), ("c", 900)]) for i in range(3)]
+    docs = big.unionByName(make(spark, [*rows, (None, "w " * 7, None)]))
+    size, target, taken = Counter(), {}, Counter()
+    for r in mixing.mix(docs).collect():
+        assert r.taken <= 3 * r.size
+        size[r.source], target[r.source] = r.source_size, r.target
+        taken[r.source] += r.taken
+    for s in ("a", "b", "c", None):
+        assert taken[s] == target[s] == 3 * size[s]
+    assert all(taken[s] == pytest.approx(target[s], rel=0.001) for s in ("big0", "big1"))
+    whole = {r.source: r.n for r in mixing.mixed_documents(docs).groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert [whole[s] for s in ("a", "b", "c", None)] == [9, 9, 9, 3]
+
+
+def test_own_blocks_end_inside_a_block(spark):
+    """A small source that is not at its cap: its last slot takes part of a block."""
+    rows = [(i, "w " * 1000, "a") for i in range(40)] + [(100 + i, "w " * 1501, "b") for i in range(8)]
+    got = mixing.mix(make(spark, rows), slots=128).collect()
+    for s in "ab":
+        mine = [r for r in got if r.source == s]
+        assert sum(r.taken for r in mine) == round(mine[0].target) and mine[0].target < 3 * mine[0].source_size
+    targets = mixing.own_blocks(mixing.source_targets(mixing.sized_documents(make(spark, rows))), 406)
+    slots = mixing.own_schedule(targets, 128).collect()
+    for no in {r.source_no for r in slots}:
+        mine = sorted((r for r in slots if r.source_no == no), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(len(mine))) and len(mine) >= mixing.LEAST_SLOTS
+        assert all(0 <= r.slot < 128 + 1 for r in mine)
+        seen = Counter(r.slot // 8 for r in mine)
+        assert max(seen.values()) - min(seen.values()) <= 0.05 * len(mine)
+        assert all(r.part is None for r in mine[:-1])
+
+
 def test_schedule_is_even_everywhere(spark, rows):
     """Every stretch of the schedule is close to the weights."""
     targets = mixing.source_targets(mixing.sized_documents(make(spark, rows)))
