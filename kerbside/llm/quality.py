@@ -5,9 +5,10 @@ feature in turn adds a small step of a shallow tree fitted to the residuals. The
 that explain most of what is left get tables over two features in the same way. A text's score is
 the sum of its bins' entries, so scoring is a few vectorised look-ups.
 
-The model is fitted on at most ``SAMPLE`` labelled rows, those with the smallest hash of their
-identifier; that and the tables' sizes bound what the driver holds and what is sent to the tasks.
-Features come from whole texts.
+The model is fitted on the documents of at most ``SAMPLE`` distinct labels, those with the smallest
+hash of their identifier; that and the tables' sizes bound what the driver holds and what is sent to
+the tasks. Rows of one identifier, label and text count once. Texts that share an identifier fill up
+to twice as many rows, each label's first by hash before any second. Features come from whole texts.
 
 Nulls and edges: null and empty texts have all features zero and a score like any other; labels
 that are null are not learned from; without labels every score is one half, with labels of one kind
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.llm.common import id_fold, table
+from kerbside.llm.common import id_fold, settled, table
 
 SAMPLE = 20_000
 FOLDS = 5
@@ -207,14 +208,20 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Col
     usable = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     if learn is not None:
         usable = usable.filter(learn)
-    sample = (
-        usable.select("doc_id", F.col(label).cast("double").alias("y"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "y")
-        .limit(SAMPLE)
+    labelled = usable.select("doc_id", F.col(label).cast("double").alias("y")).distinct()
+    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(SAMPLE)
+    # SAMPLE rows at most, which bounds what is broadcast.
+    chosen = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(sample), "doc_id")
+    same = text_features(chosen, "doc_id", "y", "h").groupBy("doc_id", "y", "h")
+    matched = settled(same.agg(F.first("x").alias("x")), "quality-matched")
+    first = matched.groupBy("doc_id", "y").agg(F.min("h").alias("first"))
+    rows = (
+        matched.join(F.broadcast(first), ["doc_id", "y"])
+        .orderBy(F.col("h") != F.col("first"), F.xxhash64("doc_id", "h"), "doc_id", "y", "h")
+        .limit(2 * SAMPLE)
+        .select("doc_id", "y", "x")
+        .toArrow()
     )
-    # SAMPLE rows at most, which bounds what is broadcast, and what comes back if documents repeat.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = text_features(chosen, "doc_id", "y").limit(2 * SAMPLE).toArrow()
     x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
     y = rows.column("y").to_numpy()
     order = np.lexsort((*x.T, y, rows.column("doc_id").to_numpy()))  # the order of arrival varies

@@ -51,6 +51,19 @@ def test_additive_model_learns_an_interaction():
     assert (quality.AdditiveModel().score(x) == 0.5).all()
 
 
+def test_repeated_rows_keep_no_label_out(spark, monkeypatch):
+    """One identifier has most label rows and documents; every other label is still learned from."""
+    docs = make(spark, [(0, f"### {i % 90}", "en") for i in range(300)] + [(i, "good words", "en") for i in range(1, 10)])
+    labels = [(0, 0)] * 50 + [(i, 1) for i in range(1, 10)]
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    monkeypatch.setattr(quality, "SAMPLE", 10)
+    monkeypatch.setattr(quality, "fit", lambda x, y: (x, y))
+    x, y = quality.train(docs, lab)
+    assert sorted(y) == [0.0] * 11 + [1.0] * 9
+    again, _ = quality.train(docs.orderBy(F.desc("text")).repartition(7), lab)
+    assert (x == again).all()
+
+
 def test_quality_edges(spark):
     rows = [(i, "good clean words here " * 5 if i % 2 else "### $$$ %%%" * 9, "en") for i in range(60)]
     rows += [(100, None, None), (101, "", "en"), (None, "some text", None), (1, "again", "en"), (102, "w " * 300_000, "en")]
