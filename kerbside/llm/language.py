@@ -6,7 +6,7 @@ logistic loss by how well the bit was learned and takes the language whose codew
 where the runner-up costs hardly more the document is flagged as ambiguous.
 
 The classifiers are fitted on a bounded sample: at most ``SAMPLE`` documents, shared evenly between
-languages (``LEAST`` each at least), those with the smallest hash of their identifier. Texts are read
+languages (``LEAST`` each at least), those with the smallest hash of identifier and text. Texts are read
 whole, when learning and when predicting.
 
 Nulls and edges: a null text or one without a letter is ``und`` with score zero; without any document
@@ -129,20 +129,24 @@ def fit(x: np.ndarray, language: np.ndarray) -> CodeModel | None:
 
 def sample_rows(docs: DataFrame, learn: Column) -> DataFrame:
     """(lang, x): the sample to learn from, its share per language by the smallest hashes."""
-    spread = md5_number(id_text("doc_id"))
+    spread = md5_number(F.concat_ws(":", id_text("doc_id"), F.xxhash64("text").cast("string")))
     usable = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     # A row per language, as the model itself has; each takes as many as the sample has for it.
     counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     per = max(LEAST, SAMPLE // max(1, len(counts)))
-    bounds = docs.sparkSession.createDataFrame(
-        [(r.lang, 3.0 * per / r.n * 2**32) for r in counts], "lang string, below double"
-    )
-    # Only what is near the bound, some three times the sample, is shuffled with its text.
-    near = (
-        usable.select("lang", "text", spread.alias("place"))
-        .join(F.broadcast(bounds), "lang")
-        .filter("place < below")
-    )
+    placed = usable.select("lang", "text", spread.alias("place"))
+
+    def near_bounds(below: dict[str, float]) -> DataFrame:
+        bounds = docs.sparkSession.createDataFrame(list(below.items()), "lang string, below double")
+        return placed.join(F.broadcast(bounds), "lang").filter("place < below")
+
+    below = {r.lang: 3.0 * per / r.n * 2**32 for r in counts}
+    found = {r.lang: r["count"] for r in near_bounds(below).groupBy("lang").count().collect()}
+    # Rows that repeat share a place; a language that has too few below its bound gives all its rows.
+    below |= {k: 2.0**32 for k in below if found.get(k, 0) < per}
+    # Only what is near the bound, some three times the sample, is shuffled with its text; of a language
+    # without bound, each task's first ``per`` rows.
+    near = near_bounds(below)
     best = Window.partitionBy("lang").orderBy("place", F.xxhash64("text"))
     return near.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= per).select("lang", "text")
 

@@ -104,6 +104,16 @@ def test_codewords_are_far_apart():
         assert apart.min() >= 3 and (np.abs(code.sum(0)) < n).all()
 
 
+def test_sample_has_languages_without_identifiers(spark, monkeypatch):
+    """Null and repeated identifiers, with other texts or the same: each language has its share."""
+    monkeypatch.setattr(language, "SAMPLE", 80)
+    rows = [(i, f"some words {i}", "aa") for i in range(300)] + [(None, f"other words {i}", "bb") for i in range(300)]
+    rows += [(None, "the same words", "cc")] * 300 + [(7, f"more words {i}", "dd") for i in range(300)]
+    rows += [(11, "one text", "ee")] * 300 + [(12, "few", "ff")] * 3
+    sample = language.sample_rows(make(spark, rows), F.lit(True)).collect()
+    assert Counter(r.lang for r in sample) == dict.fromkeys(["aa", "bb", "cc", "dd", "ee"], 20) | {"ff": 3}
+
+
 def test_language_edges(spark):
     rng = random.Random(0)
     sounds = {"aa": "abc", "bb": "xyz", "éé": "éèß"}
