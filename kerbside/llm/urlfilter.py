@@ -31,11 +31,11 @@ def host_of(url: Column) -> Column:
 
 
 def keys_of(url: Column) -> Column:
-    """What a list may name: the host's domains of two labels or more, and host/path prefixes."""
+    """What a list may name: the host, its domains of two labels or more, and host/path prefixes."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     domains = F.transform(
-        F.when(F.size(labels) >= 2, F.sequence(F.lit(1), F.size(labels) - 1)).otherwise(F.array()),
+        F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     steps = F.array_remove(

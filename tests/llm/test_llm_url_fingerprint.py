@@ -64,6 +64,15 @@ def test_captures_meet_the_lists_of_their_time(spark):
     assert urlfilter.judge(c.filter("fetched_at IS NULL"), e).count() == 1
 
 
+def test_hosts_of_one_label_can_be_listed(spark):
+    urls = ["http://localhost/", "https://u@LocalHost:80/p/q", "http://intranet", "http://a.localhost/", "http://other/"]
+    c = spark.createDataFrame([(i, u, DAY0, "k", 1) for i, u in enumerate(urls)], CAPTURES)
+    e = spark.createDataFrame([("one", k, "add", DAY0, 1) for k in ("localhost", "intranet")], ENTRIES)
+    got = {r.capture_id: (r.matches, r.blocked) for r in urlfilter.judge(c, e).collect()}
+    local, none = (["one:localhost"], True), ([], False)
+    assert got == {0: local, 1: local, 2: (["one:intranet"], True), 3: none, 4: none}
+
+
 DOCS = "doc_id long, text string, marks string, bucket string, guest string"
 
 
