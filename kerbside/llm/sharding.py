@@ -138,8 +138,9 @@ def assign(records: DataFrame, slot_map: DataFrame, loads: DataFrame, *tie: str)
 def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOTS) -> DataFrame:
     """Documents in shards of near-equal bytes.
 
-    Output: doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot. The text is read
-    once and never shuffled. The map is stored in the shared folder under its version.
+    Output: doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, rebalanced_shard.
+    The text is read once and never shuffled. Version 0 of the map is stored in the shared folder, and
+    so is version 1, its edit for one shard more, which gives ``rebalanced_shard``.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     records = settled(
@@ -153,7 +154,11 @@ def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_
     )
     loads = settled(slot_loads(records), "slot-loads")
     slot_map = settled(first_map(loads, n_shards), "slot-map-v0")
-    return assign(records, slot_map, loads, "doc_id", "text_crc32", "size").select(
+    grown_map = settled(rebalance(slot_map, loads, n_shards + 1), "slot-map-v1")
+    to = grown_map.select("virtual_slot", F.col("shard").alias("rebalanced_shard"))
+    placed = assign(records, slot_map, loads, "doc_id", "text_crc32", "size")
+    # At most one row per slot.
+    return placed.join(F.broadcast(to), "virtual_slot").select(
         "doc_id",
         "size",
         "text_crc32",
@@ -162,9 +167,10 @@ def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot",
+        "rebalanced_shard",
     )
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in shards 0 to 39, bytes near equal."""
+    """All documents in shards 0 to 39, bytes near equal, and where they go with a 41st shard."""
     return shard_documents(table(spark, sf_dir, "documents"))

@@ -164,5 +164,18 @@ def test_a_grown_map_moves_little(spark, rows):
     assert set(load) == set(range(6)) and max(load.values()) <= 1.15 * total / 6
 
 
+def test_shards_come_with_the_grown_map(spark, rows):
+    """Every document has its shard of version 1, which moves little and fills the new shard."""
+    rows = [r for r in rows if r[0] != 700]
+    got = sharding.shard_documents(make(spark, rows), n_shards=7).collect()
+    assert len(got) == len(rows) and len({(r.virtual_slot, r.rebalanced_shard) for r in got}) == len({r.virtual_slot for r in got})
+    load = Counter()
+    for r in got:
+        load[r.rebalanced_shard] += r["size"]
+    total = sum(load.values())
+    assert set(load) == set(range(8)) and max(load.values()) <= 1.15 * total / 8
+    assert 0 < sum(r["size"] for r in got if r.shard != r.rebalanced_shard) <= 0.35 * total
+
+
 def test_shards_of_nothing(spark):
     assert sharding.shard_documents(make(spark, [])).count() == 0
