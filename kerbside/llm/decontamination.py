@@ -12,8 +12,9 @@ them have to be in the document, so its rarest one is a necessary prefix of leng
    window's words. Only this exact check makes a hit.
 
 Nulls and edges: a null text, of a document or an item, has no words and no hits; a null item
-identifier is the text ``null``; repeated items count once; documents with one identifier or a null
-one share candidates and are told apart by the exact check. Extra columns are not read.
+identifier is the text ``null``; repeated items count once; candidates belong to an identifier and
+the text's hash, so copies share them and other documents of one identifier or a null one do not.
+Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -100,11 +101,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: i
     # Up to ``shingle`` numbers: the widths that the benchmark's windows need.
     widths = [r.width for r in parts.select("width").distinct().collect()]
     known = _small(parts.select("shingle").distinct(), n_parts)
-    tokens = docs.select("doc_id", document_words(F.col("text")).alias("tokens"))
+    text_hash = F.xxhash64("text").alias("_dc_text")
+    tokens = docs.select("doc_id", text_hash, document_words(F.col("text")).alias("tokens"))
     found = None
     for width in sorted(widths):
         one = tokens.select(
-            "doc_id", F.expr(f"posexplode({shingle_hashes('tokens', width)}) AS (pos, shingle)")
+            "doc_id",
+            "_dc_text",
+            F.expr(f"posexplode({shingle_hashes('tokens', width)}) AS (pos, shingle)"),
         )
         found = one if found is None else found.unionByName(one)
     if found is None:
@@ -129,16 +133,19 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: i
         .withColumn("start", F.expr("pos - at"))
         .filter("start >= 0")
         .join(_small(windows.select("window_id", "tokens"), n_parts), "window_id")
-        .select("doc_id", F.struct("start", "len", "window_id", "tokens").alias("c"))
+        .select("doc_id", "_dc_text", F.struct("start", "len", "window_id", "tokens").alias("c"))
         .distinct()
     )
     by_doc = settled(
-        candidates.groupBy(F.col("doc_id").alias("_dc_key")).agg(F.collect_list("c").alias("_dc_found")),
+        candidates.groupBy(F.col("doc_id").alias("_dc_key"), F.col("_dc_text").alias("_dc_hash")).agg(
+            F.collect_list("c").alias("_dc_found")
+        ),
         "window-candidates",
     )
     # Candidates grow with the corpus, so they are never broadcast by force. Words are cut after the
     # join, so that it moves texts only.
-    met = docs.join(by_doc, F.expr("doc_id <=> _dc_key"), "left")
+    on = F.expr("doc_id <=> _dc_key AND _dc_text = _dc_hash")
+    met = docs.withColumn("_dc_text", F.xxhash64("text")).join(by_doc, on, "left")
     checked = met.withColumn("_dc_tokens", document_words(F.col("text"))).withColumn(
         "_dc_hits",
         F.expr(

@@ -52,6 +52,21 @@ def tables():
     return [*docs, docs[7], (None, docs[8][1]), (None, docs[9][1]), (8, docs[9][1])], items
 
 
+def test_documents_of_one_key_share_no_candidates(spark, monkeypatch):
+    """Under a null or repeated identifier each text has its own candidates; copies share theirs."""
+    kept = {}
+    settled = dc.settled
+    monkeypatch.setattr(dc, "settled", lambda df, label: kept.setdefault(label, settled(df, label)))
+    text = "one two three four five six seven eight nine ten"
+    docs = [(k, f"w{i} {text}") for k in (None, 5) for i in range(40)] + [(5, f"w0 {text}")] * 3
+    df = spark.createDataFrame([(*d, "x", "y", 1) for d in docs], DOCS)
+    items = spark.createDataFrame([(1, text, 1)], ITEMS)
+    got = dc.hits(df, items).collect()
+    assert len(got) == len(docs) and {r[dc.N_HIT] for r in got} == {10}
+    lists = kept["window-candidates"].selectExpr("size(_dc_found) AS n").collect()
+    assert len(lists) == 80 and {r.n for r in lists} == {1}
+
+
 @pytest.mark.parametrize("limit", [50_000, 0])
 def test_equals_plain_search(spark, tables, monkeypatch, limit):
     """With small sides broadcast, and with every join shuffled."""
