@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm import (
+    clustering,
     decontamination,
     fingerprint,
     language,
     lm,
+    minhash,
     mixing,
     oracle,
+    phrases,
     quality,
     sharding,
     simhash,
@@ -33,6 +36,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filters": urlfilter.op8_url_filters,
         "op9_fingerprints": fingerprint.op9_fingerprints,
         "op10_language": language.op10_language,
+        "op11_clustering": clustering.op11_clustering,
+        "op12_phrases": phrases.op12_phrases,
+        "op13_minhash": minhash.op13_minhash,
     }
 
 

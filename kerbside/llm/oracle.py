@@ -152,3 +152,102 @@ FROM parts LEFT JOIN matched USING (page_id)
 """
 
 ORACLES |= {"op8_url_filters": OP8}
+
+
+def _clustering(rounds: int = 10) -> str:
+    """Rounds of assigning and averaging, written out one after the other."""
+    steps = [
+        """
+v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h) - 1)::INTEGER AS c, x
+  FROM (SELECT x, sha256('3:' || vec_id::VARCHAR) AS h FROM v ORDER BY h LIMIT 8)
+)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, d * 8 + c) AS c, (min(d * 8 + c) // 8)::BIGINT AS d FROM (
+    SELECT r, c, list_sum(list_transform(list_zip(v.x, k.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM v, c{i} k) GROUP BY r
+)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""m{i} AS (
+  SELECT c, p, sum(y)::BIGINT AS s, count(*)::BIGINT AS n
+  FROM (SELECT c, unnest(x) AS y, unnest(range(64)) AS p FROM a{i} JOIN v USING (r)) GROUP BY c, p
+), c{i + 1} AS MATERIALIZED (
+  SELECT k.c, coalesce(g.x, k.x) AS x FROM c{i} k LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY p) AS x FROM m{i} GROUP BY c) g USING (c)
+)"""
+            )
+    last = f"""
+SELECT vec_id, a.c AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(k.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (r) JOIN c{rounds} k ON k.c = a.c
+"""
+    return "WITH " + ", ".join(steps) + last
+
+
+OP12 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM worded, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k
+), f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+words AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+frequent AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE f >= 100),
+held AS (
+  SELECT DISTINCT lang, f, unnest([array_to_string(w[1:k - 1], ' '), array_to_string(w[2:k], ' ')]) AS phrase
+  FROM frequent WHERE k > 2
+), cuts AS (
+  SELECT lang, phrase, f AS a, w, k, unnest(range(1, k)) AS cut
+  FROM frequent ANTI JOIN held USING (lang, phrase, f) WHERE k > 1
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, n,
+         (1000::HUGEINT * c.a * n // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN words USING (lang)
+  JOIN frequent l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
+  JOIN frequent r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:c.k], ' ')
+), worst AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank,
+       phrase, a, l, r, n, score
+FROM worst QUALIFY rank <= 2000
+"""
+
+OP13 = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TOKEN}') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM docs WHERE len(w) > 0
+), sizes AS MATERIALIZED (SELECT doc_id, count(*)::BIGINT AS n FROM shingles GROUP BY doc_id),
+pairs AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y USING (s)
+    WHERE x.doc_id < y.doc_id GROUP BY ALL)
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * common >= 80 * (p.n + q.n - common)
+), edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (
+  SELECT DISTINCT a AS node, a AS met FROM edges
+  UNION SELECT reach.node, edges.b FROM reach JOIN edges ON edges.a = reach.met
+), lowest AS (SELECT node, min(met) AS low FROM reach GROUP BY node)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(low, doc_id) AS component_id,
+       coalesce(low, doc_id) = doc_id AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON node = doc_id
+"""
+
+ORACLES |= {"op11_clustering": _clustering(), "op12_phrases": OP12, "op13_minhash": OP13}

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables not
 
 
 def test_all_are_registered():
-    assert [n.split("_")[0] for n in catalogue.queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in catalogue.queries()] == [f"op{n}" for n in range(1, 14)]
     assert catalogue.queries().keys() | {"pipeline"} <= contract.queries().keys()
 
 
