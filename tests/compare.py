@@ -9,7 +9,7 @@ from pathlib import Path
 import duckdb
 import pandas as pd
 
-TABLES = ("lineitem", "events", "documents", "pages", "benchmark", "labels")
+TABLES = ("lineitem", "events", "documents", "pages", "benchmark", "labels", "embeddings")
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
