@@ -15,16 +15,21 @@ from kerbside.plans.refresh import (
     load_rollup,
     refresh_parts,
     refresh_rollup,
+    uncovered,
 )
 from kerbside.session import job_session
-from kerbside.sources import discovery, paths
+from kerbside.sources import discovery, paths, store
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where the stores are, under one folder on a shared file system."""
+    """Where the stores are, under one folder on a shared file system.
+
+    ``retained`` is how many versions of each store readers can go on using.
+    """
 
     root: str
+    retained: int = store.RETAINED
 
     @property
     def trips(self) -> str:
@@ -48,8 +53,9 @@ class CycleReport:
     """Rows loaded per (service, file_month), the refreshed rollup, and what was left out.
 
     ``missing`` are planned months without a file, ``ignored`` names in the landing folder that are
-    no trip files of a known service, ``empty`` loaded months without a row, and ``taken_up`` months
-    that an earlier run had loaded and not rolled up.
+    no trip files of a known service, ``empty`` loaded months without a row, ``taken_up`` months
+    that an earlier run or a stream had loaded and not rolled up, and ``restated`` months that were
+    loaded again as their files had changed. ``rollup`` stays as it is when later cycles run.
     """
 
     loaded: dict[record.Key, int]
@@ -57,6 +63,7 @@ class CycleReport:
     missing: list[record.Key] = field(default_factory=list)
     ignored: list[str] = field(default_factory=list)
     taken_up: list[record.Key] = field(default_factory=list)
+    restated: list[record.Key] = field(default_factory=list)
 
     @property
     def empty(self) -> list[record.Key]:
@@ -76,22 +83,21 @@ def run_cycle(
     What a run that ended early has loaded is rolled up by the next one, which knows it by the load
     record. Otherwise only the new files and what was just loaded are read, as the partial rollups
     have the watermark. Running it again with the same ``as_of`` changes nothing in ``replace`` mode.
+    Streams may load into the same warehouse; their months are rolled up and not loaded again.
     """
     job = job_session(spark)
-    has_parts = paths.exists(job, warehouse.parts)
     known = record.read(job, warehouse.record)
     if not paths.exists(job, warehouse.record):
         known = record.before_records(job, warehouse.trips, warehouse.parts)
         record.write(job, warehouse.record, known)
-    plan = plan_slices(
-        job, landing, warehouse.trips, as_of, mode, year,
-        load_parts(job, warehouse.parts) if has_parts else None, known,
-    )
+    parts = load_parts(job, warehouse.parts) if store.pieces(job, warehouse.parts) else None
+    plan = plan_slices(job, landing, warehouse.trips, as_of, mode, year, parts)
     bounds = {s.key: s.end_time for s in plan.slices}
     record.forget(job, warehouse.record, bounds)
     loaded = load_slices(job, plan.slices, warehouse.trips, mode)
     stored = discovery.loaded_months(job, warehouse.trips)
-    stale = [key for key in stored if key in bounds or key not in known]
+    pending = uncovered(job, warehouse.trips, warehouse.parts)
+    stale = [key for key in stored if key in bounds or key not in known or key in pending]
     refresh_parts(job, warehouse.trips, warehouse.parts, stale)
     gone = drop_orphans(job, warehouse.trips, warehouse.parts)
     refresh_rollup(job, warehouse.parts, warehouse.rollup, {s for s, _ in stale} | gone)
@@ -99,9 +105,7 @@ def run_cycle(
     taken_up = [key for key in stale if key not in bounds]
     done |= {key: record.Loaded(record.UNKNOWN, -1) for key in taken_up}
     record.write(job, warehouse.record, done)
-    rollup = (
-        load_rollup(spark, warehouse.rollup)
-        if paths.exists(spark, warehouse.rollup)
-        else refresh_rollup(spark, warehouse.parts, warehouse.rollup, [])
-    )
-    return CycleReport(loaded, rollup, plan.missing, plan.ignored, taken_up)
+    for folder in (warehouse.trips, warehouse.parts, warehouse.rollup):
+        store.vacuum(job, folder, warehouse.retained)
+    rollup = load_rollup(spark, warehouse.rollup)
+    return CycleReport(loaded, rollup, plan.missing, plan.ignored, taken_up, plan.restated)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
+from collections import defaultdict
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kerbside.operators.rollup import (
     assert_unique_hours,
@@ -16,15 +15,32 @@ from kerbside.operators.rollup import (
     rollup_schema,
     union_services,
 )
-from kerbside.sources import discovery, paths
-from kerbside.sources.trips import load_trips, service_dir
+from kerbside.sources import discovery, store
 from kerbside.spec import HOURLY_COLUMNS, SPECS
 
 
 def load_parts(spark: SparkSession, parts_dir: str) -> DataFrame:
-    """The store of partial rollups."""
-    schema = parts_schema().add("service", "string").add("file_month", "string")
-    return spark.read.schema(schema).parquet(parts_dir)
+    """The current partial rollups, with ``service`` and ``file_month``."""
+    live = store.pieces(spark, parts_dir)
+    return store.read(spark, parts_dir, parts_schema(), live, "service", "file_month")
+
+
+def uncovered(
+    spark: SparkSession, trips_dir: str, parts_dir: str, months: Iterable[tuple[str, str]] | None = None
+) -> dict[tuple[str, str], set[int]]:
+    """Loads of each month's trips that no part of the month stands for; of given months or of all.
+
+    A part that stands for a load the month no longer has does not count.
+    """
+    live: dict[tuple[str, str], set[int]] = defaultdict(set)
+    for piece in store.pieces(spark, trips_dir):
+        if piece.service in SPECS:
+            live[piece.key].add(piece.load)
+    wanted = {k: set(live[k]) for k in (live if months is None else months) if k in live}
+    for part in store.pieces(spark, parts_dir):
+        if part.key in wanted and set(part.of) <= live[part.key]:
+            wanted[part.key] -= set(part.of)
+    return {k: loads for k, loads in wanted.items() if loads}
 
 
 def refresh_parts(
@@ -32,29 +48,35 @@ def refresh_parts(
     trips_dir: str,
     parts_dir: str,
     months: Iterable[tuple[str, str]] | None = None,
-) -> None:
-    """Recompute the partial rollups of the given (service, file_month), or of all that exist.
+) -> set[str]:
+    """Compute the partial rollups that given (service, file_month), or all, lack; the services changed.
 
-    Only the trips of those months are read, and only the columns the rollup needs. All services
-    go in one job.
+    Only the trips of loads that have none yet are read, and only the columns the rollup needs. All
+    services go in one job. Parts of trips that were replaced leave with the same version.
     """
-    chosen: dict[str, list[str]] = {}
-    for service, month in months if months is not None else discovery.loaded_months(spark, trips_dir):
-        chosen.setdefault(service, []).append(month)
-    if not chosen:
-        return
+    missing = uncovered(spark, trips_dir, parts_dir, months)
+    if not missing:
+        return set()
+    chosen: dict[str, list[tuple[str, int]]] = defaultdict(list)
+    for (service, month), loads in missing.items():
+        chosen[service] += [(month, load) for load in loads]
     merged: DataFrame | None = None
-    for service, labels in chosen.items():
+    for service, pairs in chosen.items():
         spec = SPECS[service]
-        trips = load_trips(spark, trips_dir, spec).filter(F.col("file_month").isin(labels))
+        live = [p for p in store.pieces(spark, trips_dir, service) if (p.file_month, p.load) in pairs]
+        trips = store.read(spark, trips_dir, spec.trip_schema, live, "file_month")
         parts = hourly_parts(trips, spec, "file_month")
         merged = parts if merged is None else merged.unionByName(parts, allowMissingColumns=True)
-    (
-        merged.write.partitionBy("service", "file_month")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(parts_dir)
+    load = store.claim(spark, parts_dir)
+    store.write(merged, parts_dir, load, "service", "file_month")
+    loads_now: dict[tuple[str, str], set[int]] = defaultdict(set)
+    for piece in store.pieces(spark, trips_dir):
+        loads_now[piece.key].add(piece.load)
+    new = [store.Piece(*key, load, of=tuple(sorted(loads))) for key, loads in missing.items()]
+    store.publish(
+        spark, parts_dir, lambda p: p.key in missing and not set(p.of) <= loads_now[p.key], new
     )
+    return set(chosen)
 
 
 def merged_rollup(parts: DataFrame) -> DataFrame:
@@ -63,18 +85,21 @@ def merged_rollup(parts: DataFrame) -> DataFrame:
 
 
 def drop_orphans(spark: SparkSession, trips_dir: str, parts_dir: str) -> set[str]:
-    """Remove parts of months that have no trips any more; the services they belonged to."""
+    """Take out parts of months that have no trips any more; the services they belonged to."""
     kept = set(discovery.loaded_months(spark, trips_dir))
-    orphans = [k for k in discovery.loaded_months(spark, parts_dir) if k not in kept]
-    for service, month in orphans:
-        paths.delete(spark, f"{service_dir(parts_dir, service)}/file_month={month}")
+    orphans = {k for k in discovery.loaded_months(spark, parts_dir) if k not in kept}
+    if orphans:
+        store.publish(spark, parts_dir, lambda p: p.key in orphans, [])
     return {service for service, _ in orphans}
 
 
 def load_rollup(spark: SparkSession, rollup_dir: str) -> DataFrame:
-    """The stored rollup, one row per service and hour."""
-    schema = rollup_schema().add("service", "string")
-    return spark.read.schema(schema).parquet(rollup_dir).select("service", *HOURLY_COLUMNS)
+    """The stored rollup, one row per service and hour.
+
+    A frame goes on answering from the version it was read from while that is retained.
+    """
+    live = store.pieces(spark, rollup_dir)
+    return store.read(spark, rollup_dir, rollup_schema(), live, "service").select("service", *HOURLY_COLUMNS)
 
 
 def refresh_rollup(
@@ -83,39 +108,26 @@ def refresh_rollup(
     """Rebuild the stored rollup of the given services, or of all, from their parts; return it all.
 
     The parts have a row per file month and hour, so a full rebuild is small and no question of
-    which hours changed arises. It is written beside the rollup, its keys are checked, and only
-    then it takes the rollup's place. A service without parts has no rollup.
+    which hours changed arises. It is written once, to folders that no version lists; its keys are
+    checked there, and only then a new version takes them in. A service without parts has no rollup.
     """
-    with_parts = {service for service, _ in discovery.loaded_months(spark, parts_dir)}
+    with_parts = {p.service for p in store.pieces(spark, parts_dir)}
     chosen = [s for s in SPECS if services is None or s in services]
-    staged = f"{rollup_dir}_staged-{uuid.uuid4().hex}"
     rebuilt = [s for s in chosen if s in with_parts]
+    new: list[store.Piece] = []
     if rebuilt:
         parts = load_parts(spark, parts_dir)
-        frames = [merge_parts(parts, SPECS[s]) for s in rebuilt]
-        try:
-            union_services(frames).write.partitionBy("service").parquet(staged)
-            checked = load_rollup(spark, staged)
-            assert_unique_hours(checked)
-            (
-                checked.repartition("service")
-                .write.partitionBy("service")
-                .option("partitionOverwriteMode", "dynamic")
-                .mode("overwrite")
-                .parquet(rollup_dir)
-            )
-        finally:
-            paths.delete(spark, staged)
-    for service in chosen:
-        if service not in with_parts:
-            paths.delete(spark, service_dir(rollup_dir, service))
-    if not paths.exists(spark, rollup_dir):
-        return spark.createDataFrame([], rollup_schema().add("service", "string")).select(
-            "service", *HOURLY_COLUMNS
-        )
+        load = store.claim(spark, rollup_dir)
+        merged = union_services([merge_parts(parts, SPECS[s]) for s in rebuilt])
+        # 8,784 hours per service and year at most: one file each.
+        store.write(merged.repartition("service"), rollup_dir, load, "service")
+        new = [store.Piece(s, None, load) for s in rebuilt]
+        assert_unique_hours(store.read(spark, rollup_dir, rollup_schema(), new, "service"))
+    if chosen:
+        store.publish(spark, rollup_dir, lambda p: p.service in chosen, new)
     return load_rollup(spark, rollup_dir)
 
 
 def existing_rollups(spark: SparkSession, rollup_dir: str) -> list[str]:
     """Services that have a stored rollup."""
-    return [service for (service,) in paths.partitions(spark, rollup_dir, "service")]
+    return sorted({p.service for p in store.pieces(spark, rollup_dir)})

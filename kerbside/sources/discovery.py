@@ -9,18 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions import names
-from kerbside.sources import paths
+from kerbside.sources import paths, store
 from kerbside.spec import SERVICES, SPECS
 
 
 class TripFile(NamedTuple):
-    """One month of one service: a file, or a folder of part files."""
+    """One month of one service: a file, or a folder of part files.
+
+    ``sources`` identify the files as they are now.
+    """
 
     service: str
     table_name: str
     file_month: str
     path: str
     bytes: int
+    sources: tuple[str, ...] = ()
 
 
 class Landing(NamedTuple):
@@ -47,7 +51,8 @@ def list_landing(spark: SparkSession, landing: str) -> Landing:
             ignored.append(entry.name)
             continue
         size = sum(e.length for e in held)
-        files.append(TripFile(service, found[1], f"{found[2]}-{found[3]}", entry.path, size))
+        sources = tuple(sorted(e.identity for e in held))
+        files.append(TripFile(service, found[1], f"{found[2]}-{found[3]}", entry.path, size, sources))
     return Landing(files, ignored)
 
 
@@ -57,7 +62,7 @@ def discover_files(spark: SparkSession, landing: str) -> DataFrame:
     A month may be one file or a folder of part files; either is one row.
     """
     schema = "service string, table_name string, file_month string, path string, bytes long"
-    return spark.createDataFrame(list_landing(spark, landing).files, schema)
+    return spark.createDataFrame([f[:5] for f in list_landing(spark, landing).files], schema)
 
 
 def trip_files(names_df: DataFrame, column: str) -> DataFrame:
@@ -83,17 +88,13 @@ def existing_tables(trips: DataFrame) -> DataFrame:
 
 
 def loaded_services(spark: SparkSession, trips_dir: str) -> list[str]:
-    """Services with a folder in the trip store, from the listing alone."""
-    return sorted({service for (service,) in paths.partitions(spark, trips_dir, "service")})
+    """Services that the store has trips of, from its log alone."""
+    return sorted({p.service for p in store.pieces(spark, trips_dir)})
 
 
 def loaded_months(spark: SparkSession, trips_dir: str) -> list[tuple[str, str]]:
-    """(service, file_month) partitions in the trip store, from the listing alone."""
-    return [
-        (service, month)
-        for service, month in paths.partitions(spark, trips_dir, "service", "file_month")
-        if service in SPECS
-    ]
+    """(service, file_month) that the store has rows of, from its log alone."""
+    return sorted({p.key for p in store.pieces(spark, trips_dir) if p.service in SPECS})
 
 
 def new_tables(discovered: DataFrame, existing: DataFrame) -> DataFrame:

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
 class Entry(NamedTuple):
-    """One file or folder of a listing; a folder has no length."""
+    """One file or folder of a listing; a folder has no length. Times are milliseconds of the epoch."""
 
     path: str
     name: str
     is_folder: bool
     length: int
+    modified: int
+
+    @property
+    def identity(self) -> str:
+        """What changes when the file is written again."""
+        return f"{self.path}|{self.length}|{self.modified}"
 
 
 def _open(spark: SparkSession, path: str):
@@ -25,7 +32,9 @@ def entries(spark: SparkSession, pattern: str) -> list[Entry]:
     """What matches ``pattern``, sorted by path; one listing call, no file is opened."""
     fs, path = _open(spark, pattern)
     found = [
-        Entry(s.getPath().toString(), s.getPath().getName(), s.isDirectory(), s.getLen())
+        Entry(
+            s.getPath().toString(), s.getPath().getName(), s.isDirectory(), s.getLen(), s.getModificationTime()
+        )
         for s in fs.globStatus(path) or []
     ]
     return sorted(found)
@@ -59,3 +68,29 @@ def partitions(spark: SparkSession, base: str, *keys: str) -> list[tuple[str, ..
         tuple(part.split("=", 1)[1] for part in found.split("/")[-len(keys) :])
         for found in glob(spark, pattern)
     ]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file whole."""
+    fs, hadoop_path = _open(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that is not there yet; False when it is."""
+    fs, hadoop_path = _open(spark, path)
+    if fs.exists(hadoop_path):
+        return False
+    try:
+        stream = fs.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in str(error.java_exception.getClass().getName()):
+            raise
+        return False
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True

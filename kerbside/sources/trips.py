@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.functions import names
-from kerbside.sources import paths
+from kerbside.sources import paths, store
 from kerbside.spec import ServiceSpec
 
 CANONICAL_TIMES = ("pickup_datetime", "dropoff_datetime")
@@ -108,24 +108,13 @@ def scan_files(spark: SparkSession, spec: ServiceSpec, months: list[str]) -> Dat
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def service_dir(store: str, service: str) -> str:
-    """A service's folder in a store partitioned by service."""
-    return f"{store.rstrip('/')}/service={service}"
-
-
 def load_trips(
     spark: SparkSession, trips_dir: str, spec: ServiceSpec, *more_partitions: str
 ) -> DataFrame:
-    """One service's trips from the store, declared columns only, plus ``file_month``.
+    """One service's trips from the store's current version, declared columns only, plus ``file_month``.
 
-    Reading the service's own folder prunes the other services at planning time; a filter on
-    ``file_month`` prunes months.
+    A filter on ``file_month`` prunes months. ``load`` can be asked for as a further column.
     """
-    schema = spec.trip_schema.add("file_month", "string")
-    for partition in more_partitions:
-        schema = schema.add(partition, "long")
-    return (
-        spark.read.schema(schema)
-        .parquet(service_dir(trips_dir, spec.name))
-        .withColumn("service", F.lit(spec.name))
-    )
+    live = store.pieces(spark, trips_dir, spec.name)
+    trips = store.read(spark, trips_dir, spec.trip_schema, live, "file_month", *more_partitions)
+    return trips.withColumn("service", F.lit(spec.name))

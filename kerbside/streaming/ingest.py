@@ -1,6 +1,7 @@
-"""Incremental ingest of new trip files, each exactly once.
+"""Incremental ingest of new trip files, each exactly once, into a warehouse that batches load, too.
 
-For files that never change. A month that is rewritten in place is a case for the batch plan.
+A stream sees a file once. A file that is rewritten in place later is a case for the batch plan, which
+finds that it is not the one that was loaded.
 """
 
 from __future__ import annotations
@@ -11,26 +12,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions import names
-from kerbside.operators.rollup import hourly_parts
 from kerbside.plans.cycle import Warehouse
+from kerbside.plans.ingest import rows_of_load
+from kerbside.plans.refresh import refresh_parts
 from kerbside.session import job_session
-from kerbside.sources.trips import load_trips, scan_files, service_dir
-from kerbside.spec import SPECS, ServiceSpec
+from kerbside.sources import store
+from kerbside.sources.trips import scan_files
+from kerbside.spec import SPECS
 
+#: Files of a batch. A batch lists its files on the driver, so their number is bounded.
+FILES_PER_BATCH = 1000
 
-def stream_files(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
-    """A stream of (service, path): the trip files of known services, as discovery names them.
+
+def stream_files(spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """A stream of (service, file_month, path, source): the trip files of known services.
 
     Files, folders of part files and ``key=value`` folders count. Only names are read: the files'
-    content is a column that nothing asks for.
+    content is a column that nothing asks for. ``source`` identifies a file as discovery does.
     """
     schema = "path string, modificationTime timestamp, length long, content binary"
     reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.parquet")
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch)
     found = reader.option("recursiveFileLookup", True).load(landing)
-    service = names.service_of(F.col("path"))
-    return found.select(service.alias("service"), "path").filter(F.col("service").isin([*SPECS]))
+    identity = F.concat_ws("|", "path", "length", F.unix_millis("modificationTime"))
+    path = F.col("path")
+    return found.select(
+        names.service_of(path).alias("service"),
+        names.month_in_trip_path(path).alias("file_month"),
+        "path",
+        identity.alias("source"),
+    ).filter(F.col("service").isin([*SPECS]))
 
 
 def stream_ingest(
@@ -44,14 +55,15 @@ def stream_ingest(
     """Load all files that arrived since the last run, with their partial rollups, and stop.
 
     One stream serves all services. Its batches are lists of new files, which the batch scan reads,
-    so columns, types and drift between files come out as they do there. Each micro-batch writes
-    under its own ``batch_id``; one that is replayed after a failure replaces what it wrote before.
-    Its partial rollups follow the same rule, so refreshing the rollup reads no trips. Months may
-    arrive in any number of files.
+    so columns, types and drift between files come out as they do there. Months may arrive in any
+    number of files; each batch adds a piece, see :func:`compact`. Refreshing the rollup reads no trips.
+
+    Files that a batch run has loaded, or this batch before a failure, are passed over. A month that was
+    loaded with a bound, or from an earlier state of a file, is loaded anew from all its files.
     """
     job = job_session(spark)
     query = (
-        stream_files(job, landing, files_per_batch)
+        stream_files(job, landing, files_per_batch or FILES_PER_BATCH)
         .writeStream.foreachBatch(_batch_writer(warehouse, services or [*SPECS]))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -61,28 +73,84 @@ def stream_ingest(
     query.awaitTermination()
 
 
+def _path(source: str) -> str:
+    return source.rsplit("|", 2)[0]
+
+
+def load_new_files(spark: SparkSession, trips_dir: str, found: dict[tuple[str, str], set[str]]) -> set[tuple[str, str]]:
+    """Bring files, given by month as sources, into the trip store; the months that changed."""
+    live = [p for p in store.current(spark, trips_dir)[1] if p.key in found]
+    chosen: dict[tuple[str, str], set[str]] = {}
+    replaced: set[tuple[str, str]] = set()
+    for key, sources in found.items():
+        own = [p for p in live if p.key == key]
+        whole = {x for p in own if p.loaded_until is None for x in p.sources}
+        new = sources - whole
+        if not new:
+            continue
+        paths = {_path(x) for x in new}
+        if any(p.loaded_until is not None or paths & set(map(_path, p.sources)) for p in own):
+            replaced.add(key)
+            new |= {x for p in own for x in p.sources if _path(x) not in paths}
+        chosen[key] = new
+    if not chosen:
+        return set()
+    load = store.claim(spark, trips_dir)
+    by_service: dict[str, list[str]] = defaultdict(list)
+    for (service, _), sources in chosen.items():
+        by_service[service] += sorted(map(_path, sources))
+    for service, files in sorted(by_service.items()):
+        store.write(scan_files(spark, SPECS[service], files), trips_dir, load, "service", "file_month")
+    rows = rows_of_load(spark, trips_dir, load)
+    new = [
+        store.Piece(*key, load, rows.get(key, 0), None, tuple(sorted(sources))) for key, sources in chosen.items()
+    ]
+    store.publish(spark, trips_dir, lambda p: p.key in replaced, new)
+    return set(chosen)
+
+
 def _batch_writer(warehouse: Warehouse, services: list[str]):
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        found: dict[str, list[str]] = defaultdict(list)
-        for row in batch.collect():  # a row per new file
-            found[row.service].append(row.path)
-        for service in sorted(set(found) & set(services)):
-            spec = SPECS[service]
-            trips = scan_files(spark, spec, found[service]).drop("service")
-            _replace(trips.withColumn("batch_id", F.lit(batch_id)), service_dir(warehouse.trips, service))
-            written = load_trips(spark, warehouse.trips, spec, "batch_id")
-            this_batch = written.filter(F.col("batch_id") == batch_id)
-            parts = hourly_parts(this_batch, spec, "file_month", "batch_id").drop("service")
-            _replace(parts, service_dir(warehouse.parts, service))
+        found: dict[tuple[str, str], set[str]] = defaultdict(set)
+        for row in batch.collect():  # a row per new file, FILES_PER_BATCH at most
+            if row.service in services:
+                found[row.service, row.file_month].add(row.source)
+        load_new_files(spark, warehouse.trips, found)
+        # Of a batch that failed in between, the trips are there and their parts are not.
+        refresh_parts(spark, warehouse.trips, warehouse.parts, found)
+        for folder in (warehouse.trips, warehouse.parts):
+            store.vacuum(spark, folder, warehouse.retained)
 
     return write
 
 
-def _replace(df: DataFrame, folder: str) -> None:
-    (
-        df.write.partitionBy("file_month", "batch_id")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(folder)
-    )
+def compact(spark: SparkSession, warehouse: Warehouse, pieces: int = 1) -> list[tuple[str, str]]:
+    """Rewrite months that have more than ``pieces`` pieces as one each; the months that changed.
+
+    All columns of the files are kept. Readers of the versions before are not disturbed.
+    """
+    job = job_session(spark)
+    by_month: dict[tuple[str, str], list[store.Piece]] = defaultdict(list)
+    for piece in store.current(job, warehouse.trips)[1]:
+        by_month[piece.key].append(piece)
+    chosen = {k: x for k, x in by_month.items() if sum(p.rows != 0 for p in x) > pieces}
+    if not chosen:
+        return []
+    load = store.claim(job, warehouse.trips)
+    for service in sorted({s for s, _ in chosen}):
+        folders = [store.piece_dir(warehouse.trips, p) for k, x in chosen.items() if k[0] == service for p in x if p.rows]
+        trips = job.read.option("basePath", warehouse.trips).option("mergeSchema", True).parquet(*folders)
+        # The month's rows meet in one shuffle; a month of many files is split by the rows' hash.
+        dealt = trips.drop("load").repartition("file_month", F.pmod(F.xxhash64("pickup_datetime"), F.lit(8)))
+        store.write(dealt, warehouse.trips, load, "service", "file_month")
+    rows = rows_of_load(job, warehouse.trips, load)
+    new = []
+    for key, old in chosen.items():
+        bounds = [p.loaded_until for p in old if p.loaded_until is not None]
+        sources = tuple(sorted({x for p in old for x in p.sources}))
+        new.append(store.Piece(*key, load, rows[key], min(bounds) if bounds else None, sources))
+    merged = {p for x in chosen.values() for p in x}
+    store.publish(job, warehouse.trips, lambda p: p in merged, new)
+    refresh_parts(job, warehouse.trips, warehouse.parts, chosen)
+    return sorted(chosen)
