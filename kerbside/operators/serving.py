@@ -110,6 +110,31 @@ def trend(
     )
 
 
+def trends(hourly: DataFrame, start: clock.Moment, end: clock.Moment) -> DataFrame:
+    """All summed metrics over all calendar units, per service, in one pass.
+
+    (service, calendar_unit, position, <each metric>), as :func:`trend` gives them one by one: grouping
+    sets over the units. A metric a service does not have is NULL.
+    """
+    metrics = list(names.SUMMED_METRICS.values())
+    view = calendar_view(in_range(hourly, start, end))
+    sums = [
+        F.expr(
+            f"CASE WHEN service IN ({str(services_with(m))[1:-1]}) THEN {AGGREGATES['sum'].format(m)} END AS {m}"
+        )
+        for m in metrics
+    ]
+    units = list(clock.CALENDAR)
+    grouped = view.groupingSets([[F.col("service"), F.col(u)] for u in units], "service", *units).agg(
+        *(F.expr(f"grouping({u}) AS no_{u}") for u in units), *sums
+    )
+    unit = " ".join(f"WHEN no_{u} = 0 THEN '{u}'" for u in units)
+    position = " ".join(f"WHEN no_{u} = 0 THEN {u}" for u in units)
+    return grouped.selectExpr(
+        "service", f"CASE {unit} END AS calendar_unit", f"CASE {position} END AS position", *metrics
+    ).orderBy("service", "calendar_unit", "position")
+
+
 def contributions(
     hourly: DataFrame, service: str, start: clock.Moment, end: clock.Moment
 ) -> DataFrame:

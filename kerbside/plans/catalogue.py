@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType, StructField
 
 from kerbside.functions import clock, names
 from kerbside.operators import metrics, rollup, serving, slices
+from kerbside.plans import tables
 from kerbside.plans.cycle import Warehouse, run_cycle
 from kerbside.plans.ingest import load_slices, plan_slices
 from kerbside.plans.refresh import merged_rollup
@@ -23,8 +24,8 @@ from kerbside.session import scratch_dir
 from kerbside.sources import csv_export, discovery, driver_tables
 from kerbside.sources.trips import canonicalise, load_trips, scan_files
 from kerbside.spec import HOURLY_COLUMNS, SERVICES, SPECS
-from kerbside.streaming.hourly import stream_hourly
-from kerbside.streaming.ingest import stream_ingest
+from kerbside.streaming.hourly import latest_hours, stream_hourly
+from kerbside.streaming.ingest import compact, stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -263,6 +264,95 @@ def stream_hourly_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stable(rollup.union_services(hours))
 
 
+def _arrive(spark: SparkSession, source: str, folder: str, months: list[str]) -> None:
+    """Put the monthly files of some months, of all services, into a landing folder."""
+    for file in discovery.list_landing(spark, source).files:
+        if file.file_month in months:
+            name = file.path.rstrip("/").rsplit("/", 1)[1]
+            spark.read.parquet(file.path).write.parquet(f"{folder}/{name}")
+
+
+def _months(spark: SparkSession, folder: str) -> list[str]:
+    return sorted({f.file_month for f in discovery.list_landing(spark, folder).files})
+
+
+def stream_hourly_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed hours of all services, where every second month's files arrive after all others."""
+    every, _, root = landing(spark, sf_dir)
+    months = _months(spark, every)
+    for part in (months[::2], months[1::2]):
+        _arrive(spark, every, f"{root}/late", part)
+        for service, spec in SPECS.items():
+            stream_hourly(spark, f"{root}/late", spec, f"{root}/hours/{service}", f"{root}/checkpoint/{service}")
+    return stable(rollup.union_services([
+        latest_hours(spark, f"{root}/hours/{s}").withColumn("service", F.lit(s)) for s in SPECS
+    ]))
+
+
+def cycle_after_restatement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup after files were first published without trips that lack a drop-off, later in full.
+
+    All months are loaded, then the two oldest of each service are rewritten in place: they are loaded
+    again, though the watermark stands months later. The last month arrives short and is restated, too.
+    """
+    every, store, root = landing(spark, sf_dir)
+    months = _months(spark, every)
+    short = [*months[:2], months[-1]]
+    folder = f"{root}/published"
+    for file in discovery.list_landing(spark, every).files:
+        name = file.path.rstrip("/").rsplit("/", 1)[1]
+        trips = spark.read.parquet(file.path)
+        if file.file_month in short:
+            trips = trips.filter(F.col(SPECS[file.service].dropoff).isNotNull())
+        trips.write.parquet(f"{folder}/{name}")
+    run_cycle(spark, folder, store, "2024-07-02")
+    for file in discovery.list_landing(spark, every).files:
+        if file.file_month in short:
+            name = file.path.rstrip("/").rsplit("/", 1)[1]
+            spark.read.parquet(file.path).write.mode("overwrite").parquet(f"{folder}/{name}")
+    return stable(run_cycle(spark, folder, store, "2024-07-02").rollup)
+
+
+def rollup_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup as a reader took it before further cycles loaded later months: up to the bound then."""
+    folder, store, _ = landing(spark, sf_dir)
+    held = run_cycle(spark, folder, store, AS_OF).rollup
+    for as_of in ("2024-05-03", "2024-07-02"):
+        run_cycle(spark, folder, store, as_of)
+    return stable(held)
+
+
+def mixed_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store after streams and batches took turns on the same services, compacted in between."""
+    every, store, root = landing(spark, sf_dir)
+    months, folder = _months(spark, every), f"{root}/mixed"
+    _arrive(spark, every, folder, months[:2])
+    stream_ingest(spark, folder, store, f"{root}/checkpoint", files_per_batch=5)
+    _arrive(spark, every, folder, months[2:4])
+    run_cycle(spark, folder, store, AS_OF)
+    compact(spark, store)
+    _arrive(spark, every, folder, months[4:])
+    stream_ingest(spark, folder, store, f"{root}/checkpoint", files_per_batch=5)
+    run_cycle(spark, folder, store, "2024-07-02")
+    return _summary(_stored(spark, store))
+
+
+def tables_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and hours per service by the names of the catalog, after two cycles: SQL alone."""
+    folder, store, root = landing(spark, sf_dir)
+    database = "trips_" + root.rsplit("-", 1)[1]
+    for as_of in (AS_OF, "2024-07-02"):
+        run_cycle(spark, folder, store, as_of, database=database)
+    known = sorted(set(tables.existing_tables(spark, database)) & set(tables.existing_rollups(spark, database)))
+    return spark.sql(" UNION ALL ".join(
+        f"""SELECT '{s}' AS service, (SELECT count(*) FROM {database}.{s}_tripdata) AS num_rows,
+            (SELECT count(DISTINCT file_month) FROM {database}.{s}_tripdata) AS months,
+            (SELECT count(*) FROM {database}.{s}_hourly) AS hours,
+            (SELECT sum(num_trips) FROM {database}.hourly WHERE service = '{s}') AS rolled_up"""
+        for s in known
+    ))
+
+
 def export_query(spark: SparkSession, sf_dir: str, service: str, with_index: bool) -> DataFrame:
     """A service's export, read back from its CSV files."""
     rows = hourly(spark, sf_dir, service)
@@ -376,7 +466,12 @@ def queries() -> dict[str, Query]:
         "refresh_rollup": refresh_rollup,
         "stream_ingest": stream_ingest_query,
         "stream_hourly": stream_hourly_query,
+        "stream_hourly_late": stream_hourly_late,
         "cycle_after_failure": cycle_after_failure,
+        "cycle_after_restatement": cycle_after_restatement,
+        "rollup_snapshot": rollup_snapshot,
+        "mixed_loads": mixed_loads,
+        "tables_by_name": tables_by_name,
         "cycle_with_stray_pickup": cycle_with_stray_pickup,
         "export_range": partial(export_query, service="yellow", with_index=False),
         "export_range_indexed": partial(export_query, service="yellow", with_index=True),
@@ -392,6 +487,7 @@ def queries() -> dict[str, Query]:
         "card_total_payed": lambda s, d: stable(
             serving.card_total_payed(served(s, d), START, END)
         ),
+        "trends_all": lambda s, d: stable(serving.trends(served(s, d), START, END)),
         "trend_avg_payed_month": partial(
             trend, metric="total_amount_payed", by="month", agg="avg"
         ),

@@ -13,41 +13,17 @@ from kerbside.plans.refresh import (
     drop_orphans,
     load_parts,
     load_rollup,
+    not_rolled_up,
     refresh_parts,
     refresh_rollup,
     uncovered,
 )
+from kerbside.plans.tables import register
+from kerbside.plans.warehouse import Warehouse
 from kerbside.session import job_session
 from kerbside.sources import discovery, paths, store
 
 
-@dataclass(frozen=True)
-class Warehouse:
-    """Where the stores are, under one folder on a shared file system.
-
-    ``retained`` is how many versions of each store readers can go on using.
-    """
-
-    root: str
-    retained: int = store.RETAINED
-
-    @property
-    def trips(self) -> str:
-        return f"{self.root}/trips"
-
-    @property
-    def parts(self) -> str:
-        return f"{self.root}/hourly_parts"
-
-    @property
-    def rollup(self) -> str:
-        return f"{self.root}/hourly"
-
-    @property
-    def record(self) -> str:
-        return f"{self.root}/load_record"
-
-
 @dataclass(frozen=True)
 class CycleReport:
     """Rows loaded per (service, file_month), the refreshed rollup, and what was left out.
@@ -77,13 +53,15 @@ def run_cycle(
     as_of: Moment,
     mode: str = "replace",
     year: int | None = None,
+    database: str | None = None,
 ) -> CycleReport:
     """Load what is due at ``as_of`` and bring the rollup up to date. Errors end the run.
 
     What a run that ended early has loaded is rolled up by the next one, which knows it by the load
     record. Otherwise only the new files and what was just loaded are read, as the partial rollups
     have the watermark. Running it again with the same ``as_of`` changes nothing in ``replace`` mode.
-    Streams may load into the same warehouse; their months are rolled up and not loaded again.
+    Streams may load into the same warehouse; their months are rolled up and not loaded again. With
+    ``database`` its tables and views are brought up to date, see :mod:`kerbside.plans.tables`.
     """
     job = job_session(spark)
     known = record.read(job, warehouse.record)
@@ -96,7 +74,8 @@ def run_cycle(
     record.forget(job, warehouse.record, bounds)
     loaded = load_slices(job, plan.slices, warehouse.trips, mode)
     stored = discovery.loaded_months(job, warehouse.trips)
-    pending = uncovered(job, warehouse.trips, warehouse.parts)
+    pending = not_rolled_up(job, warehouse.parts, warehouse.rollup)
+    pending |= uncovered(job, warehouse.trips, warehouse.parts).keys()
     stale = [key for key in stored if key in bounds or key not in known or key in pending]
     refresh_parts(job, warehouse.trips, warehouse.parts, stale)
     gone = drop_orphans(job, warehouse.trips, warehouse.parts)
@@ -105,7 +84,12 @@ def run_cycle(
     taken_up = [key for key in stale if key not in bounds]
     done |= {key: record.Loaded(record.UNKNOWN, -1) for key in taken_up}
     record.write(job, warehouse.record, done)
+    if database:
+        register(job, warehouse, database)
     for folder in (warehouse.trips, warehouse.parts, warehouse.rollup):
         store.vacuum(job, folder, warehouse.retained)
     rollup = load_rollup(spark, warehouse.rollup)
     return CycleReport(loaded, rollup, plan.missing, plan.ignored, taken_up, plan.restated)
+
+
+__all__ = ["CycleReport", "Warehouse", "run_cycle"]

@@ -286,6 +286,34 @@ def oracle_sql() -> dict[str, str]:
             f"""{EVERY_HOUR} h WHERE pickup_hour + INTERVAL 2 HOUR <=
   (SELECT max(pickup_datetime) FROM trips t WHERE t.service = h.service)""",
         ),
+        "stream_hourly_late": _with(
+            TRIPS, HOURLY,
+            f"""{EVERY_HOUR} h WHERE pickup_hour + INTERVAL 2 HOUR <=
+  (SELECT max(pickup_datetime) FROM trips t WHERE t.service = h.service)""",
+        ),
+        "cycle_after_restatement": _with(TRIPS, HOURLY, EVERY_HOUR),
+        "rollup_snapshot": _with(
+            TRIPS.replace("trips AS (", "every_trip AS ("),
+            """
+trips AS (SELECT * FROM every_trip
+  WHERE file_month <= '2024-03' AND pickup_datetime < TIMESTAMP '2024-03-15 10:00:00')""",
+            HOURLY, EVERY_HOUR,
+        ),
+        "mixed_loads": _with(TRIPS, _FILE_SUMMARY),
+        "tables_by_name": _with(
+            TRIPS,
+            """SELECT service, count(*) AS num_rows, count(DISTINCT file_month) AS months,
+  count(DISTINCT date_trunc('hour', pickup_datetime)) AS hours, count(*) AS rolled_up
+FROM trips GROUP BY service""",
+        ),
+        "trends_all": _with(TRIPS, HOURLY, SERVED, " UNION ALL ".join(
+            f"""
+SELECT service, '{unit}' AS calendar_unit, date_part('{part}', pickup_hour)::INTEGER AS position,
+  sum(num_trips)::BIGINT AS num_trips,
+  CASE WHEN service <> 'fhv' THEN round(coalesce(sum(total_amount_payed), 0), 2) END AS total_amount_payed
+FROM served GROUP BY ALL"""
+            for unit, part in UNITS.items()
+        )),
         "all_services_hourly": _with(TRIPS, HOURLY, EVERY_HOUR),
         "hourly_from_parts": _with(TRIPS, HOURLY, EVERY_HOUR),
         "rollup_key_check": _with(

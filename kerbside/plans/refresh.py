@@ -93,6 +93,12 @@ def drop_orphans(spark: SparkSession, trips_dir: str, parts_dir: str) -> set[str
     return {service for service, _ in orphans}
 
 
+def not_rolled_up(spark: SparkSession, parts_dir: str, rollup_dir: str) -> set[tuple[str, str]]:
+    """Months with parts that the stored rollup was not computed from."""
+    rolled = {p.service: set(p.of) for p in store.pieces(spark, rollup_dir)}
+    return {p.key for p in store.pieces(spark, parts_dir) if p.load not in rolled.get(p.service, ())}
+
+
 def load_rollup(spark: SparkSession, rollup_dir: str) -> DataFrame:
     """The stored rollup, one row per service and hour.
 
@@ -111,17 +117,21 @@ def refresh_rollup(
     which hours changed arises. It is written once, to folders that no version lists; its keys are
     checked there, and only then a new version takes them in. A service without parts has no rollup.
     """
-    with_parts = {p.service for p in store.pieces(spark, parts_dir)}
+    by_service: dict[str, list[store.Piece]] = defaultdict(list)
+    for piece in store.pieces(spark, parts_dir):
+        by_service[piece.service].append(piece)
     chosen = [s for s in SPECS if services is None or s in services]
-    rebuilt = [s for s in chosen if s in with_parts]
+    rebuilt = [s for s in chosen if s in by_service]
     new: list[store.Piece] = []
     if rebuilt:
-        parts = load_parts(spark, parts_dir)
+        read = [p for s in rebuilt for p in by_service[s]]
+        parts = store.read(spark, parts_dir, parts_schema(), read, "service", "file_month")
         load = store.claim(spark, rollup_dir)
         merged = union_services([merge_parts(parts, SPECS[s]) for s in rebuilt])
         # 8,784 hours per service and year at most: one file each.
         store.write(merged.repartition("service"), rollup_dir, load, "service")
-        new = [store.Piece(s, None, load) for s in rebuilt]
+        loads = {s: {p.load for p in read} for s, read in by_service.items()}
+        new = [store.Piece(s, None, load, of=tuple(sorted(loads[s]))) for s in rebuilt]
         assert_unique_hours(store.read(spark, rollup_dir, rollup_schema(), new, "service"))
     if chosen:
         store.publish(spark, rollup_dir, lambda p: p.service in chosen, new)

@@ -1,36 +1,24 @@
-"""Continuous hourly rollup with a bounded wait for late trips."""
+"""Continuous hourly rollup that waits for late trips, and corrects itself for those that come later.
+
+Each batch of new files is reduced to partial rollups by file month and hour, which are all the state
+there is: a row per hour and file. An hour comes out once the latest pick-up is ``delay`` past its end.
+When a late file reaches an hour that has come out, the hour comes out again, as a row of a higher
+``revision``. So the wait decides when an hour is first told, and nothing is ever dropped for coming
+after it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions import names
-from kerbside.operators.rollup import averaged, unit
+from kerbside.functions import clock
+from kerbside.operators.rollup import hourly_parts, merge_parts, parts_schema
 from kerbside.session import job_session
-from kerbside.sources.trips import canonicalise
+from kerbside.sources import paths
+from kerbside.sources.trips import scan_files
 from kerbside.spec import ServiceSpec
-
-MONTH = "[0-9][0-9][0-9][0-9]-[0-9][0-9]"
-
-
-def read_landing(
-    spark: SparkSession, landing: str, spec: ServiceSpec, files_per_batch: int | None = None
-) -> DataFrame:
-    """A stream of the columns a service's rollup reads, plus ``service`` and ``file_month``.
-
-    Finds files, folders of part files and ``key=value`` folders that are named like a month.
-    """
-    reader = spark.readStream.schema(spec.raw_schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    found = reader.parquet(f"{landing.rstrip('/')}/{{*=,}}{spec.table}_{MONTH}.parquet")
-    return canonicalise(found).withColumns(
-        {
-            "service": F.lit(spec.name),
-            "file_month": names.month_in_trip_path(F.col("_metadata.file_path")),
-        }
-    )
+from kerbside.streaming.ingest import FILES_PER_BATCH, stream_files
 
 
 def near_its_month(slack: str = "1 day") -> str:
@@ -42,30 +30,26 @@ def near_its_month(slack: str = "1 day") -> str:
     )
 
 
-def hourly_stream(trips: DataFrame, spec: ServiceSpec, delay: str = "1 hour") -> DataFrame:
-    """Hours closed by the watermark: pickup_hour, num_trips, averages, sums.
+def told_hours(parts: DataFrame, spec: ServiceSpec, revision: int, delay: str = "1 hour") -> DataFrame:
+    """What batch ``revision`` has to tell: hours that close with it, and closed ones it changes.
 
-    ``trips`` is a stream. State holds one row per open hour and is updated from partial aggregates.
-    An hour comes out once the latest pick-up is ``delay`` past its end; trips later than that are
-    dropped. Event time must be zoned, hence the cast: run it in a UTC session.
+    ``parts`` has the partial rollups of all batches up to this one. The event time before and after
+    the batch comes from the parts, so a batch that is run again tells the same.
     """
-    outputs = {"num_trips": "count(1)"}
-    outputs |= {
-        out: f"avg({value}){unit(out, spec)}" for out, value in averaged(trips, spec).items()
-    }
-    outputs |= {out: f"CAST(sum({source}) AS DOUBLE)" for out, source in spec.money.items()}
-    closed = (
-        trips.withColumn("event_time", F.expr("CAST(pickup_datetime AS TIMESTAMP)"))
-        .withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 hour"))
-        .agg(*(F.expr(f"{value} AS {out}") for out, value in outputs.items()))
+    latest = parts.agg(
+        F.expr(f"max(max_pickup) FILTER (WHERE revision < {revision}) - INTERVAL '{delay}'").alias("before"),
+        F.expr(f"max(max_pickup) - INTERVAL '{delay}'").alias("now"),
     )
-    named = {
-        "pickup_hour": "CAST(window.start AS TIMESTAMP_NTZ) AS pickup_hour",
-        "total_amount_payed": f"{' + '.join(spec.totalled)} AS total_amount_payed",
-    }
-    return closed.selectExpr(
-        f"'{spec.name}' AS service", *(named.get(c, c) for c in spec.rollup_columns)
+    changed = parts.groupBy("hour_number").agg(F.max(F.col("revision") == revision).alias("changed"))
+    hours = changed.selectExpr(f"{clock.hour_start('hour_number')} AS hour", "changed")
+    end = "pickup_hour + INTERVAL '1' HOUR"
+    # One row with two times, and at most a row per hour there is.
+    return (
+        merge_parts(parts, spec)
+        .join(hours, F.col("pickup_hour") == F.col("hour"))
+        .join(F.broadcast(latest))
+        .filter(f"{end} <= now AND (changed OR before IS NULL OR {end} > before)")
+        .drop("hour", "changed", "before", "now")
     )
 
 
@@ -77,31 +61,57 @@ def stream_hourly(
     checkpoint: str,
     delay: str = "1 hour",
     slack: str = "1 day",
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> int:
-    """Process the files that are there, append newly closed hours to ``output`` and stop.
+    """Process the files that are there, write what they have to tell to ``output`` and stop.
+
+    ``output`` has a folder per revision, which is the batch's number; :func:`latest_hours` reads it. A
+    batch that is run again replaces its folder. Partial rollups are kept in ``output`` + ``_parts``.
 
     Pick-ups farther than ``slack`` from their file's month, or without a time, would move the event
     time and so end the wait of all other hours. They go to ``output`` + ``_stray`` instead, whole;
     the number of them so far is returned.
     """
     job = job_session(spark)
-    stray = f"{output.rstrip('/')}_stray"
-    trips = read_landing(job, landing, spec)
-    aside = trips.filter(f"NOT {near_its_month(slack)}")
-    frames = {
-        output: hourly_stream(trips.filter(near_its_month(slack)), spec, delay),
-        stray: aside,
-    }
-    places = {output: f"{checkpoint}/hours", stray: f"{checkpoint}/stray"}
-    queries = [
-        frame.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", places[path])
+    base = output.rstrip("/")
+    stray, state = f"{base}_stray", f"{base}_parts"
+    state_schema = parts_schema().add("file_month", "string").add("service", "string").add("revision", "long")
+
+    def write(batch: DataFrame, revision: int) -> None:
+        files = [r.path for r in batch.collect()]  # files_per_batch at most
+        if not files:
+            return
+        session = batch.sparkSession
+
+        def put(df: DataFrame, folder: str) -> None:
+            df.write.mode("overwrite").parquet(f"{folder}/revision={revision}")
+
+        trips = scan_files(session, spec, files)
+        put(trips.filter(f"NOT {near_its_month(slack)}"), stray)
+        put(hourly_parts(trips.filter(near_its_month(slack)), spec, "file_month"), state)
+        parts = session.read.schema(state_schema).parquet(state).filter(F.col("revision") <= revision)
+        put(told_hours(parts, spec, revision, delay).coalesce(1), base)  # hours of the files' months
+
+    query = (
+        stream_files(job, landing, files_per_batch)
+        .filter(F.col("service") == spec.name)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
+        .queryName(f"hourly-{spec.name}")
         .start()
-        for path, frame in frames.items()
-    ]
-    for query in queries:
-        query.awaitTermination()
-    return job.read.schema(aside.schema).parquet(stray).count()
+    )
+    query.awaitTermination()
+    return job.read.parquet(stray).count() if paths.exists(job, stray) else 0
+
+
+def latest_hours(spark: SparkSession, output: str) -> DataFrame:
+    """Each hour as last told, with ``revision``."""
+    told = spark.read.parquet(output)
+    return told.groupBy("pickup_hour").agg(F.max_by(F.struct("*"), "revision").alias("r")).select("r.*")
+
+
+def corrections(spark: SparkSession, output: str) -> DataFrame:
+    """(pickup_hour, num_corrections) of hours that late files changed after they had come out."""
+    times = spark.read.parquet(output).groupBy("pickup_hour").agg((F.count(F.lit(1)) - 1).alias("num_corrections"))
+    return times.filter("num_corrections > 0")

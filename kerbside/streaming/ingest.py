@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions import names
-from kerbside.plans.cycle import Warehouse
+from kerbside.plans.warehouse import Warehouse
 from kerbside.plans.ingest import rows_of_load
 from kerbside.plans.refresh import refresh_parts
 from kerbside.session import job_session
