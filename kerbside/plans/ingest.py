@@ -187,7 +187,7 @@ def load_slices(
     load = store.claim(spark, trips_dir)
 
     def write(service: str) -> None:
-        store.write(read_slices(spark, SPECS[service], by_service[service]), trips_dir, load, "service", "file_month")
+        store.write(read_slices(spark, SPECS[service], by_service[service]), trips_dir, load, service)
 
     # Services are separate jobs with separate folders; started together, one fills the cluster
     # while the last tasks of another run.
@@ -207,7 +207,7 @@ def load_slices(
 
 def rows_of_load(spark: SparkSession, trips_dir: str, load: int) -> dict[Key, int]:
     """Rows a load wrote, by service and file month: one job that reads no column."""
-    folders = paths.glob(spark, f"{trips_dir.rstrip('/')}/service=*/file_month=*/load={load}")
+    folders = paths.glob(spark, f"{trips_dir.rstrip('/')}/service=*/load={load}/file_month=*")
     if not folders:
         return {}
     written = (

@@ -311,7 +311,7 @@ FROM trips GROUP BY service""",
 SELECT service, '{unit}' AS calendar_unit, date_part('{part}', pickup_hour)::INTEGER AS position,
   sum(num_trips)::BIGINT AS num_trips,
   CASE WHEN service <> 'fhv' THEN round(coalesce(sum(total_amount_payed), 0), 2) END AS total_amount_payed
-FROM served GROUP BY ALL"""
+FROM served GROUP BY service, position"""
             for unit, part in UNITS.items()
         )),
         "all_services_hourly": _with(TRIPS, HOURLY, EVERY_HOUR),

@@ -68,7 +68,7 @@ def refresh_parts(
         parts = hourly_parts(trips, spec, "file_month")
         merged = parts if merged is None else merged.unionByName(parts, allowMissingColumns=True)
     load = store.claim(spark, parts_dir)
-    store.write(merged, parts_dir, load, "service", "file_month")
+    store.write(merged, parts_dir, load)
     loads_now: dict[tuple[str, str], set[int]] = defaultdict(set)
     for piece in store.pieces(spark, trips_dir):
         loads_now[piece.key].add(piece.load)
@@ -129,7 +129,7 @@ def refresh_rollup(
         load = store.claim(spark, rollup_dir)
         merged = union_services([merge_parts(parts, SPECS[s]) for s in rebuilt])
         # 8,784 hours per service and year at most: one file each.
-        store.write(merged.repartition("service"), rollup_dir, load, "service")
+        store.write(merged.repartition("service"), rollup_dir, load)
         loads = {s: {p.load for p in read} for s, read in by_service.items()}
         new = [store.Piece(s, None, load, of=tuple(sorted(loads[s]))) for s in rebuilt]
         assert_unique_hours(store.read(spark, rollup_dir, rollup_schema(), new, "service"))

@@ -2,7 +2,7 @@
 
 For each service ``<service>_tripdata`` is a view of the live trips and ``<service>_hourly`` one of its
 rollup; ``hourly`` has all services. Behind them are external tables, ``<service>_loads`` and
-``hourly_loads``, whose partitions are the stores' pieces: (file_month, load) and (service, load). A
+``hourly_loads``, whose partitions are the stores' pieces: (load, file_month) and (service, load). A
 view names the pieces of one version, so bringing a name up to date is one statement, and a query sees
 the version before or the one after.
 """
@@ -68,14 +68,14 @@ def register(spark: SparkSession, warehouse: Warehouse, database: str) -> None:
     for service in SERVICES:
         table, schema = f"{database}.{service}_loads", SPECS[service].trip_schema
         own = {
-            _spec({"file_month": p.file_month, "load": p.load}): store.piece_dir(warehouse.trips, p)
+            _spec({"load": p.load, "file_month": p.file_month}): store.piece_dir(warehouse.trips, p)
             for p in trips
             if p.service == service
         }
         if not own:
             spark.sql(f"DROP VIEW IF EXISTS {database}.{service}_tripdata")
             continue
-        _external(spark, table, schema, "file_month string, load bigint", store.service_dir(warehouse.trips, service))
+        _external(spark, table, schema, "load bigint, file_month string", store.service_dir(warehouse.trips, service))
         gone = _bring_up(spark, table, own)
         _view(spark, f"{database}.{service}_tripdata", [*schema.names, "file_month"], table, sorted(own))
         _drop(spark, table, gone)

@@ -61,13 +61,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def partitions(spark: SparkSession, base: str, *keys: str) -> list[tuple[str, ...]]:
-    """Values of the partition folders ``base/key1=../key2=..`` that exist."""
-    pattern = "/".join([base.rstrip("/"), *(f"{key}=*" for key in keys)])
-    return [
-        tuple(part.split("=", 1)[1] for part in found.split("/")[-len(keys) :])
-        for found in glob(spark, pattern)
-    ]
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another place; what is above it is made."""
+    fs, source = _open(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"{path} could not be moved to {to}")
 
 
 def read_text(spark: SparkSession, path: str) -> str:

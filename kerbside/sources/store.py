@@ -1,6 +1,6 @@
 """Versioned stores: folders of parquet whose current files a small log names.
 
-A load writes to folders of its own, ``service=../[file_month=../]load=<number>``, and is seen by
+A load writes to folders of its own, ``service=../load=<number>[/file_month=..]``, and is seen by
 nobody until a new version of the log lists it; versions are whole lists of the live pieces. Nothing is
 overwritten: a frame read from one version answers the same after the next. What no retained version
 lists is removed by :func:`vacuum`.
@@ -59,7 +59,7 @@ def service_dir(root: str, service: str) -> str:
 
 def piece_dir(root: str, piece: Piece) -> str:
     month = f"/file_month={piece.file_month}" if piece.file_month else ""
-    return f"{service_dir(root, piece.service)}{month}/load={piece.load}"
+    return f"{service_dir(root, piece.service)}/load={piece.load}{month}"
 
 
 def _to_json(piece: Piece) -> str:
@@ -133,10 +133,22 @@ def read(
     return spark.read.schema(full).option("basePath", root).parquet(*folders).select(*wanted)
 
 
-def write(df: DataFrame, root: str, load: int, *partitions: str) -> None:
-    """Write a load's rows to its folders, which no version lists yet."""
-    numbered = df.withColumn("load", F.lit(load).cast("long"))
-    numbered.write.partitionBy(*partitions, "load").mode("append").parquet(root)
+def write(df: DataFrame, root: str, load: int, service: str | None = None) -> None:
+    """Write a load's rows to its folders, which no version lists yet.
+
+    Output folders are the load's own, so writers at work at the same time do not meet. Rows of one
+    service go to their place; those of several, with a column ``service``, are written by one job
+    beside it and their folders moved there.
+    """
+    months = [c for c in ("file_month",) if c in df.columns]
+    if service:
+        df.drop("service").write.partitionBy(*months).parquet(f"{service_dir(root, service)}/load={load}")
+        return
+    aside = f"{_log(root)}/writing-{load}"
+    df.write.partitionBy("service", *months).parquet(aside)
+    for entry in paths.entries(df.sparkSession, f"{aside}/service=*"):
+        paths.move(df.sparkSession, entry.path, f"{root.rstrip('/')}/{entry.name}/load={load}")
+    paths.delete(df.sparkSession, aside)
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = RETAINED) -> int:

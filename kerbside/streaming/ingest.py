@@ -100,7 +100,7 @@ def load_new_files(spark: SparkSession, trips_dir: str, found: dict[tuple[str, s
     for (service, _), sources in chosen.items():
         by_service[service] += sorted(map(_path, sources))
     for service, files in sorted(by_service.items()):
-        store.write(scan_files(spark, SPECS[service], files), trips_dir, load, "service", "file_month")
+        store.write(scan_files(spark, SPECS[service], files), trips_dir, load, service)
     rows = rows_of_load(spark, trips_dir, load)
     new = [
         store.Piece(*key, load, rows.get(key, 0), None, tuple(sorted(sources))) for key, sources in chosen.items()
@@ -143,7 +143,7 @@ def compact(spark: SparkSession, warehouse: Warehouse, pieces: int = 1) -> list[
         trips = job.read.option("basePath", warehouse.trips).option("mergeSchema", True).parquet(*folders)
         # The month's rows meet in one shuffle; a month of many files is split by the rows' hash.
         dealt = trips.drop("load").repartition("file_month", F.pmod(F.xxhash64("pickup_datetime"), F.lit(8)))
-        store.write(dealt, warehouse.trips, load, "service", "file_month")
+        store.write(dealt, warehouse.trips, load, service)
     rows = rows_of_load(job, warehouse.trips, load)
     new = []
     for key, old in chosen.items():

@@ -97,7 +97,7 @@ def test_old_versions_go_and_live_files_stay(spark, land):
         land("2024-01", [f"2024-01-{d:02d} 10:00" for d in range(1, day + 1)])
         report = run_cycle(spark, land.folder, small, "2024-02-01")
     assert sum(hours(report.rollup).values()) == 5 and len(stored(spark, small)) == 5
-    loads = list(Path(f"{small.trips}/service=fhv/file_month=2024-01").glob("load=*"))
+    loads = list(Path(f"{small.trips}/service=fhv").glob("load=*/file_month=2024-01"))
     assert len(loads) == 2 and len(store.versions(spark, small.trips)) == 2
 
 
