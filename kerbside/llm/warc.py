@@ -243,9 +243,10 @@ def read_bundles(manifest: DataFrame, payload: bool = False) -> DataFrame:
                             [pa.array([r[x] for r in rows], kinds.get(x, pa.string())) for x in names], names
                         )
 
-    # Few rows stand for much work, so their partitions must not be coalesced by size.
+    # Few rows stand for much work. Dealt in turn to a number of tasks given, they are not gathered again
+    # by size, and no earlier exchange passes for this one, as it may by key.
     tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bundles = manifest.select("bundle").distinct().repartition(tasks, "bundle")
+    bundles = manifest.select("bundle").distinct().repartition(tasks)
     return bundles.mapInArrow(run, schema)
 
 
