@@ -100,147 +100,17 @@ class AdditiveModel:
     coarse: list[np.ndarray] = field(default_factory=list)
     pairs: dict[tuple[int, int], np.ndarray] = field(default_factory=dict)
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """Probabilities of label 1 for rows of features."""
-        total = np.full(len(x), self.intercept)
-        for j, (edges, values) in enumerate(zip(self.edges, self.tables)):
-            total += values[np.searchsorted(edges, x[:, j], side="right")]
-        for (i, j), values in self.pairs.items():
-            total += values[self._coarse(x, i), self._coarse(x, j)]
-        return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
-
-    def _coarse(self, x: np.ndarray, j: int) -> np.ndarray:
-        return np.searchsorted(self.coarse[j], x[:, j], side="right")
-
-
-def _edges(values: np.ndarray, bins: int) -> np.ndarray:
-    return np.unique(np.quantile(values, np.linspace(0, 1, bins + 1)[1:-1]))
-
-
-def _tree(g: np.ndarray, h: np.ndarray, depth: int = 2) -> np.ndarray:
-    """A shallow tree over ordered bins: each bin's leaf value, from gradient and weight sums."""
-    value = np.full(len(g), g.sum() / (h.sum() + SMOOTH))
-    if depth == 0 or len(g) < 2:
-        return value
-    gl, hl = np.cumsum(g)[:-1], np.cumsum(h)[:-1]
-    gr, hr = g.sum() - gl, h.sum() - hl
-    gain = gl**2 / (hl + SMOOTH) + gr**2 / (hr + SMOOTH)
-    at = int(gain.argmax()) + 1
-    if gain[at - 1] <= g.sum() ** 2 / (h.sum() + SMOOTH) + 1e-9:
-        return value
-    return np.concatenate([_tree(g[:at], h[:at], depth - 1), _tree(g[at:], h[at:], depth - 1)])
-
-
-def _pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
-    """A tree that cuts the first feature once and each side once by the second; its gain."""
-    best, found = None, -1.0
-    for a in range(1, max(2, len(g))):
-        sides = [(g[:a].sum(0), h[:a].sum(0)), (g[a:].sum(0), h[a:].sum(0))]
-        leaves = [_tree(sg, sh, 1) for sg, sh in sides]
-        gain = sum(float((leaf * sg).sum()) for leaf, (sg, _) in zip(leaves, sides))
-        if gain > found:
-            best, found = (a, leaves), gain
-    a, leaves = best
-    return np.concatenate([np.tile(leaves[0], (a, 1)), np.tile(leaves[1], (len(g) - a, 1))])[: len(g)], found
-
-
-def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
-    """Cyclic boosting of single features, then of the most telling pairs."""
-    if not len(y):
-        return AdditiveModel()
-    rate = (y.sum() + 0.5) / (len(y) + 1)
-    model = AdditiveModel(intercept=float(np.log(rate / (1 - rate))))
-    if y.min() == y.max():
-        return model
-    k = x.shape[1]
-    model.edges = [_edges(x[:, j], BINS) for j in range(k)]
-    model.coarse = [_edges(x[:, j], PAIR_BINS) for j in range(k)]
-    model.tables = [np.zeros(len(e) + 1) for e in model.edges]
-    bins = [np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(model.edges)]
-    total = np.full(len(y), model.intercept)
-
-    def sums(index: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        p = 1 / (1 + np.exp(-total))
-        return np.bincount(index, y - p, size), np.bincount(index, p * (1 - p), size)
-
-    for _ in range(ROUNDS):
-        for j in range(k):
-            step = STEP * _tree(*sums(bins[j], len(model.tables[j])))
-            model.tables[j] += step
-            total += step[bins[j]]
-    coarse = [model._coarse(x, j) for j in range(k)]
-    shapes = [len(e) + 1 for e in model.coarse]
-
-    def grid(i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        index = coarse[i] * shapes[j] + coarse[j]
-        g, h = sums(index, shapes[i] * shapes[j])
-        return index, g.reshape(shapes[i], -1), h.reshape(shapes[i], -1)
-
-    gains = {(i, j): _pair_tree(*grid(i, j)[1:])[1] for i in range(k) for j in range(i + 1, k)}
-    chosen = sorted(gains, key=gains.get, reverse=True)[:PAIRS]
-    model.pairs = {(i, j): np.zeros((shapes[i], shapes[j])) for i, j in chosen}
-    for _ in range(PAIR_ROUNDS):
-        for i, j in chosen:
-            index, g, h = grid(i, j)
-            step = STEP * _pair_tree(g, h)[0]
-            model.pairs[i, j] += step
-            total += step.ravel()[index]
-    return model
-
-
-def text_features(docs: DataFrame, *keep: str) -> DataFrame:
-    """The kept columns and ``x``, the features of ``text``."""
-    names = [*keep, "x"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = [features(t.as_py()) for t in batch.column(len(keep))]
-            kept = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(x, pa.list_(pa.float64()))], names)
-
-    chosen = docs.select(*keep, F.col("text").cast("binary"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[:-1])
-    return chosen.mapInArrow(run, f"{schema}, x array<double>" if schema else "x array<double>")
-
-
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Column | None = None) -> AdditiveModel:
-    """Fit on at most ``SAMPLE`` labelled documents among the labels that ``learn`` lets through."""
-    usable = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-    if learn is not None:
-        usable = usable.filter(learn)
-    labelled = usable.select("doc_id", F.col(label).cast("double").alias("y")).distinct()
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(SAMPLE)
-    # SAMPLE rows at most, which bounds what is broadcast.
-    chosen = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(sample), "doc_id")
-    same = text_features(chosen, "doc_id", "y", "h").groupBy("doc_id", "y", "h")
-    matched = settled(same.agg(F.first("x").alias("x")), "quality-matched")
-    first = matched.groupBy("doc_id", "y").agg(F.min("h").alias("first"))
-    rows = (
-        matched.join(F.broadcast(first), ["doc_id", "y"])
-        .orderBy(F.col("h") != F.col("first"), F.xxhash64("doc_id", "h"), "doc_id", "y", "h")
-        .limit(2 * SAMPLE)
-        .select("doc_id", "y", "x")
-        .toArrow()
-    )
-    x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
-    y = rows.column("y").to_numpy()
-    order = np.lexsort((*x.T, y, rows.column("doc_id").to_numpy()))  # the order of arrival varies
-    return fit(x[order], y[order])
-
-
-def score(docs: DataFrame, model: AdditiveModel) -> DataFrame:
-    """The documents with ``score``, the probability of label 1."""
+    def score(docs: DataFrame, model: AdditiveModel, column: str = "score") -> DataFrame:
+    """The documents with ``column``, the probability of label 1; a column of that name is replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([features(t.cast(pa.binary()).as_py()) for t in batch.column("text")])
             scores = model.score(x.reshape(-1, len(FEATURES)))
-            columns = [c for n, c in zip(batch.schema.names, batch.columns) if n != "score"]
-            names = [n for n in batch.schema.names if n != "score"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, column])
 
-    kept = docs.drop("score")
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())]))
+    kept = docs.drop(column)
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def learns() -> Column:
@@ -251,9 +121,10 @@ def learns() -> Column:
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, with their own columns."""
     model = train(docs, labels, learn=learns())
-    scored = score(docs.withColumnRenamed("score", "own_score") if "score" in docs.columns else docs, model)
-    kept = scored.filter(F.col("score") >= threshold).drop("score")
-    return kept.withColumnRenamed("own_score", "score") if "score" in docs.columns else kept
+    column = "quality_score"
+    while column in map(str.lower, docs.columns):
+        column = f"_{column}"
+    return score(docs, model, column).filter(F.col(column) >= threshold).drop(column)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -171,6 +171,34 @@ def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_
     )
 
 
+def sharded_documents(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOTS) -> DataFrame:
+    """The documents whole, with the columns of :func:`shard_documents`, which replace their own.
+
+    Loads come from a narrow pass. Then every document goes once to its virtual slot's task, as it must
+    to be written by shard; no task sorts more than one slot at a time.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    added = {
+        "size": record_size(),
+        "text_crc32": F.crc32(text),
+        "virtual_slot": virtual_slot("doc_id", "text", n_slots),
+    }
+    new = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "rebalanced_shard"]
+    own = [c for c in docs.columns if c.lower() not in {"doc_id", *new}]
+    records = docs.select("doc_id", *own).withColumns(added)
+    loads = settled(slot_loads(records.select("virtual_slot", "size")), "slot-loads")
+    slot_map = settled(first_map(loads, n_shards), "slot-map-v0")
+    grown_map = settled(rebalance(slot_map, loads, n_shards + 1), "slot-map-v1")
+    to = grown_map.select("virtual_slot", F.col("shard").alias("rebalanced_shard"))
+    clash = {"before"} & {c.lower() for c in own}
+    renamed = records.withColumnsRenamed({c: f"_own_{c}" for c in own if c.lower() in clash})
+    placed = assign(renamed, slot_map, loads, "doc_id", "text_crc32", "size")
+    placed = placed.withColumnsRenamed({f"_own_{c}": c for c in own if c.lower() in clash})
+    constants = {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    # At most one row per slot.
+    return placed.join(F.broadcast(to), "virtual_slot").withColumns(constants).select("doc_id", *new, *own)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 39, bytes near equal, and where they go with a 41st shard."""
     return shard_documents(table(spark, sf_dir, "documents"))
