@@ -139,7 +139,7 @@ WITH parts AS (
   FROM keyed WHERE host <> '' AND len(paths) > 0 AND {_MD5.format("'path:' || list_max(paths)")} % 8 = 0
 ), keys AS (
   SELECT page_id, fetched_at, unnest(list_distinct(list_concat(paths,
-           list_transform(range(1, len(labels)), lambda i: array_to_string(labels[i:], '.'))))) AS k
+           list_transform(range(1, greatest(len(labels) - 1, 1) + 1), lambda i: array_to_string(labels[i:], '.'))))) AS k
   FROM keyed WHERE host <> ''
 ), matched AS (
   SELECT page_id, string_agg(DISTINCT l || ':' || k, ',' ORDER BY l || ':' || k) AS matches
