@@ -1,15 +1,12 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-The mix is a schedule of slots of ``block`` words each. Slot i takes the point frac(i * golden
-ratio) and the source whose span of cumulative weights holds it, so every stretch of the schedule
-is close to the weights. The r-th slot of a source takes block r of that source's shuffled stream
-of documents; after the last block the stream starts again, ``MAX_EPOCHS`` times at most. Documents
-meet the schedule in a join of their pieces with the blocks that slots took.
-
-Blocks grow with the corpus, so a source whose target is fewer than ``LEAST_SLOTS`` of them is cut into
-blocks of its own, as many for its target. Its slots lie evenly along the schedule and the last one
-takes what its target still lacks, so it ends on its target at any size of the corpus. The others end
-within a few of their blocks of it.
+The mix is a schedule of slots. Slot i takes the point frac(i * golden ratio) and the source whose span of
+cumulative weights holds it, so every stretch of the schedule is close to the weights. A source with n
+slots cuts its target into n + 1 parts: n blocks of equal size, one to each slot in order, and what its
+target then lacks, which one closing slot takes at the schedule's end. So every source, whatever its size,
+has its own block size and ends on its target to the word. Blocks follow one another along the source's
+shuffled stream of documents, which starts again after its last word, ``MAX_EPOCHS`` times at most.
+Documents meet the schedule in a join of their pieces with the blocks that slots took.
 
 Nulls and edges: a null text has no words and is never taken, a null source is a source of its own
 and the last, a null identifier is shuffled as the empty one, repeated rows count each. An empty
@@ -24,9 +21,8 @@ from pyspark.sql import functions as F
 from kerbside.llm.common import id_text, md5_number, settled, table, words
 
 MAX_EPOCHS = 3
-SLOTS = 2**16  # the schedule's length, more or less, at any size of the corpus
+SLOTS = 2**16  # the schedule's length at any size of the corpus
 SLOTS_PER_SOURCE = 64
-LEAST_SLOTS = 1024  # slots of a target under which a source has blocks of its own
 CHUNKS_PER_ROOT = 4  # chunks of the shuffle per square root of the number of documents
 GOLDEN = 0.6180339887498949
 CELLS = 4096
@@ -39,7 +35,10 @@ def sized_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
         "source",
         F.xxhash64("text").alias("text_hash"),
         F.size(words(F.col("text"))).cast("long").alias("size"),
-        md5_number(F.concat(F.lit(f"{seed}:"), id_text("doc_id"))).alias("place"),
+        # Of identifier and text, so that documents that share one spread all the same.
+        md5_number(
+            F.concat_ws(":", F.lit(str(seed)), id_text("doc_id"), F.md5(F.coalesce("text", F.lit(""))))
+        ).alias("place"),
     )
 
 
@@ -81,12 +80,11 @@ def source_targets(sized: DataFrame) -> DataFrame:
     )
 
 
-def schedule(spark: SparkSession, targets: DataFrame, n_slots: int, block: int) -> DataFrame:
-    """(slot, source_no, rank, block_no, epoch): which block each slot takes.
+def schedule(spark: SparkSession, targets: DataFrame, n_slots: int) -> DataFrame:
+    """(slot, source_no, rank): whose turn each slot is, and its number among its source's slots.
 
     Points and spans meet in cells of [0, 1), an equi-join. Ranks are counted in chunks of slots
-    and the chunks' counts summed, so no task holds all slots of a source. Slots beyond a source's
-    last epoch stay out.
+    and the chunks' counts summed, so no task holds all slots of a source.
     """
     last = CELLS - 1
     spans = targets.filter("hi > lo").withColumn(
@@ -95,8 +93,6 @@ def schedule(spark: SparkSession, targets: DataFrame, n_slots: int, block: int)
             f"explode(sequence(least({last}, int(lo * {CELLS})), least({last}, int(hi * {CELLS}))))"
         ),
     )
-    n_blocks = F.expr(f"(source_size + {block - 1}) div {block}")
-    spans = spans.select("source_no", "lo", "hi", "cell", n_blocks.alias("n_blocks"))
     points = (
         spark.range(n_slots)
         .withColumnRenamed("id", "slot")
@@ -104,6 +100,7 @@ def schedule(spark: SparkSession, targets: DataFrame, n_slots: int, block: int)
         .withColumn("cell", F.expr(f"least({last}, int(point * {CELLS}))"))
         .withColumn("chunk", F.expr("slot div 1024"))
     )
+    spans = spans.select("source_no", "lo", "hi", "cell")
     held = points.join(spans, "cell").filter("lo <= point AND point < hi")
     counts = held.groupBy("source_no", "chunk").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(
@@ -116,49 +113,54 @@ def schedule(spark: SparkSession, targets: DataFrame, n_slots: int, block: int)
     return (
         held.withColumn("own", own)
         .join(offsets, ["source_no", "chunk"])
-        .withColumn("rank", F.col("offset") + F.col("own") - 1)
-        .selectExpr("slot", "source_no", "rank", "rank % n_blocks AS block_no", "rank div n_blocks AS epoch")
-        .filter(F.col("epoch") < MAX_EPOCHS)
+        .selectExpr("slot", "source_no", "offset + own - 1 AS rank")
+    )
+
+
+def with_blocks(targets: DataFrame, scheduled: DataFrame) -> DataFrame:
+    """The targets with ``wanted`` words, the source's number of slots ``n_slots`` and its ``block``."""
+    counts = scheduled.groupBy("source_no").agg(F.count(F.lit(1)).alias("n_slots"))
+    return (
+        targets.join(counts, "source_no", "left")
+        .withColumn("n_slots", F.coalesce("n_slots", F.lit(0)))
+        .withColumn("wanted", F.expr("CAST(round(target) AS BIGINT)"))
+        .withColumn("block", F.expr("wanted div (n_slots + 1)"))
     )
 
 
-def own_blocks(targets: DataFrame, block: int) -> DataFrame:
-    """The targets with ``own_block``, the words of a source's blocks, and whether it is ``fine``."""
-    fine = F.col("target") < LEAST_SLOTS * block
-    own = F.when(fine, F.expr(f"greatest(1L, floor(target / {LEAST_SLOTS}))")).otherwise(F.lit(block))
-    return targets.withColumns({"fine": fine, "own_block": own.cast("long")})
+def blocks(scheduled: DataFrame, sources: DataFrame, n_slots: int) -> DataFrame:
+    """(slot, source_no, rank, since, until): the words of the source's endless stream a slot takes."""
+    closing = sources.selectExpr(f"{n_slots} + source_no AS slot", "source_no", "n_slots AS rank")
+    return (
+        scheduled.unionByName(closing)
+        .join(sources.select("source_no", "n_slots", "wanted", "block"), "source_no")
+        .withColumn("since", F.expr("rank * block"))
+        .withColumn("until", F.expr("CASE WHEN rank = n_slots THEN wanted ELSE since + block END"))
+        .filter("until > since")
+        .select("slot", "source_no", "rank", "since", "until")
+    )
 
 
-def own_schedule(targets: DataFrame, n_slots: int) -> DataFrame:
-    """(slot, source_no, rank, block_no, epoch, part) of the sources that are ``fine``.
+def taken_words(taken: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source_no, cell, spans): what slots take of each cell of a source's stream.
 
-    ``part`` is null where a slot takes its block whole, else the words that it takes of the block's
-    start: the last slot's, which ends on the target. A source has some 2,000 slots at most; the golden
-    ratio sets the sources apart.
+    Blocks are cut where the stream starts again, and at the borders of cells, which are as long as the
+    source's blocks. A cell meets a few spans, two for each time the stream is gone through.
     """
     return (
-        targets.filter("fine AND source_size > 0")
-        .repartition("source_no")
-        .selectExpr(
-            "source_no",
-            "own_block",
-            "(source_size + own_block - 1) div own_block AS n_blocks",
-            "CAST(round(target) AS BIGINT) div source_size AS whole",
-            "CAST(round(target) AS BIGINT) % source_size AS rest",
-        )
-        .withColumn("n", F.expr("whole * n_blocks + (rest + own_block - 1) div own_block"))
-        .filter("n > 0")
-        .withColumn("rank", F.expr("explode(sequence(0L, n - 1))"))
-        .withColumns({"block_no": F.expr("rank % n_blocks"), "epoch": F.expr("rank div n_blocks")})
-        .withColumn("left", F.expr("rest - block_no * own_block"))
+        taken.join(sources.select("source_no", "source_size", "block"), "source_no")
+        .withColumn("epoch", F.expr("explode(sequence(since div source_size, (until - 1) div source_size))"))
+        .withColumn("lo", F.expr("greatest(since - epoch * source_size, 0L)"))
+        .withColumn("hi", F.expr("least(until - epoch * source_size, source_size)"))
+        .withColumn("width", F.expr("greatest(block, 1L)"))
+        .withColumn("cell", F.expr("explode(sequence(lo div width, (hi - 1) div width))"))
         .selectExpr(
-            f"floor((rank + source_no * {GOLDEN!r}D % 1) / n * {n_slots}) AS slot",
             "source_no",
-            "rank",
-            "block_no",
-            "epoch",
-            "CASE WHEN epoch = whole AND left < own_block THEN left END AS part",
+            "cell",
+            "struct(greatest(lo, cell * width) AS lo, least(hi, (cell + 1) * width) AS hi) AS span",
         )
+        .groupBy("source_no", "cell")
+        .agg(F.collect_list("span").alias("spans"))
     )
 
 
@@ -175,8 +177,11 @@ def streams(sized: DataFrame, targets: DataFrame, n_docs: int) -> DataFrame:
     numbered = (
         sized.filter("size > 0")
         .alias("d")
-        .join(targets.select("source_no", "source", "own_block").alias("t"), F.expr("d.source <=> t.source"))
-        .select("d.*", "source_no", "own_block", F.expr(f"place div {width}").alias("chunk"))
+        .join(
+            targets.select("source_no", "source", "source_size", "wanted", "block").alias("t"),
+            F.expr("d.source <=> t.source"),
+        )
+        .select("d.*", "source_no", "source_size", "wanted", "block", F.expr(f"place div {width}").alias("chunk"))
     )
     sums = numbered.groupBy("source_no", "chunk").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(
@@ -187,7 +192,7 @@ def streams(sized: DataFrame, targets: DataFrame, n_docs: int) -> DataFrame:
     )
     own = F.sum("size").over(
         Window.partitionBy("source_no", "chunk")
-        .orderBy("place", "doc_id", "size")
+        .orderBy("place", "doc_id", "size", "text_hash")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
@@ -199,14 +204,17 @@ def streams(sized: DataFrame, targets: DataFrame, n_docs: int) -> DataFrame:
 
 
 def pieces(streamed: DataFrame) -> DataFrame:
-    """Documents cut at their source's block borders: adds (block_no, since, words)."""
+    """Documents cut at the borders of their source's cells: adds (cell, lo, hi).
+
+    Of a source that is not gone through once, only what the mix reaches is cut.
+    """
     return (
-        streamed.withColumn(
-            "block_no",
-            F.expr("explode(sequence(start div own_block, (start + size - 1) div own_block))"),
-        )
-        .withColumn("since", F.expr("greatest(start, block_no * own_block)"))
-        .withColumn("words", F.expr("least(start + size, (block_no + 1) * own_block) - since"))
+        streamed.withColumn("reach", F.expr("least(start + size, wanted)"))
+        .filter("start < reach")
+        .withColumn("width", F.expr("greatest(block, 1L)"))
+        .withColumn("cell", F.expr("explode(sequence(start div width, (reach - 1) div width))"))
+        .withColumn("lo", F.expr("greatest(start, cell * width)"))
+        .withColumn("hi", F.expr("least(reach, (cell + 1) * width)"))
     )
 
 
@@ -217,35 +225,25 @@ def mix(docs: DataFrame, slots: int = SLOTS, seed: int = 0) -> DataFrame:
     """
     spark = docs.sparkSession
     sized = settled(sized_documents(docs, seed), "mix-sized")
-    total = sized.agg(
-        F.coalesce(F.sum("size"), F.lit(0)).alias("words"), F.count(F.lit(1)).alias("docs")
-    ).first()
+    n_docs = sized.count()
     targets = settled(source_targets(sized), "mix-targets")
     n_slots = max(slots, SLOTS_PER_SOURCE * targets.count())
-    block = max(1, total.words // n_slots)
-    n_slots = -(-total.words // block)
-    targets = own_blocks(targets, block)
-    shared = schedule(spark, targets.filter("NOT fine"), n_slots, block)
-    taken_blocks = (
-        shared.withColumn("part", F.lit(None).cast("long"))
-        .unionByName(own_schedule(targets, n_slots))
-        .groupBy("source_no", "block_no")
-        .agg(F.count_if(F.col("part").isNull()).alias("uses"), F.max("part").alias("part"))
-    )
-    ended = F.expr("greatest(0L, least(since + words, block_no * own_block + part) - since)")
+    scheduled = settled(schedule(spark, targets, n_slots), "mix-schedule")
+    sources = settled(with_blocks(targets, scheduled), "mix-sources")
+    spans = taken_words(blocks(scheduled, sources, n_slots), sources)
+    streamed = streams(sized, sources, n_docs)
+    both = "aggregate(spans, 0L, (a, s) -> a + greatest(0L, least(hi, s.hi) - greatest(lo, s.lo)))"
     used = (
-        pieces(streams(sized, targets, total.docs))
-        .join(taken_blocks, ["source_no", "block_no"], "left")
+        pieces(streamed)
+        .join(spans, ["source_no", "cell"])
+        .withColumn("words", F.expr(both))
         .groupBy("source_no", "start", "doc_id", "source", "text_hash", "size")
-        .agg(
-            F.sum(
-                F.col("words") * F.coalesce("uses", F.lit(0))
-                + F.when(F.col("part").isNotNull(), ended).otherwise(0)
-            ).alias("taken")
-        )
+        .agg(F.sum("words").alias("taken"))
         .drop("source_no", "start")
     )
-    none = sized.filter("size = 0").drop("place").withColumn("taken", F.lit(0).cast("long"))
+    # Without words, or beyond what the mix reaches.
+    none = streamed.filter("start >= wanted").select("doc_id", "source", "text_hash", "size")
+    none = none.unionByName(sized.filter("size = 0").drop("place")).withColumn("taken", F.lit(0).cast("long"))
     return (
         used.unionByName(none)
         .alias("d")
@@ -257,30 +255,34 @@ def mix(docs: DataFrame, slots: int = SLOTS, seed: int = 0) -> DataFrame:
 def mixed_documents(docs: DataFrame, slots: int = SLOTS, seed: int = 0) -> DataFrame:
     """The documents as often as the mix takes them, to the nearest whole copy, none to three.
 
-    Repeated rows are told apart by their number among the rows of one identifier and text.
+    A text is shuffled once, to its copies. Only rows of an identifier and text that occur more than
+    once are told apart by their number among them.
     """
-    same = Window.partitionBy("_mx_id", "_mx_hash")
-    copies = (
-        mix(docs, slots, seed)
-        .selectExpr(
-            "doc_id AS _mx_id",
-            "text_hash AS _mx_hash",
-            "source",
-            "CASE WHEN size > 0 THEN int(floor(taken / size + 0.5D)) ELSE 0 END AS _mx_copies",
-        )
-        .withColumn("_mx_no", F.row_number().over(same.orderBy("source", "_mx_copies")))
-        .filter("_mx_copies > 0")
-        .drop("source")
-        .withColumnsRenamed({"_mx_id": "_mx_i", "_mx_hash": "_mx_h", "_mx_no": "_mx_n"})
+    taken = mix(docs, slots, seed).selectExpr(
+        "doc_id AS _mx_i",
+        "text_hash AS _mx_h",
+        "CASE WHEN size > 0 THEN int(floor(taken / size + 0.5D)) ELSE 0 END AS _mx_copies",
     )
-    numbered = docs.withColumns({"_mx_id": F.col("doc_id"), "_mx_hash": F.xxhash64("text")}).withColumn(
-        "_mx_no", F.row_number().over(same.orderBy("source"))
+    held = settled(
+        taken.groupBy("_mx_i", "_mx_h").agg(
+            F.count(F.lit(1)).alias("_mx_rows"),
+            F.sort_array(F.collect_list(F.struct("_mx_copies"))).alias("_mx_list"),
+        ),
+        "mix-copies",
     )
-    on = F.expr("_mx_id <=> _mx_i AND _mx_hash = _mx_h AND _mx_no = _mx_n")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    hashed = docs.withColumns({"_mx_id": F.col("doc_id"), "_mx_hash": F.xxhash64("text")})
+    on = F.expr("_mx_id <=> _mx_i AND _mx_hash = _mx_h")
+    once = hashed.join(held.filter("_mx_rows = 1 AND _mx_list[0]._mx_copies > 0"), on)
+    same = Window.partitionBy("_mx_id", "_mx_hash").orderBy("source")
+    several = hashed.join(held.filter("_mx_rows > 1"), on).withColumn("_mx_no", F.row_number().over(same))
     return (
-        numbered.join(copies, on)
-        .withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.col("_mx_copies"))))
-        .select(*(F.col(f"`{c}`") for c in docs.columns))
+        once.withColumn("_mx_no", F.lit(1))
+        .unionByName(several)
+        .withColumn("_mx_times", F.expr("_mx_list[_mx_no - 1]._mx_copies"))
+        .filter("_mx_times > 0")
+        .withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.col("_mx_times"))))
+        .select(*columns)
     )
 
 

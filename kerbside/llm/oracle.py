@@ -43,7 +43,7 @@ FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 OP5 = rf"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{TOKEN}'))::BIGINT AS size,
-         ('0x' || md5('0:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS place
+         ('0x' || md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')))[1:8])::BIGINT AS place
   FROM documents
 ), sizes AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -62,32 +62,35 @@ lefts AS (
   SELECT *, (sum(target) OVER upto - target) / sum(target) OVER () AS lo,
          sum(target) OVER upto / sum(target) OVER () AS hi
   FROM aimed WINDOW upto AS (ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-), counts AS (
-  SELECT sum(size)::BIGINT AS words,
-         greatest(1, sum(size)::BIGINT // greatest(65536, 64 * (SELECT count(*) FROM sizes))) AS block
-  FROM sized
 ), slots AS (
-  SELECT unnest(range((words + block - 1) // block)) AS slot FROM counts
+  SELECT unnest(range(greatest(65536, 64 * (SELECT count(*) FROM sizes)))) AS slot
 ), points AS (SELECT slot, slot * 0.6180339887498949::DOUBLE - floor(slot * 0.6180339887498949::DOUBLE) AS u FROM slots),
 ranked AS (
-  SELECT no, row_number() OVER (PARTITION BY no ORDER BY slot) - 1 AS rank,
-         (source_size + block - 1) // block AS n_blocks
-  FROM points JOIN spans ON lo <= u AND u < hi, counts
-), uses AS (
-  SELECT no, rank % n_blocks AS block_no, count(*) AS uses FROM ranked
-  WHERE rank // n_blocks < 3 GROUP BY ALL
+  SELECT no, row_number() OVER (PARTITION BY no ORDER BY slot) - 1 AS rank FROM points JOIN spans ON lo <= u AND u < hi
+), blocked AS (
+  SELECT a.no, source_size, coalesce(n, 0) AS n, round(target)::BIGINT AS wanted, round(target)::BIGINT // (coalesce(n, 0) + 1) AS block
+  FROM aimed a LEFT JOIN (SELECT no, count(*) AS n FROM ranked GROUP BY no) USING (no)
+), blocks AS (
+  SELECT no, rank * block AS since, (rank + 1) * block AS until, source_size FROM ranked JOIN blocked USING (no)
+  UNION ALL SELECT no, n * block, wanted, source_size FROM blocked
+), epochs AS (
+  SELECT no, source_size, since, until, unnest(range(since // source_size, (until - 1) // source_size + 1)) AS e
+  FROM blocks WHERE until > since
+), cut AS (
+  SELECT no, greatest(since - e * source_size, 0) AS lo, least(until - e * source_size, source_size) AS hi FROM epochs
+), runs AS (
+  -- Blocks follow one another: the words before each border that are in an epoch's blocks.
+  SELECT no, b, sum(d) OVER (PARTITION BY no ORDER BY b) AS times,
+         lead(b, 1, b) OVER (PARTITION BY no ORDER BY b) AS next
+  FROM (SELECT no, b, sum(d) AS d FROM (SELECT no, lo AS b, 1 AS d FROM cut UNION ALL SELECT no, hi, -1 FROM cut) GROUP BY ALL)
 ), streamed AS (
   SELECT row_number() OVER () AS r, d.*, no, source_size, target,
          sum(size) OVER (PARTITION BY no ORDER BY place, doc_id NULLS FIRST, size
                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT - size AS start
   FROM sized d JOIN spans s ON d.source IS NOT DISTINCT FROM s.source
-), pieces AS (
-  SELECT r, no, unnest(range(start // block, (start + size - 1) // block + 1))::BIGINT AS block_no, block, start, size
-  FROM streamed, counts WHERE size > 0
 ), taken AS (
-  SELECT r, sum((least(start + size, (block_no + 1) * block) - greatest(start, block_no * block))
-                * coalesce(uses, 0))::BIGINT AS taken
-  FROM pieces LEFT JOIN uses USING (no, block_no) GROUP BY r
+  SELECT r, sum((least(start + size, next) - greatest(start, b)) * times)::BIGINT AS taken
+  FROM streamed JOIN runs ON runs.no = streamed.no AND b < start + size AND next > start GROUP BY r
 )
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, source
 FROM streamed LEFT JOIN taken USING (r)

@@ -84,22 +84,77 @@ def test_own_blocks_end_inside_a_block(spark):
     for s in "ab":
         mine = [r for r in got if r.source == s]
         assert sum(r.taken for r in mine) == round(mine[0].target) and mine[0].target < 3 * mine[0].source_size
-    targets = mixing.own_blocks(mixing.source_targets(mixing.sized_documents(make(spark, rows))), 406)
-    slots = mixing.own_schedule(targets, 128).collect()
-    for no in {r.source_no for r in slots}:
-        mine = sorted((r for r in slots if r.source_no == no), key=lambda r: r["rank"])
-        assert [r["rank"] for r in mine] == list(range(len(mine))) and len(mine) >= mixing.LEAST_SLOTS
-        assert all(0 <= r.slot < 128 + 1 for r in mine)
-        seen = Counter(r.slot // 8 for r in mine)
-        assert max(seen.values()) - min(seen.values()) <= 0.05 * len(mine)
-        assert all(r.part is None for r in mine[:-1])
+    targets = mixing.source_targets(mixing.sized_documents(make(spark, rows)))
+    scheduled = mixing.schedule(spark, targets, 128)
+    sources = mixing.with_blocks(targets, scheduled)
+    slots = mixing.blocks(scheduled, sources, 128).collect()
+    assert sorted(r.slot for r in slots) == list(range(130))
+    for r in sources.collect():
+        mine = sorted((x for x in slots if x.source_no == r.source_no), key=lambda x: x.slot)
+        assert [x["rank"] for x in mine] == list(range(r.n_slots + 1))
+        # Equal blocks one after the other, the closing slot up to the target.
+        assert [x.since for x in mine] == [i * r.block for i in range(len(mine))]
+        assert all(x.until == x.since + r.block for x in mine[:-1])
+        assert mine[-1].until == round(r.target) and r.block <= mine[-1].until - mine[-1].since <= r.block + r.n_slots
+
+
+def plain_mix(rows, slots):
+    """Words taken by document, by walking along the schedule slot by slot and word by word."""
+    import hashlib
+
+    sizes, targets = plain_targets(rows)
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    total, edges, at = sum(targets.values()), [], 0.0
+    for s in order:
+        edges.append((at / total, (at + targets[s]) / total, s))
+        at += targets[s]
+    turns = Counter()
+    for i in range(slots):
+        u = i * mixing.GOLDEN % 1
+        turns.update([s for lo, hi, s in edges if lo <= u < hi])
+    taken = Counter()
+    for s in order:
+        mine = [(i, t, k) for k, (i, t, x) in enumerate(rows) if x == s and (t or "").split()]
+        md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+        mine.sort(key=lambda r: (int(md5(f"0:{'' if r[0] is None else r[0]}:{md5(r[1])}")[:8], 16), r[0] is not None, r[0], len(r[1].split())))
+        words = [k for _, t, k in mine for _ in t.split()]
+        wanted, n, place = round(targets[s]), turns[s], 0
+        for slot in range(n + 1):
+            for _ in range(wanted - place if slot == n else wanted // (n + 1)):
+                taken[words[place % len(words)]] += 1
+                place += 1
+    return taken
+
+
+@pytest.mark.parametrize("slots", [64 * 6, 2000])
+def test_equals_a_walk_along_the_schedule(spark, rows, slots):
+    """Sources on both sides of a thousand blocks, one far below its slots, one at its cap."""
+    some = [*rows[:300], (801, "z " * 9000, "big"), (802, "q", "one"), (803, "w v", "two")]
+    some = list({(i, t): (i, t, s) for i, t, s in some}.values())  # repeated rows are taken in any order
+    got = mixing.mix(make(spark, some), slots=slots).collect()
+    number = {(i, t): k for k, (i, t, _) in enumerate(some)}
+    texts = {r.doc_id: t for i, t, _ in some for r in got if r.doc_id == i}
+    expected = plain_mix(some, slots)
+    for r in got:
+        if r.doc_id is not None:
+            assert r.taken == expected[number[r.doc_id, texts[r.doc_id]]]
+    assert sum(r.taken for r in got) == sum(expected.values())
+
+
+def test_documents_without_identifier_spread(spark):
+    """A third of the rows share the null identifier; no chunk of the shuffle holds them together."""
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN id END AS doc_id", "concat('w ', id) AS text", "'a' AS source", "'x' AS shard", "'y' AS taken"
+    )
+    places = mixing.sized_documents(df).groupBy("place").count()
+    assert places.agg(F.max("count")).first()[0] <= 3
 
 
 def test_schedule_is_even_everywhere(spark, rows):
     """Every stretch of the schedule is close to the weights."""
     targets = mixing.source_targets(mixing.sized_documents(make(spark, rows)))
     share = {r.source_no: r.hi - r.lo for r in targets.collect()}
-    slots = mixing.schedule(spark, targets, 5000, 1).orderBy("slot").collect()
+    slots = mixing.schedule(spark, targets, 5000).orderBy("slot").collect()
     for at in range(0, len(slots) - 500, 500):
         seen = Counter(r.source_no for r in slots[at : at + 500])
         assert all(abs(seen[s] - 500 * p) <= 8 for s, p in share.items())
@@ -179,3 +234,15 @@ def test_shards_come_with_the_grown_map(spark, rows):
 
 def test_shards_of_nothing(spark):
     assert sharding.shard_documents(make(spark, [])).count() == 0
+
+
+def test_sharded_documents_stay_whole(spark, rows):
+    df = make(spark, rows).withColumns({"before": F.lit(3), "lang": F.lit("en")})
+    got = sharding.sharded_documents(df, n_shards=7)
+    narrow = sharding.shard_documents(df, n_shards=7)
+    assert got.columns[:9] == narrow.columns and got.columns[9:] == ["text", "source", "taken", "before", "lang"]
+    rows_ = lambda x: sorted(map(str, x.collect()))
+    assert rows_(got.select(narrow.columns)) == rows_(narrow)
+    have = sorted(((i, t, s, "y", 3, "en") for i, t, s in rows), key=str)
+    assert sorted(map(tuple, got.select("doc_id", "text", "source", "taken", "before", "lang").collect()), key=str) == have
+    assert sharding.sharded_documents(make(spark, [])).count() == 0
