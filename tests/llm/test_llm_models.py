@@ -219,3 +219,55 @@ def test_lm_edges(spark):
 def test_lm_beats_its_unigrams_on_held_out_documents(spark):
     got = lm.op4_lm_scoring(spark, SF).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
+
+
+def plain_features(text):
+    """The features of a text, one by one from their definition."""
+    raw = (text or "").encode()
+    if not raw:
+        return [0.0] * len(quality.FEATURES)
+    n = len(raw)
+    lower = bytes(c + 32 if 65 <= c <= 90 else c for c in raw)
+    words, lines = re.findall(rb"[^ \t-\r]+", lower), [x for x in raw.split(b"\n") if re.search(rb"[^ \t-\r]", x)]
+    pairs = list(zip(words, words[1:]))
+    share = [
+        sum(chr(c).isalpha() or c >= 128 for c in raw), sum(65 <= c <= 90 for c in raw),
+        sum(48 <= c <= 57 for c in raw), sum(c == 32 or 9 <= c <= 13 for c in raw),
+        *(sum(c < 128 and chr(c) in s for c in raw) for s in (".,;:?", "!", "|<>{}[]\\^~_=+/", "#$%&*@", "\"'()-`")),
+        sum(c == 10 for c in raw),
+    ]
+    return [
+        *(x / n for x in share), math.log(1 + n), sum(map(len, words)) / len(words) if words else 0,
+        sum(len(w) > 15 for w in words) / len(words) if words else 0, len(set(words)) / max(1, len(words)) ** 0.75,
+        len(set(pairs)) / max(1, len(pairs)), len(set(lines)) / max(1, len(lines)),
+        math.log(1 + len(words) / max(1, len(lines))), -sum(c / n * math.log2(c / n) for c in Counter(raw).values()),
+    ]
+
+
+def test_features_and_bins_against_plain_recomputation(spark):
+    rng = random.Random(8)
+    texts = [None, "", " \n", "Aé ß!", "one", "a\n\nb b\tc", "x" * 40 + " Y", "1|2 <z> $5 \"q\""]
+    texts += ["".join(rng.choices("abc DE1\n.,!#|'é", k=rng.randint(1, 400))) for _ in range(80)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    for t in texts:
+        assert quality.features(None if t is None else t.encode()) == pytest.approx(plain_features(t))
+    x = np.array([quality.features(None if t is None else t.encode()) for t in texts])
+    model = quality.fit(x, (x[:, 0] > np.median(x[:, 0])).astype(float))
+    got = {r.doc_id: r.score for r in quality.score(make(spark, rows), model).collect()}
+    for i, v in enumerate(x):
+        total = model.intercept + sum(
+            float(t[sum(1 for e in edges if v[f] >= e)]) for f, (edges, t) in enumerate(zip(model.edges, model.tables))
+        )
+        for (a, b), t in model.pairs.items():
+            p, q = (sum(1 for e in model.coarse[f] if v[f] >= e) for f in (a, b))
+            total += float(t[p][q])
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+
+
+def test_quality_with_any_column_names(spark):
+    rows = [(i, "good clean words here " * 5 if i % 2 else "### $$$ %%%" * 9, "en") for i in range(60)]
+    lab = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    docs = make(spark, rows).selectExpr("*", "1 AS own_score", "2 AS quality_score", "3 AS `_quality_score`", "4 AS shard")
+    kept = quality.keep_good(docs, lab)
+    assert kept.columns == docs.columns
+    assert {(r.score, r.own_score, r.quality_score, r["_quality_score"], r.shard) for r in kept.collect()} == {(0.5, 1, 2, 3, 4)}

@@ -51,7 +51,7 @@ def rows():
 @pytest.mark.parametrize(("least", "shards", "bits"), [(20, 3, 2**24), (7, 4, 2**12), (20, 1, 64), (100, 2, 2**24)])
 def test_equals_plain_counting(spark, rows, least, shards, bits):
     df = spark.createDataFrame([(i, t, g, "x", 1) for i, (t, g) in enumerate(rows)], SCHEMA).repartition(3)
-    got = phrases.collocations(*phrases.phrase_counts(df, least=least, shards=shards, bits=bits))
+    got = phrases.collocations(*phrases.phrase_counts(df, least=least, shards=shards, bits=bits, chunk=1500))
     assert sorted(map(tuple, got.collect())) == plain(rows, least)
 
 

@@ -149,3 +149,19 @@ def test_single_and_no_document(spark):
     assert len(one) == 1 and one[0].near_next == 1.0
     assert one[0].edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
     assert fingerprint.edited_likeness(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_hosts_of_one_label_in_query_and_sql(spark, tmp_path):
+    """Listed hosts without a dot match their captures, in the query as in its SQL."""
+    import compare
+    from kerbside.llm import oracle
+
+    hosts = ["localhost", "spamhost", "intranet", "a", "b", "c", "d", "x.spam.org", "spam.org", ""]
+    urls = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/p/q", "/p?x=1")]
+    rows = [(i, u, "x") for i, u in enumerate(urls * 20)] + [(9000, None, "x")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = urlfilter.op8_url_filters(spark, str(tmp_path)).toPandas()
+    con = compare.duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert compare.difference(got, con.sql(oracle.ORACLES["op8_url_filters"]).df()) is None
+    assert got[got.host == "spamhost"].blocked.all() and got.matches.str.contains("hosts:").any()

@@ -81,3 +81,20 @@ def test_no_pages(spark, tmp_path):
     none = spark.createDataFrame([], PAGES)
     manifest = warc.write_bundles(warc.mark_revisits(none), warc.as_uri(str(tmp_path)))
     assert manifest.count() == 0 and warc.read_bundles(manifest).count() == 0
+
+
+@pytest.mark.parametrize("tasks", [2, 4, 7])
+def test_bundles_are_read_back_in_many_tasks(spark, rows, tmp_path, monkeypatch, tasks):
+    """As many tasks as there are bundles, or partitions, also where their numbers agree."""
+    monkeypatch.setattr(warc, "BUNDLE_BYTES", 2000)
+    pages = spark.createDataFrame([(*r, "x", "y") for r in rows], PAGES).repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    try:
+        manifest = warc.write_bundles(warc.mark_revisits(pages), warc.as_uri(str(tmp_path)))
+        busy = warc.read_bundles(manifest).select(F.spark_partition_id().alias("p")).distinct().count()
+        bundles = manifest.select("bundle").distinct().count()
+        assert bundles > 1 and busy == min(bundles, tasks)
+        assert warc.read_bundles(manifest).count() == len(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
