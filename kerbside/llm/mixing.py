@@ -266,20 +266,21 @@ def mixed_documents(docs: DataFrame, slots: int = SLOTS, seed: int = 0) -> DataF
     held = settled(
         taken.groupBy("_mx_i", "_mx_h").agg(
             F.count(F.lit(1)).alias("_mx_rows"),
-            F.sort_array(F.collect_list(F.struct("_mx_copies"))).alias("_mx_list"),
+            # How many of the rows are taken at least once, twice, ...
+            *(F.count_if(F.col("_mx_copies") >= n).alias(f"_mx_{n}") for n in range(1, MAX_EPOCHS + 1)),
         ),
         "mix-copies",
-    )
+    ).filter("_mx_1 > 0")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     hashed = docs.withColumns({"_mx_id": F.col("doc_id"), "_mx_hash": F.xxhash64("text")})
     on = F.expr("_mx_id <=> _mx_i AND _mx_hash = _mx_h")
-    once = hashed.join(held.filter("_mx_rows = 1 AND _mx_list[0]._mx_copies > 0"), on)
+    once = hashed.join(held.filter("_mx_rows = 1"), on)
     same = Window.partitionBy("_mx_id", "_mx_hash").orderBy("source")
     several = hashed.join(held.filter("_mx_rows > 1"), on).withColumn("_mx_no", F.row_number().over(same))
     return (
         once.withColumn("_mx_no", F.lit(1))
         .unionByName(several)
-        .withColumn("_mx_times", F.expr("_mx_list[_mx_no - 1]._mx_copies"))
+        .withColumn("_mx_times", F.expr(" + ".join(f"int(_mx_no <= _mx_{n})" for n in range(1, MAX_EPOCHS + 1))))
         .filter("_mx_times > 0")
         .withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.col("_mx_times"))))
         .select(*columns)
