@@ -116,6 +116,12 @@ def test_edits_and_likeness(spark, rows, monkeypatch, bucket):
         assert 0 <= r.near_next <= 1
         prints.setdefault(text_of[r.doc_id, r.n_chars], set()).add(r.fingerprint)
     assert all(len(p) == 1 for p in prints.values())
+    own = {text: next(iter(p)) for text, p in prints.items()}
+    near = [
+        (str(i), len(text or ""), round(dice(own[text or ""], own[after or ""]), 9))
+        for (i, text), (_, after) in zip(order, order[1:] + order[:1])
+    ]
+    assert sorted((str(r.doc_id), r.n_chars, round(r.near_next, 9)) for r in got) == sorted(near)
 
 
 def test_anchors_are_closed_syncmers(spark, rows):
