@@ -1,18 +1,25 @@
 """Phrase collocations by dynamic itemset counting.
 
-Documents are dealt to ``SHARDS`` shards, which are scanned one after the other, round and round. All
-words are counted from the start. A longer phrase becomes active as soon as both its subphrases, all
-words but the last and all but the first, have been counted ``least`` times, however far their own
-counts have come; it is counted in the shards from there on and is complete after one full cycle, when
-it has seen every shard once. So phrases of different lengths are counted in the same scans, and the
+Texts are cut into words once and dealt to ``SHARDS`` shards, which are scanned one after the other, round
+and round. All words are counted from the start. A longer phrase becomes active as soon as both its
+subphrases, all words but the last and all but the first, have been counted ``least`` times, however far
+their own counts have come; it is counted in the shards from there on and is complete after one full cycle,
+when it has seen every shard once. So phrases of different lengths are counted in the same scans, and the
 scans end with the first after which no phrase is left incomplete. Counts never shrink as a phrase
 loses words, so no phrase that reaches ``least`` is missed.
 
 A scan finds in its texts which phrases to count by two bit tables of fixed size, broadcast: hashes of
 all phrases that have reached ``least``, and of those that did so within the last cycle. A phrase whose
-parts are all in the first and not both complete is emitted, once per batch with its count. False hits
-cost time only: an exact join of the shard's counts with the phrases reached follows, and gives each
-phrase the scan at which it became active.
+parts are all in the first and not both complete is counted, under its 64-bit hash. A false hit may count
+a phrase outside its cycle, which changes nothing: its count in a shard is the same whenever the shard is
+scanned, and is taken once per shard.
+
+Which phrases have reached ``least`` is asked after every scan. One that has must have an equal share of it
+in some shard at least, so phrases without such a count anywhere are passed over before they are gathered:
+by a bit table once more, a join with a frame of fixed size. Only counts of the others are shuffled again.
+
+Hashes only choose. A last scan of all shards spells out the phrases that have reached ``least`` and counts
+them as they are spelled, so what is returned is exact.
 
 Everything is per language, a null one ``und``. Nulls and edges: null and empty texts have no words;
 repeated rows count each; an empty table gives no rows. Identifiers and extra columns are not read.
@@ -29,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,12 +48,16 @@ LONGEST = 5
 LEAST = 100
 SCALE = 1000
 TOP = 2000
-TABLE_BITS = 2**24  # of each bit table
+TABLE_BITS = 2**24  # of each bit table of a scan
+SIFT_BITS = 2**22  # of the one that sifts counts
 SEED = 42
 #: ASCII letters in lower case, and one mark for all that ends a piece. No word holds the mark.
 MARK = b"."
 SPELLED = bytes.maketrans(bytes(range(65, 91)) + b",;:!?\n\v\f\r", bytes(range(97, 123)) + MARK * 9)
-COUNTS = "lang string, phrase binary, n_words int, n long"
+HASHED = "hash long, n_words int, n long"
+SPELLED_OUT = "lang string, phrase binary, n_words int, n long"
+CHUNK = 2**23  # bytes of text that are cut into words together
+CHUNKS = "lang string, words array<binary>, hashes binary, codes binary, shard int"
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -54,7 +66,7 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def word_hash(lang: str) -> Callable[[bytes], int]:
-    """What Spark's ``xxhash64(lang, word)`` gives, unsigned."""
+    """A language's words as 64-bit hashes."""
     seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
     return lambda word: xxhash.xxh64_intdigest(word, seed)
 
@@ -64,12 +76,6 @@ def joined_hash(head: np.ndarray, word: np.ndarray) -> np.ndarray:
     return head << np.uint64(7) ^ head >> np.uint64(57) ^ word
 
 
-#: The same in SQL, of ``lang`` and ``phrase``.
-PHRASE_HASH = (
-    "aggregate(split(phrase, ' '), 0L, (h, w) -> shiftleft(h, 7) ^ shiftrightunsigned(h, 57) ^ xxhash64(lang, w))"
-)
-
-
 class BitTable:
     """Which hashes are in a set, with false hits and no false misses."""
 
@@ -81,72 +87,145 @@ class BitTable:
         return self.table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
 
 
-def count_phrases(
-    texts: list[bytes], lang: str, words: bool, reached: BitTable, recent: BitTable, longest: int
-) -> Iterator[pa.RecordBatch]:
-    """Rows of ``COUNTS``, of the phrases to count in texts of one language, one per phrase.
-
-    Phrases of n words are pairs of overlapping phrases of n - 1, kept as numbers; they are spelled out
-    once per different phrase.
-    """
+def chunk_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The different words of some texts, ``MARK`` first, and the texts as numbers of words."""
     flat = tokens(b" . ".join(texts))
     number: dict[bytes, int] = defaultdict(lambda: len(number))
     number[MARK]
-    at = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
-    spelled = pa.array(list(number), pa.binary())
-    # Numbers 1 and up are words; ``kinds`` are the different phrases by a first place of each.
-    place = np.nonzero(at)[0]
-    code = at[place] - 1
-    kinds, occurrences = np.arange(1, len(number)), np.bincount(code, minlength=len(number) - 1)
-    counted = np.full(len(kinds), words)
-    of_word = hashes = None
-    for n in range(1, longest + 1):
-        if counted.any():
-            ids = [kinds[counted]] if n == 1 else [at[first[counted] + i] for i in range(n)]
-            phrase = pc.binary_join_element_wise(*(spelled.take(pa.array(i)) for i in ids), b" ")
-            total = int(counted.sum())
-            yield pa.RecordBatch.from_arrays(
+    codes = np.fromiter(map(number.__getitem__, flat), np.int32, len(flat))
+    return list(number), codes
+
+
+def chunks(docs: DataFrame, shards: int = SHARDS, size: int = CHUNK) -> DataFrame:
+    """Rows of ``CHUNKS``: the texts of a task cut into words, some ``size`` bytes of a language to a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[bytes]] = defaultdict(list)
+        sizes: dict[str, int] = defaultdict(int)
+        shard = TaskContext.get().partitionId()
+
+        def flush(lang: str) -> pa.RecordBatch:
+            nonlocal shard
+            words, codes = chunk_of(held.pop(lang))
+            sizes.pop(lang)
+            hashes = np.fromiter(map(word_hash(lang), words), np.uint64, len(words))
+            shard += 1
+            return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang]).take(pa.array(np.zeros(total, np.int64))),
-                    phrase,
-                    pa.array(np.full(total, n, np.int32)),
-                    pa.array(occurrences[counted]),
+                    pa.array([lang]), pa.array([words], pa.list_(pa.binary())), pa.array([hashes.tobytes()]),
+                    pa.array([codes.tobytes()]), pa.array([shard % shards], pa.int32()),
                 ],
-                ["lang", "phrase", "n_words", "n"],
-            )
-        if reached.empty or n == longest or not len(kinds):
+                ["lang", "words", "hashes", "codes", "shard"],
+            )
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                held[lang].append(text.as_py())
+                sizes[lang] += len(held[lang][-1])
+                if sizes[lang] >= size:
+                    yield flush(lang)
+                elif sum(sizes.values()) >= 4 * size:
+                    yield flush(max(sizes, key=sizes.get))
+        for lang in sorted(held):
+            yield flush(lang)
+
+    texts = docs.select(
+        F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    )
+    return texts.mapInArrow(run, CHUNKS)
+
+
+def places_of_phrases(
+    hashes: np.ndarray, codes: np.ndarray, reached: BitTable, longest: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(n, places, hashes, of_parts) of the phrases of two words and more whose parts are all known.
+
+    ``of_parts`` are the hashes of the two subphrases. Hashes are put together place by place.
+    """
+    place = np.nonzero(codes)[0]
+    of_word = np.zeros(len(codes), np.uint64)
+    of_word[place] = hashed = hashes[codes[place]]
+    for n in range(2, longest + 1):
+        known = reached.holds(hashed)
+        # Places where a phrase of n - 1 words and its neighbour one word on are both known.
+        both = np.nonzero((place[1:] == place[:-1] + 1) & known[1:] & known[:-1])[0]
+        if not len(both):
             return
-        if n == 1:
-            hashes = np.fromiter(map(word_hash(lang), list(number)[1:]), np.uint64, len(kinds))
-            of_word = np.concatenate([np.zeros(1, np.uint64), hashes])
-        else:
-            hashes = joined_hash(hashes[kinds // base], of_word[at[first + n - 1]])
-        known, fresh, base = reached.holds(hashes), recent.holds(hashes), len(kinds)
-        # Places where a phrase of n words and its neighbour one word on are both known.
-        both = np.nonzero((place[1:] == place[:-1] + 1) & known[code[1:]] & known[code[:-1]])[0]
-        place, code = place[both], code[both] * base + code[both + 1]
-        kinds, first, code, occurrences = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        first = place[first]
-        counted = fresh[kinds // base] | fresh[kinds % base]
-
-
-def scan_shard(
-    shard: DataFrame, words: bool, reached: BitTable, recent: BitTable, longest: int
-) -> DataFrame:
-    """(lang, phrase, n_words, n): one row per phrase to count of the shard."""
+        parts = np.stack([hashed[both], hashed[both + 1]])
+        place, hashed = place[both], joined_hash(hashed[both], of_word[place[both] + n - 1])
+        yield n, place, hashed, parts
+
+
+def _chunk(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray]]:
+    for lang, words, hashes, codes in zip(*batch.columns[:4]):
+        yield lang.as_py(), words.values, np.frombuffer(hashes.as_py(), np.uint64), np.frombuffer(codes.as_py(), np.int32)
+
+
+def scan_shard(shard: DataFrame, start: bool, reached: BitTable, recent: BitTable, longest: int) -> DataFrame:
+    """(hash, n_words, n): one row per phrase to count of the shard's chunks.
+
+    ``start`` is for scans that count words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(hashes: np.ndarray, n: int, occurrences: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(hashes.view(np.int64)), pa.array(np.full(len(hashes), n, np.int32)),
+                    pa.array(occurrences.astype(np.int64)),
+                ],
+                ["hash", "n_words", "n"],
+            )
+
         for batch in batches:
-            by_lang: dict[str, list[bytes]] = defaultdict(list)
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by_lang[lang].append(text)
-            for lang, texts in by_lang.items():
-                yield from count_phrases(texts, lang, words, reached, recent, longest)
-
-    counts = shard.mapInArrow(run, COUNTS).groupBy("lang", "phrase", "n_words")
-    return counts.agg(F.sum("n").alias("n")).select(
-        "lang", F.col("phrase").cast("string").alias("phrase"), "n_words", "n"
-    )
+            for _, _, hashes, codes in _chunk(batch):
+                if start:
+                    yield told(hashes[1:], 1, np.bincount(codes, minlength=len(hashes))[1:])
+                if recent.empty:
+                    continue
+                for n, _, hashed, parts in places_of_phrases(hashes, codes, reached, longest):
+                    counted = recent.holds(parts[0]) | recent.holds(parts[1])
+                    kinds, occurrences = np.unique(hashed[counted], return_counts=True)
+                    yield told(kinds, n, occurrences)
+
+    return shard.mapInArrow(run, HASHED).groupBy("hash", "n_words").agg(F.sum("n").alias("n"))
+
+
+def spelled_out(held: DataFrame, reached: BitTable, longest: int) -> DataFrame:
+    """(lang, phrase, n_words, n) of phrases whose hash is known, and all words under no phrase of 0 words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, words, hashes, codes in _chunk(batch):
+
+                def told(phrases: pa.Array, n: int, occurrences: np.ndarray, lang=lang) -> pa.RecordBatch:
+                    total = len(phrases)
+                    return pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([lang]).take(pa.array(np.zeros(total, np.int64))), phrases,
+                            pa.array(np.full(total, n, np.int32)), pa.array(occurrences.astype(np.int64)),
+                        ],
+                        ["lang", "phrase", "n_words", "n"],
+                    )
+
+                counts = np.bincount(codes, minlength=len(hashes))
+                counts[0] = 0
+                yield told(pa.array([b""], pa.binary()), 0, counts.sum(keepdims=True))
+                known = np.nonzero(reached.holds(hashes) & (counts > 0))[0]
+                yield told(words.take(pa.array(known)), 1, counts[known])
+                for n, place, hashed, _ in places_of_phrases(hashes, codes, reached, longest):
+                    at = place[reached.holds(hashed)]
+                    code = codes[at].astype(np.int64)
+                    for i in range(1, n):  # numbers of phrases one word longer, from those of the heads
+                        kinds, first, code, occurrences = np.unique(
+                            code * len(words) + codes[at + i],
+                            return_index=True, return_inverse=True, return_counts=True,
+                        )
+                    ids = [pa.array(codes[at[first] + i]) for i in range(n)]
+                    yield told(pc.binary_join_element_wise(*map(words.take, ids), b" "), n, occurrences)
+
+    counts = held.mapInArrow(run, SPELLED_OUT).groupBy("lang", "phrase", "n_words").agg(F.sum("n").alias("n"))
+    return counts.select("lang", F.col("phrase").cast("string").alias("phrase"), "n_words", "n")
 
 
 def _part(first: str, length: str) -> str:
@@ -154,27 +233,33 @@ def _part(first: str, length: str) -> str:
     return f"array_join(slice(split(phrase, ' '), {first}, {length}), ' ')"
 
 
-def active(counts: DataFrame, reached: DataFrame, scan: int, shards: int) -> DataFrame:
-    """The counts with ``since``, the scan at which a phrase became active, of those not complete.
+def totals(counted: list[DataFrame], least: int, shards: int) -> DataFrame:
+    """(hash, n_words): phrases counted ``least`` times in some scans, each shard taken once.
 
-    ``reached`` is (lang, phrase, at). Words are active from the start.
+    Only phrases that have ``least / shards`` in some shard can be. Their bits are a frame of at most
+    ``SIFT_BITS / 64`` rows, which bounds what is broadcast; what it lets through is gathered.
     """
-    words = counts.filter("n_words = 1").withColumn("since", F.lit(0))
-    longer = counts.filter("n_words > 1").selectExpr(
-        "*", f"{_part('1', 'n_words - 1')} AS head", f"{_part('2', 'n_words - 1')} AS tail"
+    every = reduce(DataFrame.unionByName, counted)
+    heavy = (
+        every.filter(F.col("n") >= -(-least // shards))
+        .select(F.expr(f"hash & {SIFT_BITS - 1}L").alias("at"))
+        .groupBy(F.shiftright("at", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, int(at & 63)))").alias("set"))
+    )
+    sifted = (
+        every.withColumn("word", F.expr(f"shiftright(hash & {SIFT_BITS - 1}L, 6)"))
+        .join(F.broadcast(heavy), "word")
+        .filter("(shiftrightunsigned(set, int(hash & 63)) & 1L) = 1")
     )
-    for part in ("head", "tail"):
-        known = reached.selectExpr("lang", f"phrase AS {part}", f"at AS {part}_at")
-        longer = longer.join(known, ["lang", part])
-    longer = longer.withColumn("since", F.greatest("head_at", "tail_at")).select(*words.columns)
-    return words.unionByName(longer).filter(f"since > {scan - shards}")
+    by_shard = [f"coalesce(max(n) FILTER (WHERE shard = {s}), 0L)" for s in range(shards)]
+    found = sifted.groupBy("hash", "n_words").agg(F.expr(f"{' + '.join(by_shard)} AS f"))
+    return found.filter(F.col("f") >= least).select("hash", "n_words")
 
 
 def set_bits(phrases: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
     """The phrases' bits as bytes; at most ``bits`` positions reach the driver, as words of 64 bits."""
-    at = F.expr(f"{PHRASE_HASH} & {bits - 1}L")
     words = (
-        phrases.select(at.alias("at"))
+        phrases.select(F.expr(f"hash & {bits - 1}L").alias("at"))
         .groupBy(F.shiftright("at", 6).cast("int").alias("word"))
         .agg(F.expr("bit_or(shiftleft(1L, int(at & 63)))").alias("set"))
         .toArrow()
@@ -185,23 +270,18 @@ def set_bits(phrases: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
 
 
 def phrase_counts(
-    docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, bits: int = TABLE_BITS
+    docs: DataFrame,
+    least: int = LEAST,
+    longest: int = LONGEST,
+    shards: int = SHARDS,
+    bits: int = TABLE_BITS,
+    chunk: int = CHUNK,
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n_words, f) of all phrases that occur ``least`` times, and (lang, n) of all words."""
     spark = docs.sparkSession
     folder = scratch_dir(spark, "phrase-shards")
-    (
-        docs.select(
-            F.coalesce("lang", F.lit("und")).alias("lang"),
-            F.coalesce("text", F.lit("")).cast("binary").alias("text"),
-            # Written out with the rows, so that each has one shard whatever is run again.
-            (F.monotonically_increasing_id() % shards).cast("int").alias("shard"),
-        )
-        .write.partitionBy("shard")
-        .parquet(folder)
-    )
-    held = spark.read.schema("lang string, text binary, shard int").parquet(folder)
-    none = spark.createDataFrame([], "lang string, phrase string, n_words int, at int")
+    chunks(docs, shards, chunk).write.partitionBy("shard").parquet(folder)
+    held = spark.read.schema(CHUNKS).parquet(folder)
     counted: list[DataFrame] = []
     reached: list[DataFrame] = []
     tables: list[np.ndarray] = []  # of the last cycle's scans, of phrases that can make others active
@@ -209,31 +289,23 @@ def phrase_counts(
     known = recent = BitTable(all_bits)
     scan = 0
     while scan < shards or not recent.empty:
-        part = held.filter(F.col("shard") == scan % shards).select("lang", "text")
-        every = reduce(DataFrame.unionByName, reached, none)
+        part = held.filter(F.col("shard") == scan % shards)
         counts = scan_shard(part, scan < shards, known, recent, longest)
-        counted.append(settled(active(counts, every, scan, shards), f"phrases-{scan}"))
-        # Phrases still in their cycle have all their counts in the last scans.
-        lately = [c.withColumn("now", F.lit(i == scan)) for i, c in enumerate(counted) if i > scan - shards]
-        total = (
-            reduce(DataFrame.unionByName, lately)
-            .filter(f"since > {scan - shards}")
-            .groupBy("lang", "phrase", "n_words")
-            .agg(F.sum("n").alias("n"), F.expr("coalesce(sum(n) FILTER (WHERE NOT now), 0)").alias("before"))
-        )
-        new = total.filter(f"n >= {least} AND before < {least}")
+        counted.append(settled(counts.withColumn("shard", F.lit(scan % shards)), f"phrases-{scan}"))
+        # A phrase that has just become complete has its counts in the last scans.
+        now = totals(counted[-shards:], least, shards)
+        if reached:
+            now = now.join(reduce(DataFrame.unionByName, reached), ["hash", "n_words"], "left_anti")
+        reached.append(settled(now, f"phrases-reached-{scan}"))
         scan += 1
-        new = new.select("lang", "phrase", "n_words", F.lit(scan).alias("at"))
-        reached.append(settled(new, f"phrases-reached-{scan}"))
         tables = [*tables, set_bits(reached[-1].filter(f"n_words < {longest}"), bits)][-shards:]
         all_bits = all_bits | tables[-1]
         known, recent = BitTable(all_bits), BitTable(np.bitwise_or.reduce(tables))
-    every = settled(
-        reduce(DataFrame.unionByName, counted).groupBy("lang", "phrase", "n_words").agg(F.sum("n").alias("f")),
-        "phrase-counts",
-    )
-    words = settled(every.filter("n_words = 1").groupBy("lang").agg(F.sum("f").alias("n")), "phrase-words")
-    return every.filter(f"f >= {least}"), words
+    whole = all_bits | set_bits(reduce(DataFrame.unionByName, reached), bits)
+    found = settled(spelled_out(held, BitTable(whole), longest), "phrase-counts")
+    words = found.filter("n_words = 0").select("lang", "n")
+    frequent = found.filter(f"n_words > 0 AND n >= {least}").withColumnRenamed("n", "f")
+    return frequent, settled(words.filter("n > 0"), "phrase-words")
 
 
 def collocations(frequent: DataFrame, words: DataFrame, top: int = TOP, scale: int = SCALE) -> DataFrame:
