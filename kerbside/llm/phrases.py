@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import settled, table
 from kerbside.session import scratch_dir
+from kerbside.sources import paths
 
 SHARDS = 3
 LONGEST = 5
@@ -282,7 +283,7 @@ def phrase_counts(
     folder = scratch_dir(spark, "phrase-shards")
     chunks(docs, shards, chunk).write.partitionBy("shard").parquet(folder)
     held = spark.read.schema(CHUNKS).parquet(folder)
-    counted: list[DataFrame] = []
+    counted: list[tuple[str, DataFrame]] = []  # of the last cycle's scans, with their folders
     reached: list[DataFrame] = []
     tables: list[np.ndarray] = []  # of the last cycle's scans, of phrases that can make others active
     all_bits = np.zeros(bits // 8, np.uint8)
@@ -291,9 +292,14 @@ def phrase_counts(
     while scan < shards or not recent.empty:
         part = held.filter(F.col("shard") == scan % shards)
         counts = scan_shard(part, scan < shards, known, recent, longest)
-        counted.append(settled(counts.withColumn("shard", F.lit(scan % shards)), f"phrases-{scan}"))
-        # A phrase that has just become complete has its counts in the last scans.
-        now = totals(counted[-shards:], least, shards)
+        counts = counts.withColumn("shard", F.lit(scan % shards))
+        place = scratch_dir(spark, f"phrases-{scan}")
+        counts.write.parquet(place)
+        counted.append((place, spark.read.schema(counts.schema).parquet(place)))
+        # A phrase that has just become complete has its counts in the last scans; older ones can go.
+        if len(counted) > shards:
+            paths.delete(spark, counted.pop(0)[0])
+        now = totals([c for _, c in counted], least, shards)
         if reached:
             now = now.join(reduce(DataFrame.unionByName, reached), ["hash", "n_words"], "left_anti")
         reached.append(settled(now, f"phrases-reached-{scan}"))
@@ -303,6 +309,8 @@ def phrase_counts(
         known, recent = BitTable(all_bits), BitTable(np.bitwise_or.reduce(tables))
     whole = all_bits | set_bits(reduce(DataFrame.unionByName, reached), bits)
     found = settled(spelled_out(held, BitTable(whole), longest), "phrase-counts")
+    for place in (folder, *(place for place, _ in counted)):
+        paths.delete(spark, place)
     words = found.filter("n_words = 0").select("lang", "n")
     frequent = found.filter(f"n_words > 0 AND n >= {least}").withColumnRenamed("n", "f")
     return frequent, settled(words.filter("n > 0"), "phrase-words")
