@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.clock import month_label
+from kerbside.session import job_session
 from kerbside.spec import SPECS, ServiceSpec
 
 # Columns the adapters read; declaring them saves the job that infers a schema.
@@ -88,25 +89,37 @@ def _raw_columns(spec: ServiceSpec) -> list[str]:
     return [f"{_RAW_SOURCE.get(c, c)} AS {c}" for c in spec.raw_schema.fieldNames()]
 
 
+FILE_SIZE = "128m"
 # Month whose file holds a trip. By request time, so a file can hold next month's pick-up.
 FILE_MONTH = month_label("request_datetime")
 
 
+def write_files(trips: DataFrame, folder: str) -> None:
+    """Write trips to a folder for each value of their column ``file``.
+
+    A month's part files follow its size, not how many tasks have seen its trips.
+    """
+    trips.hint("rebalance", "file").write.partitionBy("file").mode("append").parquet(folder)
+
+
+def landing_session(spark: SparkSession) -> SparkSession:
+    """A session whose :func:`write_files` makes part files of some ``FILE_SIZE`` in the shuffle."""
+    job = job_session(spark)
+    job.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", FILE_SIZE)
+    return job
+
+
 def write_landing(spark: SparkSession, sf_dir: str, landing: str, services: list[str]) -> None:
     """Write the services' trips as monthly raw files, one job per service.
 
     Months are folders named ``file={table}_{YYYY-MM}.parquet``.
     """
+    job = landing_session(spark)
     for service in services:
         spec = SPECS[service]
-        source = trips(spark, sf_dir).filter(F.col("service") == service)
+        source = trips(job, sf_dir).filter(F.col("service") == service)
         name = f"concat('{spec.table}_', {FILE_MONTH}, '.parquet') AS file"
-        (
-            source.selectExpr(*_raw_columns(spec), name)
-            .write.partitionBy("file")
-            .mode("append")
-            .parquet(landing)
-        )
+        write_files(source.selectExpr(*_raw_columns(spec), name), landing)
 
 
 # Metric name and value of each sample an event yields: counters that reset, and two gauges.

@@ -6,10 +6,11 @@ from datetime import datetime
 import pytest
 from conftest import plan_of
 from kerbside.operators import rollup
+from kerbside.plans import catalogue
 from kerbside.plans.cycle import Warehouse, run_cycle
 from kerbside.plans.ingest import Slice, load_slices, plan_slices, read_slices
 from kerbside.plans.refresh import existing_rollups, load_parts, merged_rollup
-from kerbside.sources import discovery, paths
+from kerbside.sources import discovery, driver_tables, paths
 from kerbside.sources.jdbc import JdbcTarget
 from kerbside.sources.trips import canonicalise, load_trips, scan_files
 from kerbside.spec import SPECS
@@ -446,3 +447,25 @@ def test_a_cycle_leaves_the_session_as_it_was(spark, land):
         assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Kolkata"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_part_files_of_a_landing_follow_size_not_tasks(spark, tmp_path):
+    lineitem = spark.range(3000).selectExpr(
+        "id AS l_orderkey", "id * 7 % 200 AS l_partkey", "id % 3 AS l_suppkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber",
+        "CAST(id % 50 AS DOUBLE) AS l_quantity", "CAST(id AS DOUBLE) AS l_extendedprice", "'N' AS l_returnflag",
+    )
+    lineitem.repartition(16).write.parquet(f"{tmp_path}/sf/lineitem.parquet")
+    every, arrived = f"{tmp_path}/every", f"{tmp_path}/arrived"
+    driver_tables.write_landing(spark, f"{tmp_path}/sf", every, ["yellow", "fhv"])
+    files = discovery.list_landing(spark, every).files
+    assert len(files) == 12 and all(len(f.sources) == 1 for f in files)
+    months = sorted({f.file_month for f in files})
+    catalogue._arrive(spark, every, arrived, months[:2])
+    catalogue._arrive(spark, every, arrived, months[2:])
+    copies = discovery.list_landing(spark, arrived).files
+    assert [(f.service, f.file_month, len(f.sources)) for f in copies] == [(f.service, f.file_month, 1) for f in files]
+    for old, new in zip(files, copies):
+        a, b = spark.read.parquet(old.path), spark.read.parquet(new.path)
+        assert a.schema == b.schema and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    trips = driver_tables.trips(spark, f"{tmp_path}/sf").filter("service IN ('yellow', 'fhv')")
+    assert spark.read.parquet(*[f.path for f in copies if f.service == "fhv"]).count() == trips.filter("service = 'fhv'").count()
