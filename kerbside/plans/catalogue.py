@@ -266,10 +266,13 @@ def stream_hourly_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _arrive(spark: SparkSession, source: str, folder: str, months: list[str]) -> None:
     """Put the monthly files of some months, of all services, into a landing folder."""
-    for file in discovery.list_landing(spark, source).files:
+    job = driver_tables.landing_session(spark)
+    arrived: dict[str, list[str]] = {}
+    for file in discovery.list_landing(job, source).files:
         if file.file_month in months:
-            name = file.path.rstrip("/").rsplit("/", 1)[1]
-            spark.read.parquet(file.path).write.parquet(f"{folder}/{name}")
+            arrived.setdefault(file.service, []).append(file.path)
+    for _, files in sorted(arrived.items()):
+        driver_tables.write_files(job.read.option("basePath", source).parquet(*files), folder)
 
 
 def _months(spark: SparkSession, folder: str) -> list[str]:
