@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import settled, table
+from kerbside.llm.common import settled, sifted, table
 from kerbside.session import scratch_dir
 from kerbside.sources import paths
 
@@ -58,6 +58,8 @@ SPELLED = bytes.maketrans(bytes(range(65, 91)) + b",;:!?\n\v\f\r", bytes(range(9
 HASHED = "hash long, n_words int, n long"
 SPELLED_OUT = "lang string, phrase binary, n_words int, n long"
 CHUNK = 2**23  # bytes of text that are cut into words together
+HELD = 2**26  # bytes of phrases and counts that a task sums up before it tells them
+WAVES = 2  # tasks a core in the last scan
 CHUNKS = "lang string, words array<binary>, hashes binary, codes binary, shard int"
 
 
@@ -192,10 +194,36 @@ def scan_shard(shard: DataFrame, start: bool, reached: BitTable, recent: BitTabl
     return shard.mapInArrow(run, HASHED).groupBy("hash", "n_words").agg(F.sum("n").alias("n"))
 
 
-def spelled_out(held: DataFrame, reached: BitTable, longest: int) -> DataFrame:
-    """(lang, phrase, n_words, n) of phrases whose hash is known, and all words under no phrase of 0 words."""
+def summed(counts: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Counts of ``SPELLED_OUT`` with those of equal phrases added up, at most ``most`` bytes at a time."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    keys = ["lang", "phrase", "n_words"]
+    for batch in counts:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            held = _added(held, keys)
+            size = sum(b.nbytes for b in held)
+            if size >= most // 2:  # adding up no longer helps
+                yield from held
+                held, size = [], 0
+    if held:
+        yield from _added(held, keys)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _added(held: list[pa.RecordBatch], keys: list[str]) -> list[pa.RecordBatch]:
+    added = pa.Table.from_batches(held).group_by(keys).aggregate([("n", "sum")])
+    return added.select([*keys, "n_sum"]).rename_columns([*keys, "n"]).to_batches(max_chunksize=2**16)
+
+
+def spelled(held: DataFrame, reached: BitTable, longest: int) -> DataFrame:
+    """Rows of ``SPELLED_OUT``: each task's counts of the phrases whose hash is known.
+
+    All words are counted under no phrase of 0 words. A task has a row per phrase, not per phrase and chunk.
+    """
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, words, hashes, codes in _chunk(batch):
 
@@ -209,11 +237,11 @@ def spelled_out(held: DataFrame, reached: BitTable, longest: int) -> DataFrame:
                         ["lang", "phrase", "n_words", "n"],
                     )
 
-                counts = np.bincount(codes, minlength=len(hashes))
-                counts[0] = 0
-                yield told(pa.array([b""], pa.binary()), 0, counts.sum(keepdims=True))
-                known = np.nonzero(reached.holds(hashes) & (counts > 0))[0]
-                yield told(words.take(pa.array(known)), 1, counts[known])
+                of_words = np.bincount(codes, minlength=len(hashes))
+                of_words[0] = 0
+                yield told(pa.array([b""], pa.binary()), 0, of_words.sum(keepdims=True))
+                known = np.nonzero(reached.holds(hashes) & (of_words > 0))[0]
+                yield told(words.take(pa.array(known)), 1, of_words[known])
                 for n, place, hashed, _ in places_of_phrases(hashes, codes, reached, longest):
                     at = place[reached.holds(hashed)]
                     code = codes[at].astype(np.int64)
@@ -225,7 +253,21 @@ def spelled_out(held: DataFrame, reached: BitTable, longest: int) -> DataFrame:
                     ids = [pa.array(codes[at[first] + i]) for i in range(n)]
                     yield told(pc.binary_join_element_wise(*map(words.take, ids), b" "), n, occurrences)
 
-    counts = held.mapInArrow(run, SPELLED_OUT).groupBy("lang", "phrase", "n_words").agg(F.sum("n").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from summed(counts(batches), HELD)
+
+    return held.mapInArrow(run, SPELLED_OUT)
+
+
+def spelled_out(held: DataFrame, reached: BitTable, longest: int) -> DataFrame:
+    """(lang, phrase, n_words, n) of phrases whose hash is known, and all words under no phrase of 0 words.
+
+    Tasks are as many as the cluster runs in some waves, however many files there are, so that the rows grow
+    with the phrases and not with their product with the chunks.
+    """
+    tasks = WAVES * held.sparkSession.sparkContext.defaultParallelism
+    each = spelled(held.coalesce(tasks), reached, longest)
+    counts = each.groupBy("lang", "phrase", "n_words").agg(F.sum("n").alias("n"))
     return counts.select("lang", F.col("phrase").cast("string").alias("phrase"), "n_words", "n")
 
 
@@ -241,19 +283,10 @@ def totals(counted: list[DataFrame], least: int, shards: int) -> DataFrame:
     ``SIFT_BITS / 64`` rows, which bounds what is broadcast; what it lets through is gathered.
     """
     every = reduce(DataFrame.unionByName, counted)
-    heavy = (
-        every.filter(F.col("n") >= -(-least // shards))
-        .select(F.expr(f"hash & {SIFT_BITS - 1}L").alias("at"))
-        .groupBy(F.shiftright("at", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, int(at & 63)))").alias("set"))
-    )
-    sifted = (
-        every.withColumn("word", F.expr(f"shiftright(hash & {SIFT_BITS - 1}L, 6)"))
-        .join(F.broadcast(heavy), "word")
-        .filter("(shiftrightunsigned(set, int(hash & 63)) & 1L) = 1")
-    )
+    heavy = every.filter(F.col("n") >= -(-least // shards))
+    found = sifted(every, heavy, "hash", SIFT_BITS)
     by_shard = [f"coalesce(max(n) FILTER (WHERE shard = {s}), 0L)" for s in range(shards)]
-    found = sifted.groupBy("hash", "n_words").agg(F.expr(f"{' + '.join(by_shard)} AS f"))
+    found = found.groupBy("hash", "n_words").agg(F.expr(f"{' + '.join(by_shard)} AS f"))
     return found.filter(F.col("f") >= least).select("hash", "n_words")
 
 

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from kerbside.llm import phrases
 
@@ -64,3 +65,35 @@ def test_the_best_of_many_cells(spark, rows):
 def test_empty_table(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert phrases.collocations(*phrases.phrase_counts(none)).count() == 0
+
+
+@pytest.mark.parametrize("most", [1, 300, 2**26])
+def test_counts_are_summed_before_they_are_told(most):
+    def batch(found):
+        columns = zip(*((g, p, 1, n) for g, p, n in found))
+        types = [pa.string(), pa.binary(), pa.int32(), pa.int64()]
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns, types)], ["lang", "phrase", "n_words", "n"])
+
+    rng = random.Random(5)
+    found = [(rng.choice("ab"), rng.choice([b"x", b"y z", b"\xff"]), i) for i in range(300)]
+    told = list(phrases.summed((batch(found[i : i + 7]) for i in range(0, 300, 7)), most))
+    total, rows = Counter(), 0
+    for b in told:
+        for g, p, _, n in zip(*(c.to_pylist() for c in b.columns)):
+            total[g, p] += n
+            rows += 1
+    plain_total = Counter()
+    for g, p, n in found:
+        plain_total[g, p] += n
+    assert total == plain_total and list(phrases.summed([], most)) == []
+    assert most < 2**26 or rows == 6
+
+
+def test_rows_of_the_last_scan_do_not_grow_with_the_chunks(spark, rows):
+    df = spark.createDataFrame([(i, t, g, "x", 1) for i, (t, g) in enumerate(rows)], SCHEMA).coalesce(1)
+    every = phrases.BitTable(phrases.np.full(8, 255, phrases.np.uint8))
+    few, many = (phrases.chunks(df, 1, size) for size in (2**23, 500))
+    assert many.count() > 5 * few.count()
+    told = [phrases.spelled(c.coalesce(1), every, 3) for c in (few, many)]
+    kinds = told[0].select("lang", "phrase", "n_words").distinct().count()
+    assert [t.count() for t in told] == [kinds, kinds]
