@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import settled, table
+from kerbside.llm.common import settled, sifted, table
 from kerbside.llm.components import components
 
 SHINGLE = 2
@@ -46,6 +46,7 @@ GATHERED_SHINGLES = 2**20
 BLOCK = 256
 COLUMNS = 4096  # shingles of a matrix of marks
 CHUNK = 1 << 10  # shingles hashed at a time
+SIFT_BITS = 2**25  # of the bit table that sifts texts
 
 
 def sigma(x: np.ndarray) -> np.ndarray:
@@ -122,7 +123,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) ->
     """(node, shingles): the full sets of the nodes ``wanted`` (node, text_hash), from their texts.
 
     A node's set is that of any document with the text; a text's hash that two texts share is told
-    by the set's own key.
+    by the set's own key. A bit table of fixed size keeps other texts out of the shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,6 +140,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) ->
             )
 
     texts = docs.select(F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    texts = sifted(texts, wanted, "text_hash", SIFT_BITS)
     chosen = texts.join(wanted, "text_hash").select("node", "text", "set_key")
     return chosen.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
 

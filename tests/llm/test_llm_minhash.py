@@ -107,3 +107,21 @@ def test_chunks_do_not_matter(monkeypatch):
     whole = minhash.signature(h)
     monkeypatch.setattr(minhash, "CHUNK", 77)
     assert (minhash.signature(h) == whole).all()
+
+
+@pytest.mark.parametrize("bits", [64, 2**25])
+def test_only_candidates_texts_are_shuffled(spark, rows, monkeypatch, bits):
+    monkeypatch.setattr(minhash, "SIFT_BITS", bits)
+    docs = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], SCHEMA)
+    found = minhash.sketches(docs).filter("n_shingles > 1").limit(3)
+    wanted = found.selectExpr("CAST(n_shingles AS LONG) AS node", "text_hash", "set_key").dropDuplicates(["node"])
+    wanted = minhash.settled(wanted, "test-wanted")
+    texts = docs.selectExpr("xxhash64(text) AS text_hash", "text")
+    kept = minhash.sifted(texts, wanted, "text_hash", bits)
+    hashes = {r.text_hash for r in wanted.collect()}
+    passed = [r.text_hash for r in kept.collect()]
+    every = [r.text_hash for r in texts.collect()]
+    # With bits enough, nothing else comes through; with few, some of the others do and none is missed.
+    assert sorted(h for h in passed if h in hashes) == sorted(h for h in every if h in hashes)
+    assert bits == 64 or set(passed) == hashes
+    assert minhash.shingle_sets(docs, wanted).count() == len(hashes)
