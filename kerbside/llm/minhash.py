@@ -324,8 +324,10 @@ def _large_links(large: DataFrame, buckets: DataFrame, pairs: DataFrame, sets: D
     """(node, to): what connects the nodes of large groups (group, node).
 
     First every node with its pivots. What that leaves apart is compared in blocks: where one
-    component holds most of a group, the rest with the whole group, else bucket by bucket.
+    component holds most of a group, the rest with the whole group, else bucket by bucket. Sets of
+    other nodes are left out once, before the joins.
     """
+    sets = settled(sets.join(large.select("node"), "node", "left_semi"), "minhash-large-sets")
     own = pairs.filter("alike").join(large.select("node"), "node").select("node", "to")
     found = settled(verified(own, sets, percent), "minhash-stars")
     rooted = large.join(components(found), "node", "left").selectExpr("group", "node", "coalesce(root, node) AS root")
