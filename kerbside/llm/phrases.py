@@ -18,6 +18,9 @@ Which phrases have reached ``least`` is asked after every scan. One that has mus
 in some shard at least, so phrases without such a count anywhere are passed over before they are gathered:
 by a bit table once more, a join with a frame of fixed size. Only counts of the others are shuffled again.
 
+Tasks take the chunks of texts one at a time, find phrases a stretch of a chunk at a time and add up what they
+tell within a fixed number of bytes, so that a task's memory does not grow with its share of the texts.
+
 Hashes only choose. A last scan of all shards spells out the phrases that have reached ``least`` and counts
 them as they are spelled, so what is returned is exact.
 
@@ -28,6 +31,7 @@ repeated rows count each; an empty table gives no rows. Identifiers and extra co
 from __future__ import annotations
 
 import math
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
@@ -41,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import settled, sifted, table
-from kerbside.session import scratch_dir
+from kerbside.session import job_session, scratch_dir
 from kerbside.sources import paths
 
 SHARDS = 3
@@ -58,7 +62,9 @@ SPELLED = bytes.maketrans(bytes(range(65, 91)) + b",;:!?\n\v\f\r", bytes(range(9
 HASHED = "hash long, n_words int, n long"
 SPELLED_OUT = "lang string, phrase binary, n_words int, n long"
 CHUNK = 2**23  # bytes of text that are cut into words together
-HELD = 2**26  # bytes of phrases and counts that a task sums up before it tells them
+BATCH = 2**22  # bytes that Python gets at once, or a row if it has more
+STRETCH = 2**19  # words of a chunk in which phrases are found together
+HELD = 2**25  # bytes of phrases and counts that a task sums up before it tells them
 WAVES = 2  # tasks a core in the last scan
 CHUNKS = "lang string, words array<binary>, hashes binary, codes binary, shard int"
 
@@ -79,6 +85,17 @@ def joined_hash(head: np.ndarray, word: np.ndarray) -> np.ndarray:
     return head << np.uint64(7) ^ head >> np.uint64(57) ^ word
 
 
+def lean_session(spark: SparkSession) -> SparkSession:
+    """A session of the job's own that hands Python a chunk, or some megabytes of texts, at a time.
+
+    A batch is held on both sides, and texts or chunks of 64 MB, Spark's own bound, at once in each task take
+    more than the work on them.
+    """
+    own = job_session(spark)
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+    return own
+
+
 class BitTable:
     """Which hashes are in a set, with false hits and no false misses."""
 
@@ -92,11 +109,12 @@ class BitTable:
 
 def chunk_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     """The different words of some texts, ``MARK`` first, and the texts as numbers of words."""
-    flat = tokens(b" . ".join(texts))
     number: dict[bytes, int] = defaultdict(lambda: len(number))
-    number[MARK]
-    codes = np.fromiter(map(number.__getitem__, flat), np.int32, len(flat))
-    return list(number), codes
+    codes = array("i")
+    for text in texts:  # one at a time, as a word takes ten times its bytes while it is an object
+        codes.append(number[MARK])
+        codes.extend(map(number.__getitem__, tokens(text)))
+    return list(number), np.array(codes, np.int32)
 
 
 def chunks(docs: DataFrame, shards: int = SHARDS, size: int = CHUNK) -> DataFrame:
@@ -139,12 +157,24 @@ def chunks(docs: DataFrame, shards: int = SHARDS, size: int = CHUNK) -> DataFram
 
 
 def places_of_phrases(
-    hashes: np.ndarray, codes: np.ndarray, reached: BitTable, longest: int
+    hashes: np.ndarray, codes: np.ndarray, reached: BitTable, longest: int, stretch: int = STRETCH
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(n, places, hashes, of_parts) of the phrases of two words and more whose parts are all known.
 
-    ``of_parts`` are the hashes of the two subphrases. Hashes are put together place by place.
+    ``of_parts`` are the hashes of the two subphrases. Phrases that start in the same ``stretch`` words come
+    together, so each n comes once a stretch.
     """
+    for start in range(0, len(codes), stretch):
+        part = codes[start : start + stretch + longest - 1]
+        for n, place, hashed, parts in _places_in_stretch(hashes, part, reached, longest):
+            own = np.searchsorted(place, stretch)  # places ascend; what starts later is the next stretch's
+            yield n, place[:own] + start, hashed[:own], parts[:, :own]
+
+
+def _places_in_stretch(
+    hashes: np.ndarray, codes: np.ndarray, reached: BitTable, longest: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """The same, in all of ``codes``. Hashes are put together place by place."""
     place = np.nonzero(codes)[0]
     of_word = np.zeros(len(codes), np.uint64)
     of_word[place] = hashed = hashes[codes[place]]
@@ -205,7 +235,7 @@ def summed(counts: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBat
         if size >= most:
             held = _added(held, keys)
             size = sum(b.nbytes for b in held)
-            if size >= most // 2:  # adding up no longer helps
+            if size >= most * 3 // 4:  # adding up no longer helps
                 yield from held
                 held, size = [], 0
     if held:
@@ -213,7 +243,8 @@ def summed(counts: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBat
 
 
 def _added(held: list[pa.RecordBatch], keys: list[str]) -> list[pa.RecordBatch]:
-    added = pa.Table.from_batches(held).group_by(keys).aggregate([("n", "sum")])
+    # Threads would each hold sums of their own.
+    added = pa.Table.from_batches(held).group_by(keys, use_threads=False).aggregate([("n", "sum")])
     return added.select([*keys, "n_sum"]).rename_columns([*keys, "n"]).to_batches(max_chunksize=2**16)
 
 
@@ -314,8 +345,9 @@ def phrase_counts(
     """(lang, phrase, n_words, f) of all phrases that occur ``least`` times, and (lang, n) of all words."""
     spark = docs.sparkSession
     folder = scratch_dir(spark, "phrase-shards")
-    chunks(docs, shards, chunk).write.partitionBy("shard").parquet(folder)
-    held = spark.read.schema(CHUNKS).parquet(folder)
+    # Snappy would keep buffers of whole pages, here of many megabytes, outside the heap; zstd streams.
+    chunks(docs, shards, chunk).write.partitionBy("shard").option("compression", "zstd").parquet(folder)
+    held = lean_session(spark).read.schema(CHUNKS).parquet(folder)
     counted: list[tuple[str, DataFrame]] = []  # of the last cycle's scans, with their folders
     reached: list[DataFrame] = []
     tables: list[np.ndarray] = []  # of the last cycle's scans, of phrases that can make others active
@@ -341,7 +373,10 @@ def phrase_counts(
         all_bits = all_bits | tables[-1]
         known, recent = BitTable(all_bits), BitTable(np.bitwise_or.reduce(tables))
     whole = all_bits | set_bits(reduce(DataFrame.unionByName, reached), bits)
-    found = settled(spelled_out(held, BitTable(whole), longest), "phrase-counts")
+    found = spelled_out(held, BitTable(whole), longest)
+    place = scratch_dir(spark, "phrase-counts")
+    found.write.parquet(place)
+    found = spark.read.schema(found.schema).parquet(place)  # by the caller's session, not that of the chunks
     for place in (folder, *(place for place, _ in counted)):
         paths.delete(spark, place)
     words = found.filter("n_words = 0").select("lang", "n")
@@ -394,4 +429,4 @@ def collocations(frequent: DataFrame, words: DataFrame, top: int = TOP, scale: i
 
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's best phrases of two to five words."""
-    return collocations(*phrase_counts(table(spark, sf_dir, "documents")))
+    return collocations(*phrase_counts(table(lean_session(spark), sf_dir, "documents")))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import pyarrow as pa
@@ -97,3 +98,64 @@ def test_rows_of_the_last_scan_do_not_grow_with_the_chunks(spark, rows):
     told = [phrases.spelled(c.coalesce(1), every, 3) for c in (few, many)]
     kinds = told[0].select("lang", "phrase", "n_words").distinct().count()
     assert [t.count() for t in told] == [kinds, kinds]
+
+
+@pytest.mark.parametrize("stretch", [1, 2, 7, 2**19])
+def test_phrases_of_stretches_are_those_of_the_whole(stretch):
+    rng = phrases.np.random.default_rng(3)
+    hashes = rng.integers(0, 2**63, 9).astype(phrases.np.uint64)
+    codes = rng.integers(0, 9, 500, phrases.np.int32)
+    reached = phrases.BitTable(rng.integers(0, 256, 64).astype(phrases.np.uint8) | 0x55)
+    got, whole = (
+        sorted(
+            (n, int(at), int(h), int(a), int(b))
+            for n, place, hashed, parts in phrases.places_of_phrases(hashes, codes, reached, 5, size)
+            for at, h, a, b in zip(place, hashed, *parts)
+        )
+        for size in (stretch, len(codes))
+    )
+    assert got == whole and {n for n, *_ in whole} == {2, 3, 4, 5}
+
+
+def test_memory_to_find_phrases_does_not_grow_with_the_chunk():
+    every = phrases.BitTable(phrases.np.full(8, 255, phrases.np.uint8))
+    rng = phrases.np.random.default_rng(4)
+    hashes = rng.integers(0, 2**63, 50).astype(phrases.np.uint64)
+
+    def peak(length):
+        codes = rng.integers(0, 50, length, phrases.np.int32)
+        tracemalloc.start()
+        found = sum(len(place) for _, place, _, _ in phrases.places_of_phrases(hashes, codes, every, 5))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found > length
+        return most
+
+    assert peak(2**22) < 1.3 * peak(2**20)
+
+
+def test_python_gets_some_megabytes_at_a_time(spark, tmp_path):
+    text = "word " * 100_000
+    df = spark.createDataFrame([(i, text, "en", "x", 1) for i in range(40)], SCHEMA).coalesce(1)
+    folder = str(tmp_path / "texts")
+    df.write.parquet(folder)
+
+    def sizes(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([b.nbytes for b in batches], pa.int64())], ["n"])
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    texts = phrases.lean_session(spark).read.parquet(folder).select("text")
+    got = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) > 40 * len(text) and max(got) < phrases.BATCH + 2 * len(text)
+    assert spark.conf.get(setting) == before
+
+
+def test_memory_to_cut_texts_is_not_that_of_their_words_as_objects():
+    texts = [b"some words. " * 2000] * 50
+    tracemalloc.start()
+    words, codes = phrases.chunk_of(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert words == [b".", b"some", b"words"] and codes.tolist() == [0, *[1, 2, 0] * 2000] * 50
+    assert most < 5 * codes.nbytes
